@@ -20,6 +20,10 @@ def strip(c: Column | str) -> Column:
     return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
+def lstrip(c: Column | str) -> Column:
+    return F.ltrim(_col(c), F.lit(WHITESPACE))
+
+
 def rstrip(c: Column | str) -> Column:
     return F.rtrim(_col(c), F.lit(WHITESPACE))
 

@@ -11,47 +11,62 @@ from ..constants import (
     BULLETS,
     CONCLUSION_PREFIX,
     HEADING_PATTERN,
+    HEADING_WORDS,
     LINE_BREAK,
     OPENING_QUOTES,
     QUOTES_HEADING,
     SOURCES_HEADING,
+    SPACE_CLASS,
 )
-from ..functions.text import clean_text, rstrip, strip
+from ..functions.text import clean_text, lstrip, rstrip, strip
+
+
+# Every line break, together with the blanks and blank lines before it.  The lookbehind starts a match only at
+# the beginning of a run of blanks, so long runs are walked once.
+_LINE_END = rf"(?U)(?<!{SPACE_CLASS}){SPACE_CLASS}*(?:{LINE_BREAK})"
+
+
+def text_lines(text: Column) -> Column:
+    """The lines that are not blank, without the blanks at their ends; leading blanks stay."""
+    return F.filter(F.split(rstrip(F.coalesce(text, F.lit(""))), _LINE_END), lambda x: x != "")
 
 
 def _starts_with_any(s: Column, prefixes: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for prefix in prefixes:
+    hit = F.startswith(s, F.lit(prefixes[0]))
+    for prefix in prefixes[1:]:
         hit = hit | F.startswith(s, F.lit(prefix))
     return hit
 
 
-def is_heading(line: Column) -> Column:
-    return strip(line).rlike(HEADING_PATTERN)
+def is_heading(s: Column) -> Column:
+    return s.rlike(HEADING_PATTERN)
 
 
-def is_link(line: Column) -> Column:
-    return _starts_with_any(strip(line), ("http://", "https://"))
+def is_link(s: Column) -> Column:
+    return _starts_with_any(s, ("http://", "https://"))
 
 
-def is_quote(line: Column) -> Column:
-    s = strip(line)
+def is_quote(s: Column) -> Column:
     in_brackets = F.endswith(s, F.lit(")")) & F.contains(s, F.lit("("))
-    return _starts_with_any(s, BULLETS) | _starts_with_any(s, OPENING_QUOTES) | in_brackets
+    return _starts_with_any(s, BULLETS) | F.substring(s, 1, 1).isin(*OPENING_QUOTES) | in_brackets
 
 
-def _line_code(line: Column) -> Column:
-    """One letter per line: q/s/h a heading (quotes, sources, other), k/l a link (quote-like or not), u/p the rest."""
-    lowered = F.lower(strip(line))
+def _line_code(s: Column) -> Column:
+    """One letter per stripped line.
+
+    q, s, h: a heading (of quotes, of sources, other); k, l: a link (like a quote or not); u, p: other lines.
+    """
+    start = F.lower(F.substring(s, 1, max(map(len, HEADING_WORDS))))
     heading = (
-        F.when(F.startswith(lowered, F.lit(QUOTES_HEADING)), F.lit("q"))
-        .when(F.startswith(lowered, F.lit(SOURCES_HEADING)), F.lit("s"))
+        F.when(F.startswith(start, F.lit(QUOTES_HEADING)), F.lit("q"))
+        .when(F.startswith(start, F.lit(SOURCES_HEADING)), F.lit("s"))
         .otherwise(F.lit("h"))
     )
+    # The first word decides for most lines, without the regular expression.
     return (
-        F.when(is_heading(line), heading)
-        .when(is_link(line), F.when(is_quote(line), F.lit("k")).otherwise(F.lit("l")))
-        .otherwise(F.when(is_quote(line), F.lit("u")).otherwise(F.lit("p")))
+        F.when(_starts_with_any(start, HEADING_WORDS) & is_heading(s), heading)
+        .when(is_link(s), F.when(is_quote(s), F.lit("k")).otherwise(F.lit("l")))
+        .otherwise(F.when(is_quote(s), F.lit("u")).otherwise(F.lit("p")))
     )
 
 
@@ -69,9 +84,8 @@ def _resolve_modes(codes: Column) -> Column:
     return F.regexp_replace(codes, r"(?:(?<=q)|(?!^)\G)[klup]", "u")
 
 
-def _quote_text(line: Column) -> Column:
-    s = strip(line)
-    return F.when(_starts_with_any(s, BULLETS), strip(F.substr(s, F.lit(3)))).otherwise(s)
+def _quote_text(s: Column) -> Column:
+    return F.when(_starts_with_any(s, BULLETS), lstrip(F.substr(s, F.lit(3)))).otherwise(s)
 
 
 def parse_blocks(
@@ -85,35 +99,34 @@ def parse_blocks(
     A text is parsed where it lies: its lines become letters, the letters settle what each line is, and the
     lines are joined again with one break per block.  No line is shuffled.
     """
-    lines = F.filter(
-        F.transform(F.split(F.coalesce(F.col(text), F.lit("")), LINE_BREAK), rstrip), lambda x: x != ""
-    )
-    coded = df.select(*keep, F.col(text).alias("_whole"), lines.alias("_lines")).withColumn(
-        "_codes", _resolve_modes(F.array_join(F.transform("_lines", _line_code), ""))
+    cut = df.select(*keep, F.col(text).alias("_whole"), text_lines(F.col(text)).alias("_lines"))
+    bare = cut.withColumn("_bare", F.transform("_lines", lstrip))
+    coded = bare.withColumn("_codes", _resolve_modes(F.array_join(F.transform("_bare", _line_code), "")))
+    triples = F.arrays_zip(
+        F.col("_lines").alias("line"), F.col("_bare").alias("bare"), F.split("_codes", "").alias("code")
     )
-    pairs = F.arrays_zip(F.col("_lines").alias("line"), F.split("_codes", "").alias("code"))
 
-    def packed(pair: Column) -> Column:
+    def packed(triple: Column) -> Column:
         # Lines hold no line breaks, so these can separate blocks (\n) and list items (\r).
-        line, code = pair.getField("line"), pair.getField("code")
+        line, bare, code = (triple.getField(f) for f in ("line", "bare", "code"))
         return (
-            F.when(code == "m", F.concat(F.lit("\r"), strip(line)))
+            F.when(code.isin("l", "p"), F.concat(F.lit("\np"), line))
+            .when(code.isin("u", "k"), F.concat(F.lit("\nu"), _quote_text(bare)))
+            .when(code == "m", F.concat(F.lit("\r"), bare))
             .when(code == "x", F.lit(""))
-            .when(code.isin("u", "k"), F.concat(F.lit("\nu"), _quote_text(line)))
-            .when(code.isin("l", "p"), F.concat(F.lit("\np"), line))
-            .otherwise(F.concat(F.lit("\n"), code, strip(line)))
+            .otherwise(F.concat(F.lit("\n"), code, bare))
         )
 
-    joined = F.array_join(F.transform(pairs, packed), "")
+    joined = F.array_join(F.transform(triples, packed), "")
     blocks = F.when(F.size("_lines") > 0, F.split(F.substr(joined, F.lit(2)), "\n"))
     if fallback:
         blocks = F.coalesce(blocks, F.array(F.lit("")))
     single = coded.select(*keep, "_whole", F.posexplode(blocks).alias("block_no", "_block"))
     code, body = F.substring("_block", 1, 1), F.substr("_block", F.lit(2))
     kind = (
-        F.when(code == "L", F.lit("sources"))
+        F.when(code.isin("p", ""), F.lit("paragraph"))
         .when(code == "u", F.lit("quote"))
-        .when(code.isin("p", ""), F.lit("paragraph"))
+        .when(code == "L", F.lit("sources"))
         .otherwise(F.lit("subheading"))
     )
     return single.select(

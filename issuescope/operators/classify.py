@@ -34,18 +34,19 @@ def lexicon_label_ids(text: Column | str, terms: Sequence[tuple[int, str]], max_
 
     def occurrences(term: str) -> Column:
         without = F.replace(lowered, F.lit(term), F.lit(""))
-        return (F.char_length(lowered) - F.char_length(without)) / F.lit(len(term))
-
-    scores = F.array(
-        *[
-            F.struct(
-                (-sum((occurrences(t) for t in words), F.lit(0.0))).alias("order"), F.lit(label_id).alias("id")
-            )
-            for label_id, words in by_label.items()
-        ]
-    )
-    found = F.array_sort(F.filter(scores, lambda s: s.getField("order") < 0))
-    return F.transform(F.slice(found, 1, max_labels), lambda s: s.getField("id"))
+        return (F.octet_length(lowered) - F.octet_length(without)) / F.lit(len(term.encode()))
+
+    def scored(label_id: int, words: list[str]) -> Column:
+        score = sum((occurrences(t) for t in words[1:]), occurrences(words[0]))
+        return F.when(
+            score > 0,
+            F.struct(score.alias("score"), F.lit(-label_id).alias("order"), F.lit(label_id).alias("id")),
+        )
+
+    # Only functions that compile to Java code: inside a lambda the lower-cased text would be made again for
+    # every term.  Falling scores put the missing ones last, where array_except removes their null ids.
+    ranked = F.sort_array(F.array(*[scored(i, words) for i, words in by_label.items()]), asc=False)
+    return F.array_except(F.slice(ranked, 1, max_labels).getField("id"), F.array(F.lit(None).cast("int")))
 
 
 def lexicon_classify(

@@ -216,16 +216,6 @@ _ANSWER = T.StructType(
 Completion = Callable[[str, list, float, int], "tuple[str, dict | None]"]
 
 
-def _answer(complete: Completion, model, messages, temperature, max_tokens) -> tuple:
-    try:
-        content, usage = complete(model, list(messages), float(temperature), int(max_tokens))
-        usage = usage or {}
-        asked, said = int(usage.get("prompt_tokens", 0)), int(usage.get("completion_tokens", 0))
-        return content.strip(), None, asked, said, int(usage.get("total_tokens", asked + said))
-    except Exception as error:  # one failed call must not end the job
-        return None, str(error), 0, 0, 0
-
-
 def run_completions(
     requests: DataFrame, complete: Completion, parallelism: int | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -239,12 +229,19 @@ def run_completions(
     schema = T.StructType([sent.schema[c] for c in passed] + _ANSWER.fields)
     names = [f.name for f in _ANSWER.fields]
 
+    # Both functions travel to the workers whole, so the library itself need not be installed there.
+    def ask(r) -> tuple:
+        try:
+            content, usage = complete(r.model, list(r.messages), float(r.temperature), int(r.max_tokens))
+            usage = usage or {}
+            asked, said = int(usage.get("prompt_tokens", 0)), int(usage.get("completion_tokens", 0))
+            return content.strip(), None, asked, said, int(usage.get("total_tokens", asked + said))
+        except Exception as error:  # one failed call must not end the job
+            return None, str(error), 0, 0, 0
+
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [
-                _answer(complete, r.model, r.messages, r.temperature, r.max_tokens)
-                for r in batch.itertuples(index=False)
-            ]
+            answers = [ask(r) for r in batch.itertuples(index=False)]
             out = batch[passed].reset_index(drop=True)
             values = pd.DataFrame(answers, columns=names).astype(
                 {"prompt_tokens": "int64", "completion_tokens": "int64", "total_tokens": "int64"}

@@ -26,24 +26,29 @@ def dedup_first(df: DataFrame, key: str, row_id: str = "row_id", nulls: str = "c
     return df.withColumn("_position", F.row_number().over(by_key)).filter("_position = 1").drop("_position")
 
 
-def first_n_per_key(df: DataFrame, key: str, order: str, n: int, position: str = "position") -> DataFrame:
+def first_n_per_key(
+    df: DataFrame, key: str, order: str, n: int, position: str = "position", two_rounds: bool = True
+) -> DataFrame:
     """The ``n`` rows with the smallest ``order`` value of every key, numbered in ``position``.
 
-    Two rounds: first within (key, lane), where the lane is the task the row came from modulo the number of
-    shuffle partitions, then over what is left.  A hot key is thus cut by as many tasks as there are lanes, and
-    no task of the second round sees more than ``n`` rows per lane of a key.
+    The filter on ``row_number`` lets each task cut its own rows before the shuffle.  Over very many tasks, what
+    is left of a hot key is still much for one task, so a round over (key, lane) comes first, where the lane is
+    the task a row comes from modulo the number of shuffle partitions.  No task of the second round then sees
+    more than ``n`` rows per lane of a key.  Without ``two_rounds`` the first one is left out, which is enough
+    behind an aggregation, as its output has few partitions.
     """
-    lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = Window.partitionBy(key, "_lane").orderBy(order)
-    whole = Window.partitionBy(key).orderBy(order)
-    return (
-        df.withColumn("_lane", F.spark_partition_id() % lanes)
-        .withColumn(position, F.row_number().over(near))
-        .filter(F.col(position) <= n)
-        .drop(position, "_lane")
-        .withColumn(position, F.row_number().over(whole))
-        .filter(F.col(position) <= n)
-    )
+    near = df
+    if two_rounds:
+        lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        by_lane = Window.partitionBy(key, "_lane").orderBy(order)
+        near = (
+            df.withColumn("_lane", F.spark_partition_id() % lanes)
+            .withColumn(position, F.row_number().over(by_lane))
+            .filter(F.col(position) <= n)
+            .drop(position, "_lane")
+        )
+    by_key = Window.partitionBy(key).orderBy(order)
+    return near.withColumn(position, F.row_number().over(by_key)).filter(F.col(position) <= n)
 
 
 def value_profile(

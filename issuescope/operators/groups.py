@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MAX_LINKS, MAX_MESSAGE_CHARS, MAX_MESSAGES, NO_LABEL
-from ..functions.text import truncate_text
+from ..functions.text import lstrip, truncate_text
+from ..session import stage_table
 from .first import first_n_per_key, first_non_null_of, value_profile, with_rank
 
 
@@ -62,9 +63,13 @@ def top_messages(
 
     Messages are cut before they are ranked, so that only short rows are sorted and shuffled.
     """
-    short = df.select(
-        F.col(label).alias("label"), F.col(row_id).alias("row_id"), truncate_text(message, max_chars).alias("message")
-    ).filter("label IS NOT NULL AND message IS NOT NULL")
+    # lstrip is enough to tell a blank message, and cheaper than the whole cut made twice.
+    written = df.filter(F.col(label).isNotNull() & (lstrip(message) != ""))
+    short = written.select(
+        F.col(label).alias("label"),
+        F.col(row_id).alias("row_id"),
+        truncate_text(message, max_chars).alias("message"),
+    )
     return first_n_per_key(short, "label", "row_id", max_messages)
 
 
@@ -72,7 +77,7 @@ def top_links(
     df: DataFrame,
     label: str = "label",
     link: str = "link",
-    message: str = "message",
+    has_message: Column | None = None,
     row_id: str = "row_id",
     max_links: int = MAX_LINKS,
 ) -> DataFrame:
@@ -81,13 +86,14 @@ def top_links(
     Copies of a link are merged per task before the shuffle, and the shuffle is by (label, link), so neither a
     hot label nor a hot link gathers in one task.
     """
+    has_message = F.col("message").isNotNull() if has_message is None else has_message
     links = (
-        df.filter(F.col(label).isNotNull() & F.col(message).isNotNull() & F.col(link).isNotNull())
+        df.filter(F.col(label).isNotNull() & has_message & F.col(link).isNotNull())
         .groupBy(F.col(label).alias("label"), F.col(link).alias("link"))
         .agg(F.min(row_id).alias("_first"))
     )
     # The same row may not carry two links, so _first orders them fully.
-    return first_n_per_key(links, "label", "_first", max_links).drop("_first")
+    return first_n_per_key(links, "label", "_first", max_links, two_rounds=False).drop("_first")
 
 
 def _in_order(value: str, position: str = "position"):
@@ -106,7 +112,7 @@ def label_summary(
     df: DataFrame,
     columns: Sequence[str],
     label: str = "label",
-    message: str = "message",
+    has_message: Column | None = None,
     row_id: str = "row_id",
     exclude: str | None = NO_LABEL,
 ) -> DataFrame:
@@ -114,13 +120,14 @@ def label_summary(
 
     First values are taken over rows that have a message; the count is over all rows.
     """
+    has_message = F.col("message").isNotNull() if has_message is None else has_message
     kept = df.filter(F.col(label).isNotNull())
     if exclude is not None:
         kept = kept.filter(F.col(label) != exclude)
     renamed = kept.select(
         F.col(label).alias("label"),
         F.col(row_id).alias("row_id"),
-        F.col(message).isNotNull().alias("_usable"),
+        has_message.alias("_usable"),
         *[F.col(f"`{c}`").alias(f"_value_{i}") for i, c in enumerate(columns)],
     )
     values = [f"_value_{i}" for i in range(len(columns))]
@@ -135,54 +142,94 @@ def label_summary(
 def labels_by_lang(df: DataFrame, label: str = "label", message: str = "message", row_id: str = "row_id"):
     """(label, lang, value): the first non-null entry of every language column."""
     found = language_columns(df.columns)
-    summary = label_summary(df, list(found.values()), label, message, row_id)
+    summary = label_summary(df, list(found.values()), label, F.col(message).isNotNull(), row_id)
     pairs = F.array(
         *[F.struct(F.lit(lang).alias("lang"), F.col(f"`{c}`").alias("value")) for lang, c in found.items()]
     )
     return summary.select("label", F.inline(pairs))
 
 
-def assemble_groups(
+def group_rows(
     df: DataFrame,
     label: str = "label",
     problem_ru: str | None = "problem_ru",
     message: str = "message",
     link: str | None = "link",
     row_id: str = "row_id",
-    max_messages: int = MAX_MESSAGES,
     max_chars: int = MAX_MESSAGE_CHARS,
+) -> DataFrame:
+    """What a report needs of the messages, with texts cut to the length in which they are quoted.
+
+    Columns: row_id, label, problem_ru, message (null if blank), has_message, link, labels_by_lang.  A report
+    reads these rows several times; ``stage_table`` them first, so that the whole texts are read once.
+    """
+    found = language_columns(df.columns)
+    entries = [e for lang, c in found.items() for e in (F.lit(lang), F.col(f"`{c}`"))]
+    nothing = F.lit(None).cast("string")
+    return df.select(
+        F.col(row_id).alias("row_id"),
+        F.col(label).alias("label"),
+        (F.col(f"`{problem_ru}`") if problem_ru else nothing).alias("problem_ru"),
+        truncate_text(message, max_chars).alias("message"),
+        F.col(message).isNotNull().alias("has_message"),
+        (F.col(link) if link else nothing).alias("link"),
+        F.create_map(*entries).cast("map<string,string>").alias("labels_by_lang"),
+    )
+
+
+def groups_of(
+    rows: DataFrame,
+    langs: Sequence[str] = (),
+    max_messages: int = MAX_MESSAGES,
     max_links: int = MAX_LINKS,
+    exclude: str | None = NO_LABEL,
 ) -> DataFrame:
-    """One row per label that has a usable message.
+    """One row per label that has a usable message, from the rows made by ``group_rows``.
 
     Columns: label, problem_ru, messages, links, count, labels_by_lang, rank.  The rank is that of
     ``distribution``, so labels without messages leave gaps.
     """
-    found = language_columns(df.columns)
-    columns = list(dict.fromkeys([*([problem_ru] if problem_ru else []), *found.values()]))
-    ranked = with_rank(label_summary(df, columns, label, message, row_id))
-    entries = [e for lang, c in found.items() for e in (F.lit(lang), F.col(f"`{c}`"))]
-    named = F.create_map(*entries).cast("map<string,string>")
-    heads = ranked.select(
+    kept = rows.filter(F.col("label").isNotNull())
+    if exclude is not None:
+        kept = kept.filter(F.col("label") != exclude)
+    named = {lang: f"_lang_{i}" for i, lang in enumerate(langs)}
+    wide = kept.withColumns({c: F.col("labels_by_lang")[lang] for lang, c in named.items()})
+    summary = label_summary(
+        wide, ["problem_ru", *named.values()], has_message=F.col("has_message"), exclude=None
+    )
+    entries = [e for lang, c in named.items() for e in (F.lit(lang), F.col(c))]
+    heads = with_rank(summary).select(
         "label",
-        (F.col(f"`{problem_ru}`") if problem_ru else F.lit(None).cast("string")).alias("problem_ru"),
+        "problem_ru",
         "count",
-        named.alias("labels_by_lang"),
+        F.create_map(*entries).cast("map<string,string>").alias("labels_by_lang"),
         "rank",
     )
-    chosen = top_messages(df, label, message, row_id, max_messages, max_chars)
-    if max_messages > 0:
-        messages = chosen.groupBy("label").agg(_in_order("message").alias("messages"))
-    else:
-        messages = chosen.select("label").distinct().withColumn("messages", F.array().cast("array<string>"))
-    groups = heads.join(messages, "label")
-    if link:
-        linked = top_links(df, label, link, message, row_id, max_links)
-        groups = groups.join(linked.groupBy("label").agg(_in_order("link").alias("links")), "label", "left")
-    else:
-        groups = groups.withColumn("links", F.lit(None).cast("array<string>"))
-    links = F.coalesce("links", F.array().cast("array<string>")).alias("links")
-    return groups.select("label", "problem_ru", "messages", links, "count", "labels_by_lang", "rank")
+    short = kept.filter("message IS NOT NULL").select("label", "row_id", "message")
+    messages = first_n_per_key(short, "label", "row_id", max_messages)
+    links = top_links(kept, has_message=F.col("has_message"), max_links=max_links)
+    return (
+        heads.join(messages.groupBy("label").agg(_in_order("message").alias("messages")), "label")
+        .join(links.groupBy("label").agg(_in_order("link").alias("links")), "label", "left")
+        .withColumn("links", F.coalesce("links", F.array().cast("array<string>")))
+        .select("label", "problem_ru", "messages", "links", "count", "labels_by_lang", "rank")
+    )
+
+
+def assemble_groups(
+    df: DataFrame,
+    label: str = "label",
+    problem_ru: str | None = "problem_ru",
+    message: str = "message",
+    link: str | None = "link",
+    row_id: str = "row_id",
+    max_messages: int = MAX_MESSAGES,
+    max_chars: int = MAX_MESSAGE_CHARS,
+    max_links: int = MAX_LINKS,
+) -> DataFrame:
+    """``group_rows``, written to the shared folder, and the groups made of them."""
+    rows = stage_table(group_rows(df, label, problem_ru, message, link, row_id, max_chars), "group-rows")
+    return groups_of(rows, list(language_columns(df.columns)), max_messages, max_links)
 
 
 def corpus_summary(df: DataFrame, message: str = "message", label: str = "label") -> DataFrame:

@@ -41,7 +41,15 @@ def merge_labels(
     two named it.  Without a match the base label stays as written.  ``null_label`` names rows without a base
     label; by default they stay null.
     """
-    best = synonyms.groupBy("synonym").agg(F.min(F.struct("priority", "canonical")).alias("_match"))
+    rows = bounded_rows(synonyms.select("synonym", "canonical", "priority"))
+    if rows is None:
+        best = synonyms.groupBy("synonym").agg(F.min(F.struct("priority", "canonical")).alias("_match"))
+    else:
+        ordered = sorted(rows, key=lambda r: (r.priority, r.canonical), reverse=True)
+        table = {r.synonym: (r.synonym, r.canonical, r.priority) for r in ordered}
+        best = literal_table(
+            df.sparkSession, table.values(), "synonym string, canonical string, priority int"
+        ).select("synonym", F.struct("priority", "canonical").alias("_match"))
     merged = df
     for column in [c for c in (base, ru) if c]:
         side = best.select(F.col("synonym").alias(f"_key_{column}"), F.col("_match").alias(f"_match_{column}"))
@@ -70,13 +78,13 @@ def parse_single_label(
     from ..functions.answers import single_label_key
 
     labels = (
-        catalogue.groupBy(F.lower("label").alias("_key"))
-        .agg(F.min(F.struct("label_id", "label")).getField("label").alias("_label"))
-        .filter(F.col("_key") != NO_LABEL)
+        catalogue.groupBy(F.lower("label").alias("_label_key"))
+        .agg(F.min(F.struct("label_id", "label")).getField("label").alias("_label_found"))
+        .filter(F.col("_label_key") != NO_LABEL)
     )
-    keyed = df.withColumn("_answer", single_label_key(answer))
-    joined = keyed.join(labels, F.col("_answer") == F.col("_key"), "left")
-    return joined.select(*df.columns, F.coalesce("_label", F.lit(NO_LABEL)).alias(output))
+    keyed = df.withColumn("_answer_key", single_label_key(answer))
+    joined = keyed.join(labels, F.col("_answer_key") == F.col("_label_key"), "left")
+    return joined.select(*df.columns, F.coalesce("_label_found", F.lit(NO_LABEL)).alias(output))
 
 
 def check_langs(langs: Sequence[str], at_most: int = 2) -> list[str]:

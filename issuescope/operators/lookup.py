@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 MAX_LITERAL_ROWS = 10_000
 HOT_KEYS = 10_000
 
+_ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+
 
 def literal_table(spark: SparkSession, rows, columns: str) -> DataFrame:
     """A few driver-side rows as a table whose size the optimizer knows, so it can choose a broadcast itself."""
@@ -15,16 +18,10 @@ def literal_table(spark: SparkSession, rows, columns: str) -> DataFrame:
     if len(rows) > MAX_LITERAL_ROWS:
         raise ValueError(f"{len(rows)} rows; write a table of more than {MAX_LITERAL_ROWS} rows to parquet")
     names = [c.split()[0] for c in columns.split(",")]
-    types = [c.split()[1] for c in columns.split(",")]
-    if not rows:
-        return spark.createDataFrame([], columns)
-    values = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(row, types, names, strict=True)])
-            for row in rows
-        ]
-    )
-    return spark.range(0, 1, 1, 1).select(F.inline(values))
+    types = [_ARROW_TYPES[c.split()[1]] for c in columns.split(",")]
+    values = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+    table = pa.table({n: pa.array(v, t) for n, v, t in zip(names, values, types, strict=True)})
+    return spark.createDataFrame(table, schema=columns)
 
 
 def bounded_rows(df: DataFrame, max_rows: int = MAX_LITERAL_ROWS) -> list[Row] | None:

@@ -18,6 +18,7 @@ from ..constants import (
     TOC_HEADING,
 )
 from ..functions.text import optional_suffix, render
+from .blocks import parse_blocks
 from .lookup import literal_table, lookup_or_self
 
 # Places of the parts, as in the report of the command line and in that of the notebook.
@@ -111,6 +112,24 @@ def section_rows(blocks: DataFrame, layout: str = "report") -> DataFrame:
     return heads.unionByName(body)
 
 
+def section_blocks(sections: DataFrame) -> DataFrame:
+    """Sections with rank, title, text and failed -> blocks with section_no and title.
+
+    The text of a failed section is an error message and stays one paragraph, whatever it looks like.
+    """
+    numbered = sections.withColumn("section_no", F.col("rank"))
+    parsed = parse_blocks(numbered.filter("NOT failed"), keep=("section_no", "title"), fallback=True)
+    errors = numbered.filter("failed").select(
+        "section_no",
+        "title",
+        F.lit(0).alias("block_no"),
+        F.lit("paragraph").alias("type"),
+        "text",
+        F.lit(None).cast("array<string>").alias("items"),
+    )
+    return parsed.unionByName(errors)
+
+
 def build_report(
     blocks: DataFrame,
     ranked: DataFrame,

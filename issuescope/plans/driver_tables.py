@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LABEL_DICTIONARY, SYNONYM_GROUPS
 from ..operators.lookup import literal_table
+from ..session import spread_small
 
 # One label holds more than a third of the rows.
 PROBLEM_OF_SOURCE = {
@@ -47,6 +48,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents for work that takes long per text."""
+    return spread_small(documents(spark, sf_dir))
+
+
 def _by_value(column: str, names: dict[str, str]) -> Column:
     result = F.when(F.lit(False), F.lit(""))
     for value, name in names.items():
@@ -211,7 +217,7 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("http://late.example/x"),
         F.concat(F.lit("«"), first, F.lit("»")),
     ]
-    return documents(spark, sf_dir).select(
+    return spread_documents(spark, sf_dir).select(
         F.col("doc_id").alias("section_id"),
         F.concat("source", F.lit(" "), "lang").alias("title"),
         F.concat_ws("\n", *lines).alias("text"),

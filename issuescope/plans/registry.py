@@ -22,10 +22,11 @@ from ..operators import groups as G
 from ..operators import labels as L
 from ..operators import report as R
 from ..operators import usage as U
-from ..session import work_dir
+from ..session import stage_table, work_dir
 from ..sources.messages import read_messages
 from ..sources.sinks import write_classified
 from . import driver_tables as D
+from .jobs import report_of, toc_labels
 
 AS_OF = dt.datetime(2024, 3, 5, 14, 7)
 BANNED = (r"\bsrc7\b", r"ththe\w*", r"example\.net/de")
@@ -148,7 +149,7 @@ _SCORES_SQL = f"""{D.CATALOGUE_SQL}, scores AS (
     FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.n <= 3 GROUP BY d.doc_id"""
 )
 def lexicon_multi_label(spark, d):
-    docs = D.documents(spark, d).select("doc_id", "text")
+    docs = D.spread_documents(spark, d).select("doc_id", "text")
     return C.lexicon_classify(docs, D.lexicon(spark), "text").select("doc_id", _joined("label_ids"))
 
 
@@ -158,7 +159,7 @@ def lexicon_multi_label(spark, d):
     FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.n = 1"""
 )
 def lexicon_single_label(spark, d):
-    docs = D.documents(spark, d).select("doc_id", "text")
+    docs = D.spread_documents(spark, d).select("doc_id", "text")
     one = C.lexicon_classify(docs, D.lexicon(spark), "text", max_labels=1).select("doc_id", "label_ids")
     named = L.attach_labels(one, D.catalogue(spark), row_id="doc_id")
     answer = F.concat(F.lit(" «"), "problem_russ", F.lit("». "))
@@ -636,13 +637,17 @@ def edit_requests(spark, d):
     return _request_parts(M.edit_requests(sections, COUNTRY, "text", "section_id"))
 
 
-def count_words(model, messages, temperature, max_tokens):
+def request_counter():
     """A stand-in for a model: answers with a label id that depends on the length of the request."""
-    text = messages[1]["content"]
-    if len(text) % 10 == 9:
-        raise RuntimeError("no answer")
-    usage = {"prompt_tokens": len(text), "completion_tokens": 7}
-    return json.dumps({"problem_ids": [1 + len(text) % 7]}) + " ", usage
+
+    def complete(model, messages, temperature, max_tokens):
+        text = messages[1]["content"]
+        if len(text) % 10 == 9:
+            raise RuntimeError("no answer")
+        usage = {"prompt_tokens": len(text), "completion_tokens": 7}
+        return json.dumps({"problem_ids": [1 + len(text) % 7]}) + " ", usage
+
+    return complete
 
 
 @query(
@@ -662,13 +667,18 @@ def completions_fake(spark, d):
         translations=D.translations(spark),
         langs=("en",),
     )
-    return M.run_completions(requests, count_words).drop("model")
+    return M.run_completions(requests, request_counter()).drop("model")
 
 
-def length_of_text(model, messages, temperature, max_tokens):
+def text_counter():
     """A stand-in for a model: the label id depends on the length of the text alone."""
-    text = messages[1]["content"].split("Текст:\n", 1)[1].rsplit("\n\nПроблемы:\n", 1)[0]
-    return json.dumps({"problem_ids": [1 + len(text) % 9, 2]}), {"prompt_tokens": len(text), "completion_tokens": 3}
+
+    def complete(model, messages, temperature, max_tokens):
+        text = messages[1]["content"].split("Текст:\n", 1)[1].rsplit("\n\nПроблемы:\n", 1)[0]
+        answer = json.dumps({"problem_ids": [1 + len(text) % 9, 2]})
+        return answer, {"prompt_tokens": len(text), "completion_tokens": 3}
+
+    return complete
 
 
 @query(
@@ -680,7 +690,7 @@ def length_of_text(model, messages, temperature, max_tokens):
 )
 def classify_memoised(spark, d):
     labelled, _ = C.classify_messages(
-        D.messages(spark, d).select("row_id", "message"), D.catalogue(spark), length_of_text, hot_rows=50
+        D.messages(spark, d).select("row_id", "message"), D.catalogue(spark), text_counter(), hot_rows=50
     )
     return L.attach_labels(labelled, D.catalogue(spark)).drop("label_ids", "parse_error", "message")
 
@@ -839,15 +849,9 @@ _TOC_SQL = f"""{COUNTS_SQL}, toc AS (
   ON f.label = c.label AND f.n = 1)"""
 
 
-def _toc_labels(spark, d):
-    merged = merged_messages(spark, d)
-    first = P.first_row_value(merged, "label", "problem_ru")
-    return G.distribution(merged).join(first, "label")
-
-
 @query(f"WITH {_TOC_SQL} SELECT * FROM toc")
 def toc(spark, d):
-    return R.toc(_toc_labels(spark, d))
+    return R.toc(toc_labels(merged_messages(spark, d)))
 
 
 @query(
@@ -876,18 +880,17 @@ def display_name(spark, d):
     return R.country_display(named).drop("country")
 
 
-@query(
-    f"""WITH {D.MESSAGES_SQL}
-    SELECT concat('Отчёт обобщает сообщения из открытых источников. Дата: 05.03.2024. Сообщений с текстом: ', count(message),
-      '. Тематических категорий: ', count(DISTINCT problem), '.') AS text FROM messages"""
-)
+_DESCRIPTION_SQL = """SELECT concat('Отчёт обобщает сообщения из открытых источников. Дата: 05.03.2024. Сообщений с текстом: ',
+  count(message), '. Тематических категорий: ', count(DISTINCT label), '.') AS text FROM merged"""
+
+
+@query(f"WITH {MERGED_SQL} {_DESCRIPTION_SQL}")
 def description(spark, d):
-    return R.description_block(G.corpus_summary(D.messages(spark, d), label="problem"), AS_OF)
+    return R.description_block(G.corpus_summary(merged_messages(spark, d)), AS_OF)
 
 
 def _report(spark, d):
-    merged = merged_messages(spark, d)
-    groups = G.assemble_groups(merged, max_chars=300)
+    rows = stage_table(G.group_rows(merged_messages(spark, d), max_chars=300), "report-rows")
     text = F.concat(
         F.lit("Описание проблемы\n"),
         "label",
@@ -896,20 +899,13 @@ def _report(spark, d):
         F.lit("\nИсточники\n"),
         F.array_join("links", "\n"),
     )
-    sections = groups.select(
-        F.col("rank").alias("section_no"),
+    sections = G.groups_of(rows).select(
+        "rank",
         M.section_title(F.col("problem_ru"), F.col("label")).alias("title"),
         text.alias("text"),
+        F.lit(False).alias("failed"),
     )
-    parsed = B.parse_blocks(sections, keep=("section_no", "title"), fallback=True)
-    return R.build_report(
-        B.filter_blocks(parsed, BANNED, "title"),
-        G.distribution(merged),
-        R.toc(_toc_labels(spark, d)),
-        R.description_block(G.corpus_summary(D.messages(spark, d), label="problem"), AS_OF),
-        COUNTRY,
-        AS_OF,
-    )
+    return report_of(rows, sections, COUNTRY, AS_OF, BANNED)
 
 
 def _report_sql() -> str:
@@ -953,9 +949,6 @@ def _report_sql() -> str:
     )
 
 
-_DESCRIPTION_SQL = ORACLES["description"].split("\n", 1)[1]
-
-
 @query(_report_sql())
 def report_blocks(spark, d):
     return _report(spark, d)

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.speculation": "false",  # a speculative copy of a model task would pay for its calls twice
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no call-site capture per column expression
 }
 
 
@@ -51,3 +52,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(spark)}/issuescope/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Share out a table that has fewer input splits than the session has cores.
+
+    A single row group, or a text file that cannot be split, would leave all work to one task.  Tables of many
+    splits are returned as they are, so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

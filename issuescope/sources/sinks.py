@@ -40,6 +40,8 @@ def write_classified(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
