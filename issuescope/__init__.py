@@ -22,7 +22,11 @@ from .operators.groups import (
     group_rows,
     groups_of,
     keep_frequent,
+    label_summary,
     labels_by_lang,
+    ranked_labels,
+    summary_facts,
+    summary_of,
     top_links,
     top_messages,
 )

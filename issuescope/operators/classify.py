@@ -13,9 +13,7 @@ from ..functions.text import clean_text, text_key
 from ..session import stage_table
 from ..sources.memo import memo_table
 from .completions import Completion, answer_table, classify_requests
-from .lookup import bounded_rows, spread_lookup
-
-HOT_ROWS = 100_000
+from .lookup import HOT_ROWS, bounded_rows, spread_lookup
 
 
 def lexicon_label_ids(text: Column | str, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:

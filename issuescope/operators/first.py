@@ -54,7 +54,7 @@ def first_n_per_key(
 def value_profile(
     df: DataFrame, label: str, columns: Sequence[str] = (), row_id: str = "row_id", usable: Column | None = None
 ) -> DataFrame:
-    """One row per label and combination of ``columns``: row count, first row, first usable row.
+    """One row per label and combination of ``columns``: row counts, first row, first usable row.
 
     Everything asked per label later (counts, first values) is an aggregate of this small table, so the data is
     aggregated once, by hash and before the shuffle, and a hot label costs no more than a rare one.
@@ -62,6 +62,7 @@ def value_profile(
     usable = F.lit(True) if usable is None else usable
     return df.groupBy(label, *columns).agg(
         F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(usable, F.lit(1))).alias("usable_rows"),
         F.min(row_id).alias("first_row_id"),
         F.min(F.when(usable, F.col(row_id))).alias("first_usable_row_id"),
     )

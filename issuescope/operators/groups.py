@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..constants import MAX_LINKS, MAX_MESSAGE_CHARS, MAX_MESSAGES, NO_LABEL
 from ..functions.text import lstrip, truncate_text
 from ..session import stage_table
-from .first import first_n_per_key, first_non_null_of, value_profile, with_rank
+from .first import first_n_per_key, first_non_null_of, first_row_value_of, value_profile, with_rank
+from .lookup import HOT_ROWS, spread_lookup
 
 
 def label_counts(
@@ -44,11 +45,21 @@ def frequent_labels(
 
 
 def keep_frequent(
-    df: DataFrame, label: str = "label", min_count: int = 2, exclude: str | None = NO_LABEL
+    df: DataFrame,
+    label: str = "label",
+    min_count: int = 2,
+    exclude: str | None = NO_LABEL,
+    row_id: str = "row_id",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """The rows whose label is frequent."""
-    frequent = frequent_labels(df, label, min_count, exclude).select(F.col("label").alias("_frequent"))
-    return df.join(frequent, F.col(label) == F.col("_frequent"), "left_semi")
+    """The rows whose label is frequent.
+
+    A semi join by ``spread_lookup``: labels may be free text with one value on a third of the rows.
+    """
+    frequent = frequent_labels(df, label, min_count, exclude).select(
+        F.col("label").alias(label), F.col("count").alias("_copies"), F.lit(True).alias("_frequent")
+    )
+    return spread_lookup(df, frequent, label, row_id, "_copies", hot_rows).filter("_frequent").drop("_frequent")
 
 
 def top_messages(
@@ -114,35 +125,62 @@ def label_summary(
     label: str = "label",
     has_message: Column | None = None,
     row_id: str = "row_id",
-    exclude: str | None = NO_LABEL,
+    first_rows: Sequence[str] = (),
 ) -> DataFrame:
-    """(label, count, first_row_id, <columns>): per label, all its rows and the first non-null of each column.
+    """Everything a report asks per label, in one pass over the rows.
 
-    First values are taken over rows that have a message; the count is over all rows.
+    (label, count, n_messages, first_row_id, <columns>, first_<column>): rows, rows with a message, and of each
+    column the first value that is not null, over rows with a message.  For columns in ``first_rows`` also the
+    value of the very first row.  Rows without a label form a line of their own.
     """
     has_message = F.col("message").isNotNull() if has_message is None else has_message
-    kept = df.filter(F.col(label).isNotNull())
-    if exclude is not None:
-        kept = kept.filter(F.col(label) != exclude)
-    renamed = kept.select(
+    names = {c: f"_value_{i}" for i, c in enumerate(columns)}
+    renamed = df.select(
         F.col(label).alias("label"),
         F.col(row_id).alias("row_id"),
         has_message.alias("_usable"),
-        *[F.col(f"`{c}`").alias(f"_value_{i}") for i, c in enumerate(columns)],
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
     )
-    values = [f"_value_{i}" for i in range(len(columns))]
-    profile = value_profile(renamed, "label", values, "row_id", F.col("_usable"))
+    profile = value_profile(renamed, "label", list(names.values()), "row_id", F.col("_usable"))
     return profile.groupBy("label").agg(
         F.sum("rows").alias("count"),
+        F.sum("usable_rows").alias("n_messages"),
         F.min("first_row_id").alias("first_row_id"),
-        *[first_non_null_of(v).alias(c) for v, c in zip(values, columns, strict=True)],
+        *[first_non_null_of(n).alias(c) for c, n in names.items()],
+        *[first_row_value_of(names[c], "first_row_id").alias(f"first_{c}") for c in first_rows],
+    )
+
+
+def ranked_labels(summary: DataFrame, exclude: str | None = NO_LABEL) -> DataFrame:
+    """The labels of a written summary in the order of ``distribution``, with their ``rank``."""
+    kept = summary.filter(F.col("label").isNotNull())
+    if exclude is not None:
+        kept = kept.filter(F.col("label") != exclude)
+    return with_rank(kept)
+
+
+def summary_facts(summary: DataFrame) -> DataFrame:
+    """One row of facts from a summary: rows, rows with a message, distinct labels."""
+    return summary.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("n_messages"), F.lit(0)).alias("n_messages"),
+        F.count("label").alias("n_labels"),
     )
 
 
-def labels_by_lang(df: DataFrame, label: str = "label", message: str = "message", row_id: str = "row_id"):
+def labels_by_lang(
+    df: DataFrame,
+    label: str = "label",
+    message: str = "message",
+    row_id: str = "row_id",
+    exclude: str | None = NO_LABEL,
+) -> DataFrame:
     """(label, lang, value): the first non-null entry of every language column."""
     found = language_columns(df.columns)
-    summary = label_summary(df, list(found.values()), label, F.col(message).isNotNull(), row_id)
+    kept = df.filter(F.col(label).isNotNull())
+    if exclude is not None:
+        kept = kept.filter(F.col(label) != exclude)
+    summary = label_summary(kept, list(found.values()), label, F.col(message).isNotNull(), row_id)
     pairs = F.array(
         *[F.struct(F.lit(lang).alias("lang"), F.col(f"`{c}`").alias("value")) for lang, c in found.items()]
     )
@@ -177,37 +215,39 @@ def group_rows(
     )
 
 
+def summary_of(rows: DataFrame, langs: Sequence[str] = ()) -> DataFrame:
+    """The ``label_summary`` of ``group_rows``, with one column per language."""
+    named = {f"lang_{lang}": F.col("labels_by_lang")[lang] for lang in langs}
+    wide = rows.withColumns(named) if named else rows
+    return label_summary(
+        wide, ["problem_ru", *named], has_message=F.col("has_message"), first_rows=["problem_ru"]
+    )
+
+
 def groups_of(
     rows: DataFrame,
+    labels: DataFrame,
     langs: Sequence[str] = (),
     max_messages: int = MAX_MESSAGES,
     max_links: int = MAX_LINKS,
-    exclude: str | None = NO_LABEL,
 ) -> DataFrame:
-    """One row per label that has a usable message, from the rows made by ``group_rows``.
+    """One row per label that has a usable message, from ``group_rows`` and their ``ranked_labels``.
 
     Columns: label, problem_ru, messages, links, count, labels_by_lang, rank.  The rank is that of
     ``distribution``, so labels without messages leave gaps.
     """
-    kept = rows.filter(F.col("label").isNotNull())
-    if exclude is not None:
-        kept = kept.filter(F.col("label") != exclude)
-    named = {lang: f"_lang_{i}" for i, lang in enumerate(langs)}
-    wide = kept.withColumns({c: F.col("labels_by_lang")[lang] for lang, c in named.items()})
-    summary = label_summary(
-        wide, ["problem_ru", *named.values()], has_message=F.col("has_message"), exclude=None
-    )
-    entries = [e for lang, c in named.items() for e in (F.lit(lang), F.col(c))]
-    heads = with_rank(summary).select(
+    entries = [e for lang in langs for e in (F.lit(lang), F.col(f"`lang_{lang}`"))]
+    heads = labels.select(
         "label",
         "problem_ru",
         "count",
         F.create_map(*entries).cast("map<string,string>").alias("labels_by_lang"),
         "rank",
     )
-    short = kept.filter("message IS NOT NULL").select("label", "row_id", "message")
-    messages = first_n_per_key(short, "label", "row_id", max_messages)
-    links = top_links(kept, has_message=F.col("has_message"), max_links=max_links)
+    # Rows of labels that are not ranked drop out in the joins below.
+    usable = rows.filter("label IS NOT NULL AND message IS NOT NULL")
+    messages = first_n_per_key(usable.select("label", "row_id", "message"), "label", "row_id", max_messages)
+    links = top_links(rows, has_message=F.col("has_message"), max_links=max_links)
     return (
         heads.join(messages.groupBy("label").agg(_in_order("message").alias("messages")), "label")
         .join(links.groupBy("label").agg(_in_order("link").alias("links")), "label", "left")
@@ -227,9 +267,11 @@ def assemble_groups(
     max_chars: int = MAX_MESSAGE_CHARS,
     max_links: int = MAX_LINKS,
 ) -> DataFrame:
-    """``group_rows``, written to the shared folder, and the groups made of them."""
+    """The groups of a message table; its cut rows and their summary are written to the shared folder first."""
+    langs = list(language_columns(df.columns))
     rows = stage_table(group_rows(df, label, problem_ru, message, link, row_id, max_chars), "group-rows")
-    return groups_of(rows, list(language_columns(df.columns)), max_messages, max_links)
+    labels = ranked_labels(stage_table(summary_of(rows, langs), "label-summary"))
+    return groups_of(rows, labels, langs, max_messages, max_links)
 
 
 def corpus_summary(df: DataFrame, message: str = "message", label: str = "label") -> DataFrame:

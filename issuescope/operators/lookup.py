@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 MAX_LITERAL_ROWS = 10_000
 HOT_KEYS = 10_000
+HOT_ROWS = 100_000
 
 _ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 

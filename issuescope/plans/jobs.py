@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MAX_LABELS, MAX_LINKS, MAX_MESSAGE_CHARS, MAX_MESSAGES, NO_LABEL, PROBLEM_COLUMNS
+from ..functions.text import clean_text
 from ..operators.blocks import filter_blocks
 from ..operators.classify import classify_messages, distinct_texts, memo_rows
 from ..operators.completions import (
@@ -25,8 +26,15 @@ from ..operators.completions import (
     sections_from_answers,
     translate_requests,
 )
-from ..operators.first import dedup_first, first_row_value
-from ..operators.groups import corpus_summary, distribution, group_rows, groups_of, language_columns
+from ..operators.first import dedup_first
+from ..operators.groups import (
+    group_rows,
+    groups_of,
+    language_columns,
+    ranked_labels,
+    summary_facts,
+    summary_of,
+)
 from ..operators.labels import (
     add_wide_columns,
     attach_labels,
@@ -36,9 +44,8 @@ from ..operators.labels import (
     parse_translations,
     synonym_table,
 )
-from ..operators.lookup import spread_lookup
+from ..operators.lookup import HOT_ROWS, spread_lookup
 from ..operators.report import build_report, description_block, section_blocks, toc
-from ..functions.text import clean_text
 from ..session import stage_table
 from ..sources.memo import append_memo, read_memo
 from ..sources.messages import read_messages
@@ -114,7 +121,7 @@ def single_label_job(
     output: str = PROBLEM_COLUMNS[0],
     row_id: str = "row_id",
     parallelism: int | None = None,
-    hot_rows: int = 100_000,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """One label per message, asked by name; identical texts are asked once: (table, usage of the calls)."""
     keyed = df.withColumn("_text", F.coalesce(F.col(message), F.lit(""))).withColumn(
@@ -141,27 +148,22 @@ def single_label_job(
     return table, answers.select(*_USAGE)
 
 
-def toc_labels(rows: DataFrame) -> DataFrame:
-    """(label, count, rank, problem_ru) with the translated label of each label's first row."""
-    return distribution(rows).join(first_row_value(rows, "label", "problem_ru"), "label")
-
-
 def report_of(
-    rows: DataFrame,
+    summary: DataFrame,
     sections: DataFrame,
     country: str,
     as_of: dt.datetime,
     banned: Sequence[str] = (),
     layout: str = "report",
 ) -> DataFrame:
-    """The report table of written ``group_rows`` and of their sections (rank, title, text, failed)."""
-    labels = stage_table(toc_labels(rows), "report-labels")
-    facts = rows.select(F.when(F.col("has_message"), F.lit(1)).alias("message"), "label")
+    """The report table of a written label summary and of the sections (rank, title, text, failed)."""
+    labels = ranked_labels(summary)
+    lines = labels.select("label", F.col("first_problem_ru").alias("problem_ru"), "rank")
     return build_report(
         filter_blocks(section_blocks(sections), banned, "title"),
         labels,
-        toc(labels),
-        description_block(corpus_summary(facts), as_of),
+        toc(lines),
+        description_block(summary_facts(summary), as_of),
         country,
         as_of,
         layout=layout,
@@ -200,14 +202,15 @@ def report_job(
         group_rows(merged, "label", roles.problem_ru, roles.message, roles.link, max_chars=max_chars), "report-rows"
     )
     langs = list(language_columns(df.columns))
-    groups = stage_table(groups_of(rows, langs, max_messages, max_links), "groups")
+    summary = stage_table(summary_of(rows, langs), "label-summary")
+    groups = stage_table(groups_of(rows, ranked_labels(summary), langs, max_messages, max_links), "groups")
     written = answer_table(section_requests(groups, country, max_messages), complete, parallelism, name="sections")
     drafts = groups.select("label", "links").join(
         written.filter("error IS NULL").select(F.col("request_id").alias("label"), "content"), "label"
     )
     edited = answer_table(edit_requests(drafts, country), complete, parallelism, name="edited")
     sections = sections_from_answers(groups, written, edited)
-    table = report_of(rows, sections, country, as_of, banned, layout)
+    table = report_of(summary, sections, country, as_of, banned, layout)
     # A section that failed counts with no tokens at all.
     failed = sections.filter("failed").select(F.col("label").alias("request_id"))
     calls = written.unionByName(edited).join(failed, "request_id", "left_anti")

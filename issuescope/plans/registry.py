@@ -26,7 +26,7 @@ from ..session import stage_table, work_dir
 from ..sources.messages import read_messages
 from ..sources.sinks import write_classified
 from . import driver_tables as D
-from .jobs import report_of, toc_labels
+from .jobs import report_of
 
 AS_OF = dt.datetime(2024, 3, 5, 14, 7)
 BANNED = (r"\bsrc7\b", r"ththe\w*", r"example\.net/de")
@@ -851,7 +851,9 @@ _TOC_SQL = f"""{COUNTS_SQL}, toc AS (
 
 @query(f"WITH {_TOC_SQL} SELECT * FROM toc")
 def toc(spark, d):
-    return R.toc(toc_labels(merged_messages(spark, d)))
+    summary = G.label_summary(merged_messages(spark, d), ["problem_ru"], first_rows=["problem_ru"])
+    labels = G.ranked_labels(summary)
+    return R.toc(labels.select("label", F.col("first_problem_ru").alias("problem_ru"), "rank"))
 
 
 @query(
@@ -891,6 +893,7 @@ def description(spark, d):
 
 def _report(spark, d):
     rows = stage_table(G.group_rows(merged_messages(spark, d), max_chars=300), "report-rows")
+    summary = stage_table(G.summary_of(rows), "label-summary")
     text = F.concat(
         F.lit("Описание проблемы\n"),
         "label",
@@ -899,13 +902,13 @@ def _report(spark, d):
         F.lit("\nИсточники\n"),
         F.array_join("links", "\n"),
     )
-    sections = G.groups_of(rows).select(
+    sections = G.groups_of(rows, G.ranked_labels(summary)).select(
         "rank",
         M.section_title(F.col("problem_ru"), F.col("label")).alias("title"),
         text.alias("text"),
         F.lit(False).alias("failed"),
     )
-    return report_of(rows, sections, COUNTRY, AS_OF, BANNED)
+    return report_of(summary, sections, COUNTRY, AS_OF, BANNED)
 
 
 def _report_sql() -> str:
