@@ -16,12 +16,11 @@ from .completions import Completion, answer_table, classify_requests
 from .lookup import HOT_ROWS, bounded_rows, spread_lookup
 
 
-def lexicon_label_ids(text: Column | str, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:
-    """The ids whose terms occur most often in the whole text, most frequent first, ties by id.
+def lexicon_label_ids(lowered: str, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:
+    """The ids whose terms occur most often in a lower-cased column, most frequent first, ties by id.
 
-    Occurrences are counted without regard to case and without overlap; a label may have several terms.
+    Occurrences are counted without overlap; a label may have several terms.
     """
-    lowered = F.lower(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
     by_label: dict[int, list[str]] = {}
     for label_id, term in terms:
         if not term:
@@ -29,36 +28,40 @@ def lexicon_label_ids(text: Column | str, terms: Sequence[tuple[int, str]], max_
         by_label.setdefault(label_id, []).append(term.lower())
     if not by_label:
         return F.array().cast("array<int>")
+    # The lexicon is one constant that a lambda walks, so the plan stays small however many terms there are.
+    lexicon = F.array(
+        *[
+            F.struct(F.lit(i).alias("id"), F.array(*[F.lit(w) for w in words]).alias("terms"))
+            for i, words in by_label.items()
+        ]
+    )
+    text = F.col(lowered)
 
-    def occurrences(term: str) -> Column:
-        without = F.replace(lowered, F.lit(term), F.lit(""))
-        return (F.octet_length(lowered) - F.octet_length(without)) / F.lit(len(term.encode()))
+    def occurrences(term: Column) -> Column:
+        without = F.replace(text, term, F.lit(""))
+        return (F.octet_length(text) - F.octet_length(without)) / F.octet_length(term)
 
-    def scored(label_id: int, words: list[str]) -> Column:
-        score = sum((occurrences(t) for t in words[1:]), occurrences(words[0]))
-        return F.when(
-            score > 0,
-            F.struct(score.alias("score"), F.lit(-label_id).alias("order"), F.lit(label_id).alias("id")),
-        )
+    def scored(entry: Column) -> Column:
+        score = F.aggregate(entry.getField("terms"), F.lit(0.0), lambda total, t: total + occurrences(t))
+        return F.struct((-score).alias("order"), entry.getField("id").alias("id"))
 
-    # Only functions that compile to Java code: inside a lambda the lower-cased text would be made again for
-    # every term.  Falling scores put the missing ones last, where array_except removes their null ids.
-    ranked = F.sort_array(F.array(*[scored(i, words) for i, words in by_label.items()]), asc=False)
-    return F.array_except(F.slice(ranked, 1, max_labels).getField("id"), F.array(F.lit(None).cast("int")))
+    found = F.filter(F.transform(lexicon, scored), lambda s: s.getField("order") < 0)
+    return F.slice(F.sort_array(found), 1, max_labels).getField("id")
 
 
 def lexicon_classify(
     df: DataFrame, lexicon: DataFrame, text: str = "message", max_labels: int = MAX_LABELS, output: str = "label_ids"
 ) -> DataFrame:
-    """Add the ids of the labels whose terms are most frequent in the text.  Needs no shuffle and no model.
+    """Add the ids of the labels whose terms are most frequent in the whole text, without regard to case.
 
-    ``lexicon`` has (label_id, term).
+    ``lexicon`` has (label_id, term).  Needs no shuffle and no model.
     """
     rows = bounded_rows(lexicon.select("label_id", "term"))
     if rows is None:
         raise ValueError("the lexicon is too long to be matched term by term")
     terms = sorted((r.label_id, r.term) for r in rows)
-    return df.withColumn(output, lexicon_label_ids(text, terms, max_labels))
+    lowered = df.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
+    return lowered.withColumn(output, lexicon_label_ids("_lowered", terms, max_labels)).drop("_lowered")
 
 
 def distinct_texts(df: DataFrame, key: str, text: str) -> DataFrame:

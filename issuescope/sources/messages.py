@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from ..constants import MESSAGE_COLUMNS, NA_VALUES, PROBLEM_COLUMNS, PROBLEM_RU_
 
 _OVERFLOW, _CORRUPT = "_overflow", "_corrupt"
 _POSITION_BITS = 33
+_BROADCAST_FILES = 200_000
 
 
 def _unique_headers(headers: Sequence[str]) -> list[str]:
@@ -43,8 +45,6 @@ def _row_id(raw: DataFrame) -> DataFrame:
 
     A multi-line file is read by one task, so its rows have rising places; the files are numbered by path.
     """
-    from ..operators.lookup import literal_table
-
     files = sorted(raw.inputFiles())
     if len(files) >= 1 << (63 - _POSITION_BITS):
         raise ValueError("too many files to number their rows")
@@ -52,12 +52,11 @@ def _row_id(raw: DataFrame) -> DataFrame:
     placed = raw.withColumn("_file", F.input_file_name()).withColumn("_place", place)
     if len(files) == 1:
         return placed.withColumn("row_id", F.col("_place")).drop("_file", "_place")
-    spark = raw.sparkSession
-    rows = [(f, n) for n, f in enumerate(files)]
-    try:
-        numbers = literal_table(spark, rows, "_file string, _number bigint")
-    except ValueError:  # more files than a constant should hold
-        numbers = spark.createDataFrame(rows, "_file string, _number bigint")
+    table = pa.table({"_file": pa.array(files), "_number": pa.array(range(len(files)), pa.int64())})
+    numbers = raw.sparkSession.createDataFrame(table, schema="_file string, _number bigint")
+    # One short row per file; the session lists the same paths anyway.
+    if len(files) <= _BROADCAST_FILES:
+        numbers = F.broadcast(numbers)
     numbered = placed.join(numbers, "_file")
     row_id = F.shiftleft(F.col("_number"), _POSITION_BITS).bitwiseOR(F.col("_place"))
     return numbered.withColumn("row_id", row_id).drop("_file", "_number", "_place")
@@ -92,7 +91,7 @@ def read_messages(
     header = spark.read.option("encoding", encoding).text(path).head()
     if header is None:
         raise ValueError(f"no header in {path}")
-    line = header.value.removeprefix("﻿")
+    line = header.value.removeprefix("\ufeff")
     sep = sep or (";" if ";" in line else ",")
     names = _unique_headers(next(csv.reader([line], delimiter=sep)))
     # Columns are read by place, so that odd header names cannot confuse the reader.
