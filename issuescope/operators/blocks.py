@@ -120,11 +120,12 @@ def parse_blocks(
     joined = F.array_join(F.transform(triples, packed), "")
     blocks = F.when(F.size("_lines") > 0, F.split(F.substr(joined, F.lit(2)), "\n"))
     if fallback:
-        blocks = F.coalesce(blocks, F.array(F.lit("")))
-    single = coded.select(*keep, "_whole", F.posexplode(blocks).alias("block_no", "_block"))
+        blocks = F.coalesce(blocks, F.array(F.concat(F.lit("p"), F.coalesce("_whole", F.lit("")))))
+    # Only the keys go along: a long text next to each of its blocks would be copied once per block.
+    single = coded.select(*keep, F.posexplode(blocks).alias("block_no", "_block"))
     code, body = F.substring("_block", 1, 1), F.substr("_block", F.lit(2))
     kind = (
-        F.when(code.isin("p", ""), F.lit("paragraph"))
+        F.when(code == "p", F.lit("paragraph"))
         .when(code == "u", F.lit("quote"))
         .when(code == "L", F.lit("sources"))
         .otherwise(F.lit("subheading"))
@@ -133,7 +134,7 @@ def parse_blocks(
         *keep,
         "block_no",
         kind.alias("type"),
-        F.when(code == "", F.col("_whole")).when(code != "L", body).alias("text"),
+        F.when(code != "L", body).alias("text"),
         F.when(code == "L", F.split(body, "\r")).alias("items"),
     )
 

@@ -75,7 +75,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = F.when(F.col("lang") != "en", F.concat(F.lit("https://"), "source", F.lit(".example.org/"), "lang"))
     return joined.select(
         F.col("doc_id").alias("row_id"),
-        F.when(F.col("lang") != "es", F.split_part("text", F.lit("\n"), F.lit(1))).alias("title"),
+        F.when(F.col("lang") != "es", F.substring_index("text", "\n", 1)).alias("title"),
         F.when(F.col("source") == BLANK_MESSAGE, F.lit("   "))
         .when(F.col("source") != NO_MESSAGE, F.col("text"))
         .alias("message"),
@@ -177,7 +177,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("model"),
         content.alias("content"),
         F.col("n_chars").alias("prompt_tokens"),
-        F.char_length(F.split_part("text", F.lit("\n"), F.lit(1))).cast("bigint").alias("completion_tokens"),
+        F.char_length(F.substring_index("text", "\n", 1)).cast("bigint").alias("completion_tokens"),
     ).withColumn("total_tokens", F.col("prompt_tokens") + F.col("completion_tokens"))
 
 
@@ -199,7 +199,7 @@ ANSWERS_SQL = f"""answers AS (
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """section_id, title, text: a section around every whole document, with all kinds of lines."""
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    first = F.substring_index("text", "\n", 1)
     lines = [
         F.lit("Описание проблемы:"),
         F.col("text"),
@@ -235,7 +235,7 @@ SECTIONS_SQL = """sections AS (
 
 def noted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """section_id, text: the documents with marked subheadings, blank lines, quotes and a conclusion."""
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
+    first = F.substring_index("text", "\n", 1)
     return documents(spark, sf_dir).select(
         F.col("doc_id").alias("section_id"),
         F.concat(

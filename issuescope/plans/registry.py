@@ -191,7 +191,7 @@ def distribution_merged(spark, d):
 def issue_distribution(spark, d):
     """Raw texts to a ranked table of merged labels: first of each title, labelled by terms, merged, counted."""
     docs = D.documents(spark, d).select(
-        F.col("doc_id").alias("row_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), "text"
+        F.col("doc_id").alias("row_id"), F.substring_index("text", "\n", 1).alias("title"), "text"
     )
     first = P.dedup_first(docs, "title")
     labelled = L.attach_labels(
@@ -255,7 +255,7 @@ def keep_frequent(spark, d):
 
 def _titled(spark, d):
     return D.documents(spark, d).select(
-        F.col("doc_id").alias("row_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title")
+        F.col("doc_id").alias("row_id"), F.substring_index("text", "\n", 1).alias("title")
     )
 
 
@@ -367,7 +367,7 @@ _WORDS = ("Nicht", "In", "Letre", "The", "Du", "Thnt", "Der", "De")
 def parse_single(spark, d):
     from ..sources.catalogue import catalogue_table
 
-    word = F.split_part(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(" "), F.lit(1))
+    word = F.split_part(F.substring_index("text", "\n", 1), F.lit(" "), F.lit(1))
     answer = F.translate(F.concat(F.lit(" «"), F.upper(word), F.lit("». ")), "«»", '""')
     said = D.documents(spark, d).select("doc_id", answer.alias("answer"))
     return L.parse_single_label(said, catalogue_table(spark, _WORDS), "answer").select("doc_id", "label")

@@ -161,7 +161,7 @@ def test_fallback(spark):
     assert blocks_of(spark, "", None, " \n") == []
     assert blocks_of(spark, "", None, " \n", "x", fallback=True) == [
         ("paragraph", ""),
-        ("paragraph", None),
+        ("paragraph", ""),
         ("paragraph", " \n"),
         ("paragraph", "x"),
     ]
@@ -313,3 +313,14 @@ def test_report_order(spark):
         ]
     empty = build_report(blocks, labels.limit(0), toc(labels.limit(0)), text, "Togo", AS_OF)
     assert empty.filter("part = 'distribution'").count() == 0
+
+
+def test_a_very_long_text(spark):
+    lines = ["Описание проблемы", *[f"line {i} (x)" if i % 3 else f"p {i}" for i in range(60000)], "Источники"]
+    text = "\n".join(lines + [f"https://a/{i}" for i in range(30000)])
+    df = spark.createDataFrame([(1, text)], "section_id int, text string")
+    parsed = filter_blocks(parse_blocks(df, fallback=True), ["line 11 "])
+    counts = {r.type: r["count"] for r in parsed.groupBy("type").count().collect()}
+    assert counts == {"subheading": 1, "quote": 39999, "paragraph": 20000, "sources": 1}
+    links = parsed.filter("type = 'sources'").head()["items"]
+    assert len(links) == 30000 and links[-1] == "https://a/29999"
