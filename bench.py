@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the cores (default: all).  Every query runs once to
-warm up and then BENCH_REPEAT times (default 2); the best run counts.  Building the query is part of its time.
+BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the cores (default: all).  All queries run once to warm
+up and then BENCH_REPEAT times (default 2); the best run counts.  Building the query is part of its time.
 """
 
 from __future__ import annotations
@@ -56,14 +56,14 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
-    for name in sys.argv[1:] or HEADLINE:
-        runs = []
-        for _ in range(repeat + 1):
+    names = sys.argv[1:] or HEADLINE
+    runs: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(repeat + 1):
+        for name in names:
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
-        seconds[name] = round(min(runs[1:] or runs), 3)
+            runs[name].append(time.perf_counter() - start)
+    seconds = {name: round(min(times[1:] or times), 3) for name, times in runs.items()}
     spark.stop()
     result = {
         "metric": "total time of the headline queries",

@@ -32,8 +32,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_CLASS = r"[\s\x1C-\x1F]"  # the same characters as a regular expression, to be used with (?U)
-LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+LINE_BREAK = r"[\n-\r\x1C-\x1E\x{85}\x{2028}-\x{2029}]"
 
 # --- Fixed values: synonyms of each merged category, in order of priority ---
 SYNONYM_GROUPS = (

@@ -16,19 +16,14 @@ from ..constants import (
     OPENING_QUOTES,
     QUOTES_HEADING,
     SOURCES_HEADING,
-    SPACE_CLASS,
 )
 from ..functions.text import clean_text, lstrip, rstrip, strip
 
 
-# Every line break, together with the blanks and blank lines before it.  The lookbehind starts a match only at
-# the beginning of a run of blanks, so long runs are walked once.
-_LINE_END = rf"(?U)(?<!{SPACE_CLASS}){SPACE_CLASS}*(?:{LINE_BREAK})"
-
 
 def text_lines(text: Column) -> Column:
     """The lines that are not blank, without the blanks at their ends; leading blanks stay."""
-    return F.filter(F.split(rstrip(F.coalesce(text, F.lit(""))), _LINE_END), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), LINE_BREAK), rstrip), lambda x: x != "")
 
 
 def _starts_with_any(s: Column, prefixes: Sequence[str]) -> Column:

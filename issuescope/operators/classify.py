@@ -13,7 +13,7 @@ from ..functions.text import clean_text, text_key
 from ..session import stage_table
 from ..sources.memo import memo_table
 from .completions import Completion, answer_table, classify_requests
-from .lookup import HOT_ROWS, bounded_rows, spread_lookup
+from .lookup import HOT_ROWS, bounded_rows, columns_of, spread_lookup
 
 
 def lexicon_label_ids(lowered: str, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:
@@ -146,7 +146,7 @@ def classify_messages(
     )
     empty = F.array().cast("array<int>")
     result = labelled.select(
-        *[F.col(f"`{c}`") for c in df.columns], F.coalesce("label_ids", empty).alias("label_ids"), "parse_error"
+        *columns_of(df), F.coalesce("label_ids", empty).alias("label_ids"), "parse_error"
     )
     return result, raw
 

@@ -11,7 +11,7 @@ from ..constants import MAX_LINKS, MAX_MESSAGE_CHARS, MAX_MESSAGES, NO_LABEL
 from ..functions.text import lstrip, truncate_text
 from ..session import stage_table
 from .first import first_n_per_key, first_non_null_of, first_row_value_of, value_profile, with_rank
-from .lookup import HOT_ROWS, spread_lookup
+from .lookup import HOT_ROWS, quoted, spread_lookup
 
 
 def label_counts(
@@ -139,7 +139,7 @@ def label_summary(
         F.col(label).alias("label"),
         F.col(row_id).alias("row_id"),
         has_message.alias("_usable"),
-        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
+        *[quoted(c).alias(n) for c, n in names.items()],
     )
     profile = value_profile(renamed, "label", list(names.values()), "row_id", F.col("_usable"))
     return profile.groupBy("label").agg(
@@ -182,7 +182,7 @@ def labels_by_lang(
         kept = kept.filter(F.col(label) != exclude)
     summary = label_summary(kept, list(found.values()), label, F.col(message).isNotNull(), row_id)
     pairs = F.array(
-        *[F.struct(F.lit(lang).alias("lang"), F.col(f"`{c}`").alias("value")) for lang, c in found.items()]
+        *[F.struct(F.lit(lang).alias("lang"), quoted(c).alias("value")) for lang, c in found.items()]
     )
     return summary.select("label", F.inline(pairs))
 
@@ -202,12 +202,12 @@ def group_rows(
     reads these rows several times; ``stage_table`` them first, so that the whole texts are read once.
     """
     found = language_columns(df.columns)
-    entries = [e for lang, c in found.items() for e in (F.lit(lang), F.col(f"`{c}`"))]
+    entries = [e for lang, c in found.items() for e in (F.lit(lang), quoted(c))]
     nothing = F.lit(None).cast("string")
     return df.select(
         F.col(row_id).alias("row_id"),
         F.col(label).alias("label"),
-        (F.col(f"`{problem_ru}`") if problem_ru else nothing).alias("problem_ru"),
+        (quoted(problem_ru) if problem_ru else nothing).alias("problem_ru"),
         truncate_text(message, max_chars).alias("message"),
         F.col(message).isNotNull().alias("has_message"),
         (F.col(link) if link else nothing).alias("link"),
@@ -236,7 +236,7 @@ def groups_of(
     Columns: label, problem_ru, messages, links, count, labels_by_lang, rank.  The rank is that of
     ``distribution``, so labels without messages leave gaps.
     """
-    entries = [e for lang in langs for e in (F.lit(lang), F.col(f"`lang_{lang}`"))]
+    entries = [e for lang in langs for e in (F.lit(lang), quoted(f"lang_{lang}"))]
     heads = labels.select(
         "label",
         "problem_ru",

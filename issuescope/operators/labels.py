@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LABEL_DICTIONARY, NO_LABEL, SYNONYM_GROUPS
 from ..functions.text import clean_text, label_key
-from .lookup import bounded_rows, literal_array, literal_table
+from .lookup import bounded_rows, columns_of, literal_array, literal_table
 
 
 def synonym_table(spark: SparkSession, groups=SYNONYM_GROUPS) -> DataFrame:
@@ -57,7 +57,7 @@ def merge_labels(
     matches = [F.col(f"_match_{c}") for c in (base, ru) if c]
     match = F.least(*matches) if len(matches) > 1 else matches[0]
     fallback = F.coalesce(F.col(base), F.lit(null_label)) if null_label is not None else F.col(base)
-    return merged.select(*df.columns, F.coalesce(match.getField("canonical"), fallback).alias(output))
+    return merged.select(*columns_of(df), F.coalesce(match.getField("canonical"), fallback).alias(output))
 
 
 def translate_labels(
@@ -84,7 +84,7 @@ def parse_single_label(
     )
     keyed = df.withColumn("_answer_key", single_label_key(answer))
     joined = keyed.join(labels, F.col("_answer_key") == F.col("_label_key"), "left")
-    return joined.select(*df.columns, F.coalesce("_label_found", F.lit(NO_LABEL)).alias(output))
+    return joined.select(*columns_of(df), F.coalesce("_label_found", F.lit(NO_LABEL)).alias(output))
 
 
 def check_langs(langs: Sequence[str], at_most: int = 2) -> list[str]:
@@ -145,7 +145,7 @@ def attach_labels(
 
     wide = df.select("*", *[named(values).alias(f"_names_{suffix}") for suffix, values in names.items()])
     columns = [c for suffix in names for c in _label_columns(F.col(f"_names_{suffix}"), suffix)]
-    return wide.select(*[F.col(f"`{c}`") for c in df.columns], *columns)
+    return wide.select(*columns_of(df), *columns)
 
 
 def _attach_by_join(df, catalogue, ids, translations, langs, row_id):
@@ -169,7 +169,7 @@ def _attach_by_join(df, catalogue, ids, translations, langs, row_id):
     empty = F.array().cast("array<string>")
     joined = df.join(found, row_id, "left")
     columns = [c for s in suffixes for c in _label_columns(F.coalesce(F.col(f"_names_{s}"), empty), s)]
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *columns)
+    return joined.select(*columns_of(df), *columns)
 
 
 def observed_labels(df: DataFrame, candidates: str) -> DataFrame:
@@ -207,7 +207,7 @@ def add_wide_columns(
         for prefix, _, names in sources
         for label in names
     ]
-    return split.select(*[F.col(f"`{c}`") for c in df.columns], *flags)
+    return split.select(*columns_of(df), *flags)
 
 
 def numbered_block(catalogue: DataFrame, name: str = "label", order: str = "label_id") -> DataFrame:

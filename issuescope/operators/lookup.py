@@ -13,6 +13,15 @@ HOT_ROWS = 100_000
 _ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, which may hold dots and blanks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [quoted(c) for c in df.columns]
+
+
 def literal_table(spark: SparkSession, rows, columns: str) -> DataFrame:
     """A few driver-side rows as a table whose size the optimizer knows, so it can choose a broadcast itself."""
     rows = list(rows)
@@ -59,7 +68,7 @@ def spread_lookup(
         cold, F.col("_spread") == F.col("_cold_key"), "left"
     )
     answer = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*df.columns, *[answer.getField(v).alias(v) for v in values])
+    return joined.select(*columns_of(df), *[answer.getField(v).alias(v) for v in values])
 
 
 def lookup_or_self(df: DataFrame, pairs: DataFrame, column: str, output: str) -> DataFrame:

@@ -7,7 +7,7 @@ number.  Every row and every text is kept.  ``*_SQL`` gives the same table in pl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LABEL_DICTIONARY, SYNONYM_GROUPS
@@ -53,13 +53,6 @@ def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_small(documents(spark, sf_dir))
 
 
-def _by_value(column: str, names: dict[str, str]) -> Column:
-    result = F.when(F.lit(False), F.lit(""))
-    for value, name in names.items():
-        result = result.when(F.col(column) == value, name)
-    return result
-
-
 def _sql_case(column: str, names: dict[str, str]) -> str:
     return f"CASE {column} " + " ".join(f"WHEN '{v}' THEN '{n}'" for v, n in names.items()) + " END"
 
@@ -79,8 +72,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("source") == BLANK_MESSAGE, F.lit("   "))
         .when(F.col("source") != NO_MESSAGE, F.col("text"))
         .alias("message"),
-        _by_value("source", _SOURCE_NAMES).alias("problem"),
-        _by_value("lang", PROBLEM_OF_LANG).alias("problem_ru"),
+        F.expr(_sql_case("source", _SOURCE_NAMES)).alias("problem"),
+        F.expr(_sql_case("lang", PROBLEM_OF_LANG)).alias("problem_ru"),
         F.when(F.col("lang") != "es", F.concat("source", F.lit("/"), "lang")).alias("problem_en"),
         F.col("source").alias("problem_en_candidates"),
         F.coalesce("url", home).alias("link"),
@@ -236,7 +229,7 @@ SECTIONS_SQL = """sections AS (
 def noted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """section_id, text: the documents with marked subheadings, blank lines, quotes and a conclusion."""
     first = F.substring_index("text", "\n", 1)
-    return documents(spark, sf_dir).select(
+    return spread_documents(spark, sf_dir).select(
         F.col("doc_id").alias("section_id"),
         F.concat(
             F.lit("## "),

@@ -44,7 +44,7 @@ from ..operators.labels import (
     parse_translations,
     synonym_table,
 )
-from ..operators.lookup import HOT_ROWS, spread_lookup
+from ..operators.lookup import HOT_ROWS, columns_of, spread_lookup
 from ..operators.report import build_report, description_block, section_blocks, toc
 from ..session import stage_table
 from ..sources.memo import append_memo, read_memo
@@ -141,7 +141,7 @@ def single_label_job(
     found = named.select("_key", "copies", "_label", F.col("error").alias("classify_error"))
     joined = spread_lookup(keyed, found, "_key", row_id, "copies", hot_rows)
     table = joined.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *columns_of(df),
         F.coalesce("_label", F.lit(NO_LABEL)).alias(output),
         "classify_error",
     )
@@ -149,21 +149,21 @@ def single_label_job(
 
 
 def report_of(
-    summary: DataFrame,
+    labels: DataFrame,
+    facts: DataFrame,
     sections: DataFrame,
     country: str,
     as_of: dt.datetime,
     banned: Sequence[str] = (),
     layout: str = "report",
 ) -> DataFrame:
-    """The report table of a written label summary and of the sections (rank, title, text, failed)."""
-    labels = ranked_labels(summary)
+    """The report table of ``ranked_labels``, corpus facts and sections (rank, title, text, failed)."""
     lines = labels.select("label", F.col("first_problem_ru").alias("problem_ru"), "rank")
     return build_report(
         filter_blocks(section_blocks(sections), banned, "title"),
         labels,
         toc(lines),
-        description_block(summary_facts(summary), as_of),
+        description_block(facts, as_of),
         country,
         as_of,
         layout=layout,
@@ -203,14 +203,15 @@ def report_job(
     )
     langs = list(language_columns(df.columns))
     summary = stage_table(summary_of(rows, langs), "label-summary")
-    groups = stage_table(groups_of(rows, ranked_labels(summary), langs, max_messages, max_links), "groups")
+    labels = ranked_labels(summary)
+    groups = stage_table(groups_of(rows, labels, langs, max_messages, max_links), "groups")
     written = answer_table(section_requests(groups, country, max_messages), complete, parallelism, name="sections")
     drafts = groups.select("label", "links").join(
         written.filter("error IS NULL").select(F.col("request_id").alias("label"), "content"), "label"
     )
     edited = answer_table(edit_requests(drafts, country), complete, parallelism, name="edited")
     sections = sections_from_answers(groups, written, edited)
-    table = report_of(summary, sections, country, as_of, banned, layout)
+    table = report_of(labels, summary_facts(summary), sections, country, as_of, banned, layout)
     # A section that failed counts with no tokens at all.
     failed = sections.filter("failed").select(F.col("label").alias("request_id"))
     calls = written.unionByName(edited).join(failed, "request_id", "left_anti")

@@ -902,13 +902,14 @@ def _report(spark, d):
         F.lit("\nИсточники\n"),
         F.array_join("links", "\n"),
     )
-    sections = G.groups_of(rows, G.ranked_labels(summary)).select(
+    labels = G.ranked_labels(summary)
+    sections = G.groups_of(rows, labels).select(
         "rank",
         M.section_title(F.col("problem_ru"), F.col("label")).alias("title"),
         text.alias("text"),
         F.lit(False).alias("failed"),
     )
-    return report_of(summary, sections, COUNTRY, AS_OF, BANNED)
+    return report_of(labels, G.summary_facts(summary), sections, COUNTRY, AS_OF, BANNED)
 
 
 def _report_sql() -> str:

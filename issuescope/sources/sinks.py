@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.lookup import quoted
 
 
 def classified_path(input_path: str) -> str:
@@ -27,9 +29,9 @@ def write_classified(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
         raise ValueError(f"unknown format {fmt!r}")
     flat = df.select(
         *[
-            F.array_join(F.col(f"`{f.name}`"), "|").alias(f.name)
+            F.array_join(quoted(f.name), "|").alias(f.name)
             if isinstance(f.dataType, T.ArrayType)
-            else F.col(f"`{f.name}`")
+            else quoted(f.name)
             for f in df.schema.fields
         ]
     )

@@ -159,7 +159,7 @@ def test_lookup_with_hot_keys(spark):
 
 def test_classify_job(spark, tmp_path):
     path = tmp_path / "m.csv"
-    path.write_text("Заголовок;Сообщение;x\nt1;work;1\nt1;copy;2\nt2;other;3\n;;4\n;bad;5\n", encoding="utf-8")
+    path.write_text("Заголовок;Сообщение;x.y z\nt1;work;1\nt1;copy;2\nt2;other;3\n;;4\n;bad;5\n", encoding="utf-8")
     df, roles = load_messages(spark, str(path), require_problem=False)
     assert df.count() == 3  # one of each title; the untitled rows count as one title
     catalogue = catalogue_table(spark, LABELS)
@@ -178,7 +178,7 @@ def test_classify_job(spark, tmp_path):
     assert (got["t1"].problem_russ_candidates, got["t1"].problem_en_candidates) == ("Безработица|Инфляция", "jobs")
     assert (got["t2"].problem_russ, got["t2"].problem_en) == ("Бедность", "poor")
     assert got["t1"]["ru_Инфляция"] and got["t1"]["en_jobs"] and not got["t2"]["en_jobs"]
-    assert got[None].problem_russ == "" and got[None].x == "4"
+    assert got[None].problem_russ == "" and got[None]["x.y z"] == "4"
     assert usage.count() == 3 and read_memo(spark, memo).count() == 2
     before = len(calls(tmp_path))
     classify_job(df, roles, catalogue, complete, ["en"], memo_path=memo)
