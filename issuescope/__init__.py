@@ -45,7 +45,14 @@ from .operators.labels import (
 from .operators.lookup import lookup_or_self
 from .operators.report import build_report, country_display, description_block, section_blocks, toc
 from .operators.usage import cost_estimate, price_table, usage_summary
-from .plans.jobs import classify_job, load_messages, report_job, single_label_job, translate_catalogue
+from .plans.jobs import (
+    classify_job,
+    load_messages,
+    noted_report_job,
+    report_job,
+    single_label_job,
+    translate_catalogue,
+)
 from .session import build_session, spread_small, stage_table, work_dir
 from .sources.catalogue import catalogue_table, read_catalogue
 from .sources.memo import append_memo, memo_table, read_memo

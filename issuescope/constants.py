@@ -144,6 +144,7 @@ WRITER_MODEL = "gpt-4.1"
 # --- Fixed values: default limits ---
 MAX_LABELS = 3
 MAX_MESSAGES = 30
+NOTED_MAX_MESSAGES = 15
 MAX_MESSAGE_CHARS = 2000
 MAX_LINKS = 3
 SINGLE_LABEL_CHARS = 2000
@@ -173,4 +174,7 @@ DESCRIPTION_HEADING = "Описание исследования"
 DISTRIBUTION_HEADING = "Распределение проблем"
 DISTRIBUTION_COLUMNS = ("Проблема", "Количество")
 SOURCES_TITLE = "Источники"
+NOTED_REPORT_TITLE = "Проблемы жителей {country}: тематический анализ"
+NOTED_SOURCES_TITLE = "Источники и материалы:"
+NOTED_FAILED_TEXT = "Не удалось получить анализ из модели. Ошибка: "
 FAILED_SECTION_TEXT = "Не удалось получить анализ. Ошибка: "

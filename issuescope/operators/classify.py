@@ -114,7 +114,7 @@ def classify_messages(
     spark = df.sparkSession
     known = memo if memo is not None else memo_table(spark)
     known = known.filter((F.col("model") == model) & (F.col("max_labels") == max_labels))
-    known = known.groupBy("key").agg(F.first("label_ids").alias("label_ids"))
+    known = known.groupBy("key").agg(F.min("label_ids").alias("label_ids"))
 
     cleaned = df.withColumn("_text", clean_text(text))
     keyed = cleaned.withColumn("_key", F.when(F.col("_text") != "", text_key("_text", labels, key_chars)))

@@ -129,9 +129,10 @@ def label_summary(
 ) -> DataFrame:
     """Everything a report asks per label, in one pass over the rows.
 
-    (label, count, n_messages, first_row_id, <columns>, first_<column>): rows, rows with a message, and of each
-    column the first value that is not null, over rows with a message.  For columns in ``first_rows`` also the
-    value of the very first row.  Rows without a label form a line of their own.
+    (label, count, n_messages, first_row_id, <columns>, ...): rows, rows with a message, and of each column the
+    first value that is not null, over rows with a message.  For columns in ``first_rows`` there is also
+    ``first_<column>``, the value of the very first row, and ``first_usable_<column>``, that of the first row with
+    a message; both may be null.  Rows without a label form a line of their own.
     """
     has_message = F.col("message").isNotNull() if has_message is None else has_message
     names = {c: f"_value_{i}" for i, c in enumerate(columns)}
@@ -148,6 +149,7 @@ def label_summary(
         F.min("first_row_id").alias("first_row_id"),
         *[first_non_null_of(n).alias(c) for c, n in names.items()],
         *[first_row_value_of(names[c], "first_row_id").alias(f"first_{c}") for c in first_rows],
+        *[first_row_value_of(names[c]).alias(f"first_usable_{c}") for c in first_rows],
     )
 
 

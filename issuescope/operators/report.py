@@ -18,7 +18,7 @@ from ..constants import (
     TOC_HEADING,
 )
 from ..functions.text import optional_suffix, render
-from .blocks import parse_blocks
+from .blocks import parse_blocks, split_paragraphs
 from .lookup import literal_table, lookup_or_self
 
 # Places of the parts, as in the report of the command line and in that of the notebook.
@@ -32,6 +32,9 @@ DESCRIPTION = (
     "Тематических категорий: {n_labels}."
 )
 
+# Block number of what closes a section, behind all numbers a text can reach.
+LAST_BLOCK = 2**31 - 1
+
 ORDER_COLUMNS = ("part_no", "section_no", "block_no", "item_no")
 
 
@@ -85,12 +88,12 @@ def _rows(df: DataFrame, part: str, layout: str, kind, text, section=0, block=0,
     )
 
 
-def section_rows(blocks: DataFrame, layout: str = "report") -> DataFrame:
+def section_rows(blocks: DataFrame, layout: str = "report", sources_title: str = SOURCES_TITLE) -> DataFrame:
     """The sections of the report: a title row, then the blocks; links follow a subheading of their own.
 
     ``blocks`` has section_no, title, block_no, type, text and items, already filtered.
     """
-    lead = F.struct(F.lit("subheading").alias("kind"), F.lit(SOURCES_TITLE).alias("text"))
+    lead = F.struct(F.lit("subheading").alias("kind"), F.lit(sources_title).alias("text"))
     links = F.transform("items", lambda u: F.struct(F.lit("source").alias("kind"), u.alias("text")))
     whole = F.array(F.struct(F.col("type").alias("kind"), F.col("text").alias("text")))
     rows = F.when(F.col("type") == "sources", F.concat(F.array(lead), links)).otherwise(whole)
@@ -130,6 +133,25 @@ def section_blocks(sections: DataFrame) -> DataFrame:
     return parsed.unionByName(errors)
 
 
+def noted_blocks(sections: DataFrame) -> DataFrame:
+    """Sections with rank, title, text and links -> blocks with section_no and title.
+
+    The texts have blank lines between paragraphs; the links of the group close the section.
+    """
+    numbered = sections.withColumn("section_no", F.col("rank"))
+    no_items = F.lit(None).cast("array<string>").alias("items")
+    parsed = split_paragraphs(numbered, keep=("section_no", "title")).select("*", no_items)
+    sources = numbered.filter(F.size("links") > 0).select(
+        "section_no",
+        "title",
+        F.lit(LAST_BLOCK).alias("block_no"),
+        F.lit("sources").alias("type"),
+        F.lit(None).cast("string").alias("text"),
+        F.col("links").alias("items"),
+    )
+    return parsed.unionByName(sources)
+
+
 def build_report(
     blocks: DataFrame,
     ranked: DataFrame,
@@ -139,6 +161,7 @@ def build_report(
     as_of: dt.datetime,
     title: str = REPORT_TITLE,
     layout: str = "report",
+    sources_title: str = SOURCES_TITLE,
 ) -> DataFrame:
     """All parts of the report in one table, to be read in the order of ``ORDER_COLUMNS``.
 
@@ -167,7 +190,7 @@ def build_report(
             block=F.col("rank"),
             value=F.col("count"),
         ),
-        section_rows(blocks, layout),
+        section_rows(blocks, layout, sources_title),
     ]
     report = parts[0]
     for part in parts[1:]:

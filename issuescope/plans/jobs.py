@@ -13,7 +13,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import MAX_LABELS, MAX_LINKS, MAX_MESSAGE_CHARS, MAX_MESSAGES, NO_LABEL, PROBLEM_COLUMNS
+from ..constants import (
+    MAX_LABELS,
+    MAX_LINKS,
+    MAX_MESSAGE_CHARS,
+    MAX_MESSAGES,
+    NO_LABEL,
+    NOTED_FAILED_TEXT,
+    NOTED_MAX_MESSAGES,
+    NOTED_REPORT_TITLE,
+    NOTED_SOURCES_TITLE,
+    PROBLEM_COLUMNS,
+)
 from ..functions.text import clean_text
 from ..operators.blocks import filter_blocks
 from ..operators.classify import classify_messages, distinct_texts, memo_rows
@@ -28,6 +39,7 @@ from ..operators.completions import (
 )
 from ..operators.first import dedup_first
 from ..operators.groups import (
+    distribution,
     group_rows,
     groups_of,
     language_columns,
@@ -45,7 +57,14 @@ from ..operators.labels import (
     synonym_table,
 )
 from ..operators.lookup import HOT_ROWS, columns_of, spread_lookup
-from ..operators.report import build_report, description_block, section_blocks, toc
+from ..operators.report import (
+    build_report,
+    description_block,
+    noted_blocks,
+    notebook_heading,
+    section_blocks,
+    toc,
+)
 from ..session import stage_table
 from ..sources.memo import append_memo, read_memo
 from ..sources.messages import read_messages
@@ -216,3 +235,52 @@ def report_job(
     failed = sections.filter("failed").select(F.col("label").alias("request_id"))
     calls = written.unionByName(edited).join(failed, "request_id", "left_anti")
     return Report(table, groups, calls.select(*_USAGE))
+
+
+def noted_report_job(
+    df: DataFrame,
+    roles: ColumnRoles,
+    complete: Completion,
+    country: str,
+    as_of: dt.datetime,
+    max_messages: int = NOTED_MAX_MESSAGES,
+    max_chars: int = MAX_MESSAGE_CHARS,
+    max_links: int = MAX_LINKS,
+    parallelism: int | None = None,
+) -> Report:
+    """The report in its first form: labels as they are, one call per label, and no editing.
+
+    Sections are titled by label and translation, the translation being that of the first message; the texts mark
+    their subheadings with ``##``.  The distribution counts translated labels.
+    """
+    if roles.problem is None:
+        raise ValueError("a report needs a label column")
+    rows = stage_table(
+        group_rows(df, roles.problem, roles.problem_ru, roles.message, roles.link, max_chars=max_chars), "report-rows"
+    )
+    summary = stage_table(summary_of(rows), "label-summary")
+    labels = ranked_labels(summary, exclude=None)
+    first = labels.withColumn("problem_ru", F.col("first_usable_problem_ru"))
+    groups = stage_table(groups_of(rows, first, (), max_messages, max_links), "groups")
+    requests = section_requests(groups, country, max_messages, with_links=True)
+    written = answer_table(requests, complete, parallelism, name="sections")
+    answers = written.select(F.col("request_id").alias("label"), "content", "error")
+    sections = groups.join(answers, "label", "left").select(
+        "rank",
+        notebook_heading(F.col("label"), F.col("problem_ru")).alias("title"),
+        F.coalesce(F.concat(F.lit(NOTED_FAILED_TEXT), "error"), F.col("content")).alias("text"),
+        "links",
+    )
+    shown = rows.select("row_id", F.coalesce("problem_ru", "label").alias("label"))
+    table = build_report(
+        noted_blocks(sections),
+        distribution(shown, exclude=None),
+        toc(labels.select("label", F.col("first_problem_ru").alias("problem_ru"), "rank")),
+        description_block(summary_facts(summary), as_of),
+        country,
+        as_of,
+        title=NOTED_REPORT_TITLE,
+        layout="notebook",
+        sources_title=NOTED_SOURCES_TITLE,
+    )
+    return Report(table, groups, written.select(*_USAGE))

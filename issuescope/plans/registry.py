@@ -943,7 +943,7 @@ def _report_sql() -> str:
         + " FROM filtered WHERE type <> 'sources'",
         part.format(6, "sections", "section_id", "block_no", 0, "'subheading'", "'Источники'", none)
         + " FROM filtered WHERE type = 'sources'",
-        part.format(6, "sections", "section_id", "block_no", "pos", "'source'", "link", none)
+        part.format(6, "sections", "section_id", "block_no", "CAST(pos AS INTEGER)", "'source'", "link", none)
         + " FROM (SELECT *, unnest(string_split(items, chr(10))) AS link,"
         " generate_subscripts(string_split(items, chr(10)), 1) AS pos FROM filtered WHERE type = 'sources') AS x",
     ]

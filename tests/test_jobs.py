@@ -15,7 +15,14 @@ from issuescope.operators.completions import (
 )
 from issuescope.operators.lookup import hot_keys, spread_lookup
 from issuescope.operators.report import ORDER_COLUMNS
-from issuescope.plans.jobs import classify_job, load_messages, report_job, single_label_job, translate_catalogue
+from issuescope.plans.jobs import (
+    classify_job,
+    load_messages,
+    noted_report_job,
+    report_job,
+    single_label_job,
+    translate_catalogue,
+)
 from issuescope.session import work_dir
 from issuescope.sources.catalogue import catalogue_table
 from issuescope.sources.memo import read_memo
@@ -255,3 +262,41 @@ def test_section_titles_of_failures(spark):
 
 def test_work_dir_is_the_one_the_session_names(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_noted_report_job(spark):
+    data = [
+        (1, "Floods", None, "Потоп", "u0"),
+        (2, "Floods", "m1", None, "u1"),
+        (3, "Floods", "m2", "Наводнения", "u1"),
+        (4, "Poverty", "lost", "Бедность", None),
+        (5, "Empty", None, None, None),
+    ]
+    df = spark.createDataFrame(data, "row_id long, problem string, text string, problem_ru string, link string")
+
+    def complete(model, messages, temperature, max_tokens):
+        user = messages[1]["content"]
+        if "lost" in user:
+            raise RuntimeError("limit")
+        assert "- m1\n\n- m2" in user and "- u1" in user and "- u0" not in user
+        return "## Суть\n\nтекст\n\n## Выводы\n\nвывод", {"prompt_tokens": 4, "completion_tokens": 1}
+
+    roles = ColumnRoles("text", "problem", "problem_ru", "link")
+    report = noted_report_job(df, roles, complete, "Tanzania", dt.datetime(2024, 3, 5))
+    got = report.table.orderBy(*ORDER_COLUMNS).collect()
+    assert list(dict.fromkeys(r.part for r in got)) == ["title", "date", "description", "distribution", "toc", "sections"]
+    assert got[0].text == "Проблемы жителей Танзании: тематический анализ"
+    # The first message of the label has no translation, although its first row and a later one have.
+    assert [(r.kind, r.text) for r in got if r.part == "sections"] == [
+        ("section_title", "Floods"),
+        ("subheading", "Суть"),
+        ("paragraph", "текст"),
+        ("subheading", "Источники и материалы:"),
+        ("source", "u1"),
+        ("section_title", "Poverty — Бедность"),
+        ("paragraph", "Не удалось получить анализ из модели. Ошибка: limit"),
+    ]
+    assert [r.text for r in got if r.kind == "toc_line"] == ["1. Floods — Потоп", "2. Poverty — Бедность", "3. Empty"]
+    counts = {r.text: r.value for r in got if r.kind == "table_row"}
+    assert counts == {"Потоп": 1, "Floods": 1, "Наводнения": 1, "Бедность": 1, "Empty": 1}
+    assert report.usage.count() == 2
