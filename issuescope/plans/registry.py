@@ -433,13 +433,13 @@ def parse_translations(spark, d):
 
 
 @query(
-    f"""WITH {MERGED_SQL}, usable AS (SELECT label, row_id, {_short_sql("message", 300)} AS message FROM merged)
+    f"""WITH {MERGED_SQL}, usable AS (SELECT label, row_id, {_short_sql("message", 2000)} AS message FROM merged)
     SELECT label, row_id, message, CAST(position AS INTEGER) AS position FROM (
       SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS position
       FROM usable WHERE label IS NOT NULL AND message IS NOT NULL) AS t WHERE position <= 30"""
 )
 def top_messages(spark, d):
-    return G.top_messages(merged_messages(spark, d), max_chars=300)
+    return G.top_messages(merged_messages(spark, d))
 
 
 _LINKS_SQL = """links AS (
@@ -487,7 +487,7 @@ def labels_by_lang(spark, d):
 
 
 GROUPS_SQL = f"""{COUNTS_SQL}, {_LINKS_SQL}, usable AS (
-  SELECT label, row_id, {_short_sql("message", 300)} AS message FROM merged), firsts AS (
+  SELECT label, row_id, {_short_sql("message", 2000)} AS message FROM merged), firsts AS (
   SELECT label, string_agg(message, '\n\n' ORDER BY row_id) AS messages FROM (
     SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id) AS n FROM usable WHERE message IS NOT NULL) AS t
   WHERE n <= 30 GROUP BY label), heads AS (
@@ -501,7 +501,7 @@ GROUPS_SQL = f"""{COUNTS_SQL}, {_LINKS_SQL}, usable AS (
 
 
 def _groups(spark, d):
-    return G.assemble_groups(merged_messages(spark, d), max_chars=300)
+    return G.assemble_groups(merged_messages(spark, d))
 
 
 @query(f"WITH {GROUPS_SQL} SELECT * FROM groups_")
@@ -892,7 +892,7 @@ def description(spark, d):
 
 
 def _report(spark, d):
-    rows = stage_table(G.group_rows(merged_messages(spark, d), max_chars=300), "report-rows")
+    rows = stage_table(G.group_rows(merged_messages(spark, d)), "report-rows")
     summary = stage_table(G.summary_of(rows), "label-summary")
     text = F.concat(
         F.lit("Описание проблемы\n"),
