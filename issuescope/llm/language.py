@@ -231,7 +231,7 @@ def identify_language(docs: DataFrame, model: bytes | None) -> DataFrame:
     return map_batches(source, _identify(model, lambda b: b.column("text"), finish), schema)
 
 
-def keep_identified(docs: DataFrame, model: bytes | None, least_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: bytes | None, least_score: float = 0.3) -> DataFrame:
     """The rows whose text has a language and reaches ``least_score`` for it, with all columns.
 
     Without a model nothing can be judged and only texts without letters go.
