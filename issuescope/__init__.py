@@ -3,6 +3,7 @@
 from .operators.blocks import filter_blocks, parse_blocks, quote_spans, split_paragraphs
 from .operators.classify import classify_messages, distinct_texts, lexicon_classify, memo_rows, split_by_memo
 from .operators.completions import (
+    CallSettings,
     Prompt,
     answer_table,
     classify_requests,

@@ -12,8 +12,8 @@ from ..functions.answers import parse_label_ids
 from ..functions.text import clean_text, text_key
 from ..session import stage_table
 from ..sources.memo import memo_table
-from .completions import Completion, answer_table, classify_requests
-from .lookup import HOT_ROWS, bounded_rows, columns_of, spread_lookup
+from .completions import CallSettings, Completion, answer_table, classify_requests
+from .lookup import HOT_ROWS, columns_of, spread_lookup
 
 
 def lexicon_label_ids(lowered: str, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:
@@ -54,33 +54,37 @@ def lexicon_classify(
 ) -> DataFrame:
     """Add the ids of the labels whose terms are most frequent in the whole text, without regard to case.
 
-    ``lexicon`` has (label_id, term).  Needs no shuffle and no model.
+    ``lexicon`` has (label_id, term) and becomes part of the plan.  Needs no shuffle and no model.
     """
-    rows = bounded_rows(lexicon.select("label_id", "term"))
-    if rows is None:
-        raise ValueError("the lexicon is too long to be matched term by term")
-    terms = sorted((r.label_id, r.term) for r in rows)
+    terms = sorted((r.label_id, r.term) for r in lexicon.select("label_id", "term").collect())
     lowered = df.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
     return lowered.withColumn(output, lexicon_label_ids("_lowered", terms, max_labels)).drop("_lowered")
 
 
-def distinct_texts(df: DataFrame, key: str, text: str) -> DataFrame:
+def distinct_texts(df: DataFrame, key: str, text: str, row_id: str = "row_id") -> DataFrame:
     """(key, text, copies) of the rows whose text is not blank.
 
-    Equal keys mean equal texts, so any copy will do; copies are merged per task before the shuffle.
+    Equal keys mean equal texts, so the first copy will do.  Only keys and row numbers are aggregated, by hash; then the
+    texts of the first rows are fetched, so that no whole text is ever sorted.
     """
-    return (
-        df.filter(F.col(text) != "")
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.any_value(text).alias("text"), F.count(F.lit(1)).alias("copies"))
+    written = df.filter(F.col(text) != "")
+    first = written.groupBy(F.col(key).alias("key")).agg(
+        F.min(row_id).alias("_first"), F.count(F.lit(1)).alias("copies")
     )
+    texts = written.select(F.col(row_id).alias("_first"), F.col(text).alias("text"))
+    return first.hint("shuffle_hash").join(texts, "_first").select("key", "text", "copies")
+
+
+def match_memo(texts: DataFrame, memo: DataFrame) -> DataFrame:
+    """``texts`` with the ``label_ids`` of the memo and ``_known``, which is null for texts it does not have."""
+    known = memo.groupBy("key").agg(F.min("label_ids").alias("label_ids"), F.lit(True).alias("_known"))
+    return texts.join(known, "key", "left")
 
 
 def split_by_memo(texts: DataFrame, memo: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(hits with their ``label_ids``, misses)."""
-    hits = texts.join(memo.select("key", "label_ids"), "key")
-    misses = texts.join(memo.select("key"), "key", "left_anti")
-    return hits, misses
+    """(hits with their ``label_ids``, misses), from one join, which is written to the shared folder."""
+    matched = stage_table(match_memo(texts, memo), "matched-texts")
+    return matched.filter("_known").drop("_known"), matched.filter("_known IS NULL").drop("_known", "label_ids")
 
 
 def classify_messages(
@@ -93,8 +97,7 @@ def classify_messages(
     translations: DataFrame | None = None,
     langs: Sequence[str] = (),
     max_labels: int = MAX_LABELS,
-    model: str = CLASSIFY_MODEL,
-    parallelism: int | None = None,
+    settings: CallSettings = CallSettings(),
     hot_rows: int = HOT_ROWS,
     key_chars: int = 64,
 ) -> tuple[DataFrame, DataFrame]:
@@ -107,20 +110,16 @@ def classify_messages(
     The key is the whole digest by default: 16 digits, the form of ``text_key``, would make some of a hundred
     billion texts share an answer.
     """
-    rows = bounded_rows(catalogue.select("label_id", "label"))
-    if rows is None:
-        raise ValueError("the label list is too long for a request")
-    labels = [r.label for r in sorted(rows, key=lambda r: r.label_id)]
+    # The list is part of every request anyway.
+    labels = [r.label for r in sorted(catalogue.select("label_id", "label").collect(), key=lambda r: r.label_id)]
     spark = df.sparkSession
+    model = settings.classify.get("model", CLASSIFY_MODEL)
     known = memo if memo is not None else memo_table(spark)
     known = known.filter((F.col("model") == model) & (F.col("max_labels") == max_labels))
-    known = known.groupBy("key").agg(F.min("label_ids").alias("label_ids"))
 
     cleaned = df.withColumn("_text", clean_text(text))
     keyed = cleaned.withColumn("_key", F.when(F.col("_text") != "", text_key("_text", labels, key_chars)))
-    texts = distinct_texts(keyed.select("_key", "_text"), "_key", "_text").join(
-        known.withColumn("_known", F.lit(True)), "key", "left"
-    )
+    texts = match_memo(distinct_texts(keyed.select(row_id, "_key", "_text"), "_key", "_text", row_id), known)
     # Texts that have an answer are not needed again.
     texts = stage_table(
         texts.withColumn("text", F.when(F.col("_known").isNull(), F.col("text"))), "distinct-texts"
@@ -136,10 +135,10 @@ def classify_messages(
         translations=translations,
         langs=langs,
         max_labels=max_labels,
-        model=model,
         keep=("copies",),
+        **settings.classify,
     )
-    raw = run_and_parse(requests, complete, max_labels, parallelism)
+    raw = run_and_parse(requests, complete, max_labels, settings)
     found = hits.unionByName(raw.select(F.col("request_id").alias("key"), "copies", "label_ids", "parse_error"))
     labelled = spread_lookup(
         keyed, found.withColumnRenamed("key", "_key"), "_key", row_id, "copies", hot_rows
@@ -152,9 +151,9 @@ def classify_messages(
 
 
 def run_and_parse(
-    requests: DataFrame, complete: Completion, max_labels: int, parallelism: int | None
+    requests: DataFrame, complete: Completion, max_labels: int, settings: CallSettings
 ) -> DataFrame:
-    answers = answer_table(requests, complete, parallelism, keep=("copies",), name="classify-answers")
+    answers = answer_table(requests, complete, keep=("copies",), name="classify-answers", **settings.running)
     parsed = answers.withColumn("_parsed", parse_label_ids("content", max_labels))
     return parsed.select(
         *answers.columns,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,6 @@ from ..constants import (
 from ..functions.text import bullet_list, clean_text, optional_suffix, render
 from ..session import stage_table
 from .labels import check_langs, numbered_block
-from .lookup import bounded_rows
 
 
 @dataclass(frozen=True)
@@ -81,8 +81,19 @@ def _block(catalogue: DataFrame, name: str = "label") -> str:
     return numbered_block(catalogue, name).head().block
 
 
+def label_line(catalogue: DataFrame, sep: str = ", ") -> str:
+    """The labels in the order of their ids as one text, which goes into every request."""
+    entries = F.array_sort(F.collect_list(F.struct("label_id", "label")))
+    return catalogue.agg(F.array_join(F.transform(entries, lambda e: e.getField("label")), sep).alias("line")).head().line
+
+
 def translate_requests(
-    catalogue: DataFrame, langs, prompt: Prompt = TRANSLATE_PROMPT, model: str = CLASSIFY_MODEL
+    catalogue: DataFrame,
+    langs,
+    prompt: Prompt = TRANSLATE_PROMPT,
+    model: str = CLASSIFY_MODEL,
+    temperature: float = 0.0,
+    max_tokens: int = TRANSLATE_MAX_TOKENS,
 ) -> DataFrame:
     """One request for the translation of the whole catalogue."""
     block = numbered_block(catalogue)
@@ -90,7 +101,7 @@ def translate_requests(
     return block.select(
         F.lit("translate").alias("request_id"),
         *_request(
-            "translate", model, prompt, 0.0, TRANSLATE_MAX_TOKENS, labels=F.col("block"), langs=", ".join(langs)
+            "translate", model, prompt, temperature, max_tokens, labels=F.col("block"), langs=", ".join(langs)
         ),
     )
 
@@ -107,26 +118,26 @@ def classify_requests(
     prompt: Prompt | None = None,
     model: str = CLASSIFY_MODEL,
     keep: tuple[str, ...] = (),
+    max_chars: int | None = SINGLE_LABEL_CHARS,
+    temperature: float = 0.0,
+    max_tokens: int | None = None,
 ) -> DataFrame:
     """One request per row with text.
 
     The default asks for several labels by number and sends the whole text.  ``single`` asks for one label by
-    name and sends the beginning of the text, as that question is defined.
+    name and sends the first ``max_chars`` characters of the text, as that question is defined; None sends it all.
     """
     kept = df.withColumn("_text", clean_text(text)).filter("_text <> ''")
     if single:
-        rows = bounded_rows(catalogue.select("label_id", "label"))
-        if rows is None:
-            raise ValueError("the label list is too long for a request")
-        names = ", ".join(r.label for r in sorted(rows, key=lambda r: r.label_id))
+        names = label_line(catalogue)
         columns = _request(
             "classify",
             model,
             prompt or SINGLE_LABEL_PROMPT,
-            0.0,
-            SINGLE_LABEL_MAX_TOKENS,
+            temperature,
+            max_tokens or SINGLE_LABEL_MAX_TOKENS,
             labels=names,
-            text=F.substring(F.col(text), 1, SINGLE_LABEL_CHARS),
+            text=F.col(text) if max_chars is None else F.substring(F.col(text), 1, max_chars),
         )
     else:
         blocks = ""
@@ -137,8 +148,8 @@ def classify_requests(
             "classify",
             model,
             prompt or CLASSIFY_PROMPT,
-            0.0,
-            CLASSIFY_MAX_TOKENS,
+            temperature,
+            max_tokens or CLASSIFY_MAX_TOKENS,
             text=F.col("_text"),
             labels=_block(catalogue),
             translations=blocks,
@@ -158,6 +169,8 @@ def section_requests(
     with_links: bool = False,
     prompt: Prompt = SECTION_PROMPT,
     model: str = WRITER_MODEL,
+    temperature: float = SECTION_TEMPERATURE,
+    max_tokens: int = SECTION_MAX_TOKENS,
 ) -> DataFrame:
     """One request per group for the text of its section."""
     messages = F.slice("messages", 1, max_messages)
@@ -167,8 +180,8 @@ def section_requests(
             "generate",
             model,
             prompt,
-            SECTION_TEMPERATURE,
-            SECTION_MAX_TOKENS,
+            temperature,
+            max_tokens,
             country=country,
             title=prompt_title(F.col("label"), F.col("problem_ru")),
             max_messages=str(max_messages),
@@ -186,6 +199,8 @@ def edit_requests(
     links: str = "links",
     prompt: Prompt = EDIT_PROMPT,
     model: str = WRITER_MODEL,
+    temperature: float = SECTION_TEMPERATURE,
+    max_tokens: int = SECTION_MAX_TOKENS,
 ) -> DataFrame:
     """One request per written section for its edited text."""
     return sections.select(
@@ -194,8 +209,8 @@ def edit_requests(
             "edit",
             model,
             prompt,
-            SECTION_TEMPERATURE,
-            SECTION_MAX_TOKENS,
+            temperature,
+            max_tokens,
             country=country,
             section=F.col(section),
             links=bullet_list(F.col(links), "\n"),
@@ -203,6 +218,27 @@ def edit_requests(
     )
 
 
+@dataclass(frozen=True)
+class CallSettings:
+    """How a job asks its models.
+
+    ``translate``, ``classify``, ``generate`` and ``edit`` hold arguments of the request functions of these stages:
+    prompt, model, temperature, max_tokens.  ``rounds`` counts the attempts at a request that fails.
+    """
+
+    translate: dict = field(default_factory=dict)
+    classify: dict = field(default_factory=dict)
+    generate: dict = field(default_factory=dict)
+    edit: dict = field(default_factory=dict)
+    parallelism: int | None = None
+    calls_per_task: int = 1
+    rounds: int = 1
+
+    @property
+    def running(self) -> dict:
+        return {"parallelism": self.parallelism, "calls_per_task": self.calls_per_task, "rounds": self.rounds}
+
+
 _ANSWER = T.StructType(
     [
         T.StructField("content", T.StringType()),
@@ -217,11 +253,16 @@ Completion = Callable[[str, list, float, int], "tuple[str, dict | None]"]
 
 
 def run_completions(
-    requests: DataFrame, complete: Completion, parallelism: int | None = None, keep: tuple[str, ...] = ()
+    requests: DataFrame,
+    complete: Completion,
+    parallelism: int | None = None,
+    keep: tuple[str, ...] = (),
+    calls_per_task: int = 1,
 ) -> DataFrame:
     """Call ``complete(model, messages, temperature, max_tokens) -> (content, usage)`` for every request.
 
-    Calls run in as many tasks as ``parallelism`` says.  A call that raises gives a row with ``error``; the
+    Calls run in as many tasks as ``parallelism`` says, and each task has ``calls_per_task`` of them under way at a
+    time, as a call is mostly waiting; ``complete`` must then bear being called from several threads.  A call that raises gives a row with ``error``; the
     columns in ``keep`` are passed through.  The result is lazy: use ``answer_table`` where calls cost money.
     """
     passed = ["request_id", "stage", "model", *keep]
@@ -241,7 +282,11 @@ def run_completions(
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = [ask(r) for r in batch.itertuples(index=False)]
+            if calls_per_task > 1:
+                with ThreadPoolExecutor(calls_per_task) as pool:
+                    answers = list(pool.map(ask, batch.itertuples(index=False)))
+            else:
+                answers = [ask(r) for r in batch.itertuples(index=False)]
             out = batch[passed].reset_index(drop=True)
             values = pd.DataFrame(answers, columns=names).astype(
                 {"prompt_tokens": "int64", "completion_tokens": "int64", "total_tokens": "int64"}
@@ -259,18 +304,19 @@ def answer_table(
     keep: tuple[str, ...] = (),
     rounds: int = 1,
     name: str = "answers",
+    calls_per_task: int = 1,
 ) -> DataFrame:
     """Run the calls and write the answers once; requests that failed are asked again in further ``rounds``.
 
     ``requests`` should be a projection of a written table: a lost executor then repeats its own calls only.
     """
-    answers = stage_table(run_completions(requests, complete, parallelism, keep), name)
+    answers = stage_table(run_completions(requests, complete, parallelism, keep, calls_per_task), name)
     for _ in range(rounds - 1):
         failed = answers.filter("error IS NOT NULL").select("request_id")
         if failed.isEmpty():
             break
         again = requests.join(failed, "request_id", "left_semi")
-        retried = run_completions(again, complete, parallelism, keep)
+        retried = run_completions(again, complete, parallelism, keep, calls_per_task)
         answers = stage_table(answers.filter("error IS NULL").unionByName(retried), name)
     return answers
 

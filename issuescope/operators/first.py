@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET_BITS = 20
+_CUT_IN_TASK = 1000
 
 
 def dedup_first(df: DataFrame, key: str, row_id: str = "row_id", nulls: str = "collapse") -> DataFrame:
@@ -31,18 +32,17 @@ def first_n_per_key(
 ) -> DataFrame:
     """The ``n`` rows with the smallest ``order`` value of every key, numbered in ``position``.
 
-    The filter on ``row_number`` lets each task cut its own rows before the shuffle.  Over very many tasks, what
-    is left of a hot key is still much for one task, so a round over (key, lane) comes first, where the lane is
-    the task a row comes from modulo the number of shuffle partitions.  No task of the second round then sees
-    more than ``n`` rows per lane of a key.  Without ``two_rounds`` the first one is left out, which is enough
-    behind an aggregation, as its output has few partitions.
+    A round over (key, lane) comes first, where the lane is a hash of the order value, so that no task of the second
+    round sees more than ``n`` rows per lane of a key, whatever ``n`` is.  Up to Spark's limit for it (1,000) the
+    filter on ``row_number`` also lets each task cut its own rows before the shuffle; where that is enough, as behind an
+    aggregation, the first round can be left out.
     """
     near = df
-    if two_rounds:
+    if two_rounds or n > _CUT_IN_TASK:
         lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         by_lane = Window.partitionBy(key, "_lane").orderBy(order)
         near = (
-            df.withColumn("_lane", F.spark_partition_id() % lanes)
+            df.withColumn("_lane", F.pmod(F.xxhash64(order), F.lit(lanes)))
             .withColumn(position, F.row_number().over(by_lane))
             .filter(F.col(position) <= n)
             .drop(position, "_lane")
@@ -100,20 +100,25 @@ def with_rank(
     """Number the rows of a count table: count descending, then first row, then label.
 
     A global ``row_number`` would pass the whole table through one task, which is too much if labels are free
-    text.  Rows are numbered within (count, block of first rows) instead, and each such bucket starts after the
-    size of all buckets before it; only the bucket sizes are summed in one task.
+    text.  Rows are numbered within (count, block of first rows) instead.  A bucket starts after all smaller blocks of
+    its count, summed per count, and after all higher counts.  Only one row per distinct count, of which n rows
+    have fewer than the square root of 2 n, meets in one task.
     """
     bucketed = df.withColumn("_bucket", F.shiftright(F.col(first), _BUCKET_BITS))
-    before = Window.orderBy(F.desc(count), "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = bucketed.groupBy(count, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    unbounded = Window.unboundedPreceding
+    higher = Window.orderBy(F.desc(count)).rowsBetween(unbounded, -1)
+    above = sizes.groupBy(count).agg(F.sum("_size").alias("_size"))
+    above = above.select(count, F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_above"))
+    smaller = Window.partitionBy(count).orderBy("_bucket").rowsBetween(unbounded, -1)
     starts = (
-        bucketed.groupBy(count, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .drop("_size")
+        sizes.withColumn("_before", F.coalesce(F.sum("_size").over(smaller), F.lit(0)))
+        .join(above, count)
+        .select(count, "_bucket", (F.col("_before") + F.col("_above")).alias("_start"))
     )
     within = Window.partitionBy(count, "_bucket").orderBy(first, label)
     return (
         bucketed.join(starts, [count, "_bucket"])
-        .withColumn(rank, (F.col("_start") + F.row_number().over(within)).cast("int"))
+        .withColumn(rank, F.col("_start") + F.row_number().over(within))
         .drop("_bucket", "_start")
     )

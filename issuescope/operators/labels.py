@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LABEL_DICTIONARY, NO_LABEL, SYNONYM_GROUPS
 from ..functions.text import clean_text, label_key
-from .lookup import bounded_rows, columns_of, literal_array, literal_table
+from .lookup import HOT_ROWS, columns_of, literal_table, spread_lookup
 
 
 def synonym_table(spark: SparkSession, groups=SYNONYM_GROUPS) -> DataFrame:
@@ -41,15 +41,7 @@ def merge_labels(
     two named it.  Without a match the base label stays as written.  ``null_label`` names rows without a base
     label; by default they stay null.
     """
-    rows = bounded_rows(synonyms.select("synonym", "canonical", "priority"))
-    if rows is None:
-        best = synonyms.groupBy("synonym").agg(F.min(F.struct("priority", "canonical")).alias("_match"))
-    else:
-        ordered = sorted(rows, key=lambda r: (r.priority, r.canonical), reverse=True)
-        table = {r.synonym: (r.synonym, r.canonical, r.priority) for r in ordered}
-        best = literal_table(
-            df.sparkSession, table.values(), "synonym string, canonical string, priority int"
-        ).select("synonym", F.struct("priority", "canonical").alias("_match"))
+    best = synonyms.groupBy("synonym").agg(F.min(F.struct("priority", "canonical")).alias("_match"))
     merged = df
     for column in [c for c in (base, ru) if c]:
         side = best.select(F.col("synonym").alias(f"_key_{column}"), F.col("_match").alias(f"_match_{column}"))
@@ -87,9 +79,10 @@ def parse_single_label(
     return joined.select(*columns_of(df), F.coalesce("_label_found", F.lit(NO_LABEL)).alias(output))
 
 
-def check_langs(langs: Sequence[str], at_most: int = 2) -> list[str]:
+def check_langs(langs: Sequence[str], at_most: int | None = None) -> list[str]:
+    """The names without blanks; more than ``at_most`` of them is an error."""
     langs = [lang.strip() for lang in langs if lang.strip()]
-    if len(langs) > at_most:
+    if at_most is not None and len(langs) > at_most:
         raise ValueError(f"at most {at_most} languages: {langs}")
     return langs
 
@@ -101,73 +94,58 @@ def _label_columns(names: Column, suffix: str) -> list[Column]:
     ]
 
 
+def named_labels(catalogue: DataFrame, translations: DataFrame | None = None, langs: Sequence[str] = ()) -> DataFrame:
+    """(label_id, russ, <langs>): the names of every label.  A repeated id ends the job, as answers could mean either.
+
+    Of several translations of a label into a language the smallest counts.
+    """
+    repeated = F.raise_error(F.concat(F.lit("repeated label id "), F.col("label_id").cast("string")))
+    labels = catalogue.groupBy("label_id").agg(F.count(F.lit(1)).alias("_n"), F.min("label").alias("_label"))
+    labels = labels.select(
+        "label_id", F.when(F.col("_n") > 1, repeated.cast("string")).otherwise(F.col("_label")).alias("_name_russ")
+    )
+    if not langs:
+        return labels
+    words = translations.filter(F.col("lang").isin(*langs)).groupBy(F.col("label").alias("_name_russ"))
+    words = words.agg(*[F.min(F.when(F.col("lang") == x, F.col("translation"))).alias(f"_name_{x}") for x in langs])
+    return labels.join(words, "_name_russ", "left")
+
+
 def attach_labels(
     df: DataFrame,
     catalogue: DataFrame,
     ids: str = "label_ids",
     translations: DataFrame | None = None,
     langs: Sequence[str] = (),
-    row_id: str = "row_id",
-    max_literal: int | None = None,
+    row_id: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Label ids -> ``problem_russ``, ``problem_russ_candidates`` and the same two columns per language.
 
     Order and repetitions of the ids are kept, unknown ids dropped.  A translation that is empty or missing
     leaves no gap, so the first label in a language need not be the translation of the first Russian label.
 
-    A catalogue of ordinary size becomes a constant array indexed by id, so no row moves; a very large one is
-    joined.  ``translations`` has (label, lang, translation).
+    Every distinct list of ids is resolved once, by a join with the label list, and looked up per row; a list that
+    very many rows share is spread.  ``row_id`` names a column that tells rows apart; without it rows are
+    numbered as they come.  ``translations`` has (label, lang, translation).
     """
     langs = check_langs(langs)
     if langs and translations is None:
         raise ValueError("languages need a translations table")
-    limit = {} if max_literal is None else {"max_rows": max_literal}
-    rows = bounded_rows(catalogue.select("label_id", "label"), **limit)
-    spoken = (
-        bounded_rows(translations.filter(F.col("lang").isin(langs)).select("label", "lang", "translation"), **limit)
-        if langs
-        else []
-    )
-    if rows is None or spoken is None or any(not 0 < r.label_id <= 100 * len(rows) for r in rows):
-        return _attach_by_join(df, catalogue, ids, translations, langs, row_id)
-    labels: list[str | None] = [None] * max((r.label_id for r in rows), default=0)
-    for r in rows:
-        labels[r.label_id - 1] = r.label
-    names = {"russ": labels}
-    for lang in langs:
-        words = {r.label: r.translation for r in spoken if r.lang == lang}
-        names[lang] = [words.get(label) for label in labels]
-
-    def named(values: list[str | None]) -> Column:
-        table = literal_array(values)
-        found = F.transform(F.col(ids), lambda i: F.get(table, i - 1))
-        return F.coalesce(F.filter(found, lambda x: x != ""), F.array().cast("array<string>"))
-
-    wide = df.select("*", *[named(values).alias(f"_names_{suffix}") for suffix, values in names.items()])
-    columns = [c for suffix in names for c in _label_columns(F.col(f"_names_{suffix}"), suffix)]
-    return wide.select(*columns_of(df), *columns)
-
-
-def _attach_by_join(df, catalogue, ids, translations, langs, row_id):
-    """The same columns for a catalogue too large to be a constant: ids are exploded, joined and put back."""
-    single = df.select(row_id, F.posexplode(ids).alias("_pos", "label_id")).join(
-        catalogue.select("label_id", F.col("label").alias("_name_russ")), "label_id"
-    )
-    for lang in langs:
-        words = translations.filter(F.col("lang") == lang).select(
-            F.col("label").alias("_name_russ"), F.col("translation").alias(f"_name_{lang}")
-        )
-        single = single.join(words, "_name_russ", "left")
     suffixes = ["russ", *langs]
+    lists = df.groupBy(F.col(ids).alias("_ids")).agg(F.count(F.lit(1)).alias("_rows")).filter("_ids IS NOT NULL")
+    single = lists.select("_ids", "_rows", F.posexplode_outer("_ids").alias("_pos", "label_id"))
+    single = single.join(named_labels(catalogue, translations, langs), "label_id", "left")
 
     def in_order(suffix: str) -> Column:
         name = F.col(f"_name_{suffix}")
         pairs = F.collect_list(F.when(F.coalesce(name, F.lit("")) != "", F.struct("_pos", name.alias("name"))))
         return F.transform(F.array_sort(pairs), lambda p: p["name"]).alias(f"_names_{suffix}")
 
-    found = single.groupBy(row_id).agg(*[in_order(s) for s in suffixes])
+    found = single.groupBy("_ids", "_rows").agg(*[in_order(s) for s in suffixes])
+    rows = df if row_id else df.withColumn("_number", F.monotonically_increasing_id())
+    joined = spread_lookup(rows.withColumn("_ids", F.col(ids)), found, "_ids", row_id or "_number", "_rows", hot_rows)
     empty = F.array().cast("array<string>")
-    joined = df.join(found, row_id, "left")
     columns = [c for s in suffixes for c in _label_columns(F.coalesce(F.col(f"_names_{s}"), empty), s)]
     return joined.select(*columns_of(df), *columns)
 
@@ -178,6 +156,24 @@ def observed_labels(df: DataFrame, candidates: str) -> DataFrame:
     return single.filter("label <> ''").distinct()
 
 
+def seen_labels(df: DataFrame, langs: Sequence[str]) -> dict[str, list[str]]:
+    """The sorted labels found per language, in one pass over the data.
+
+    They become columns, so their number is bounded by what a table can have; they are collected for that.
+    """
+
+    def labels_of(lang: str) -> Column:
+        names = F.split(F.coalesce(F.col(f"problem_{lang}_candidates"), F.lit("")), r"\|")
+        return F.transform(names, lambda x: F.struct(F.lit(lang).alias("lang"), x.alias("label")))
+
+    per_row = F.concat(*[labels_of(lang) for lang in langs])
+    pairs = df.select(F.explode(per_row).alias("p")).select("p.lang", "p.label").filter("label <> ''").distinct()
+    found: dict[str, list[str]] = {lang: [] for lang in langs}
+    for r in pairs.collect():
+        found[r.lang].append(r.label)
+    return {lang: sorted(labels) for lang, labels in found.items()}
+
+
 def add_wide_columns(
     df: DataFrame,
     labels: Sequence[str],
@@ -191,16 +187,11 @@ def add_wide_columns(
     the data once.  All columns come from one projection.
     """
     sources = [("ru", candidates, list(dict.fromkeys(labels)))]
+    missing = [lang for lang in langs if lang not in (observed or {})]
+    seen = seen_labels(df, missing) if missing else {}
     for lang in langs:
-        column = f"problem_{lang}_candidates"
-        if observed is not None and lang in observed:
-            seen = sorted(set(observed[lang]))
-        else:
-            rows = bounded_rows(observed_labels(df, column))
-            if rows is None:
-                raise ValueError(f"too many labels in {column} for one column each")
-            seen = sorted(r.label for r in rows)
-        sources.append((lang, column, seen))
+        names = seen[lang] if lang in seen else sorted(set(observed[lang]))
+        sources.append((lang, f"problem_{lang}_candidates", names))
     split = df.select("*", *[F.split(c, r"\|").alias(f"_set_{p}") for p, c, _ in sources])
     flags = [
         F.coalesce(F.array_contains(f"_set_{prefix}", F.lit(label)), F.lit(False)).alias(f"{prefix}_{label}")
@@ -211,27 +202,40 @@ def add_wide_columns(
 
 
 def numbered_block(catalogue: DataFrame, name: str = "label", order: str = "label_id") -> DataFrame:
-    """The catalogue as one numbered text, one entry per line; entries without text keep their number."""
+    """The catalogue as one text with one entry per line, numbered by ``order``; entries without text keep their line.
+
+    One text is the operator's result, so one task holds it; it is as long as what is put into a request.
+    """
     entries = F.array_sort(F.collect_list(F.struct(F.col(order), F.coalesce(F.col(name), F.lit("")).alias("name"))))
-    lines = F.transform(
-        entries, lambda e, i: F.concat((i + 1).cast("string"), F.lit(". "), e.getField("name"))
-    )
+    lines = F.transform(entries, lambda e: F.concat(e.getField(order).cast("string"), F.lit(". "), e.getField("name")))
     return catalogue.agg(F.array_join(lines, "\n").alias("block"))
 
 
 def parse_translations(answers: DataFrame, catalogue: DataFrame, langs: Sequence[str], answer: str = "content"):
     """A translation answer -> (label, lang, translation).
 
-    The n-th entry of a language belongs to the n-th label; for a label listed twice the later one counts.
+    The n-th entry of a language belongs to the n-th label in the order of the ids; for a label listed twice the later
+    one counts.  See ``translation_fault`` for answers that cannot be used.
     """
-    from ..functions.text import strip_fence
-
-    doc = F.from_json(strip_fence(answer), "translations map<string, array<string>>")
     single = (
-        answers.select(F.explode(doc.getField("translations")).alias("lang", "_entries"))
-        .filter(F.col("lang").isin(check_langs(langs)))
+        answers.select(F.explode(_translations(answer)).alias("lang", "_entries"))
+        .filter(F.col("lang").isin(*check_langs(langs)))
         .select("lang", F.posexplode("_entries").alias("_pos", "_entry"))
     )
-    # Labels are matched by their place in the list, which is what label_id holds.
-    joined = single.join(catalogue.select("label_id", "label"), F.col("_pos") + 1 == F.col("label_id"))
+    entries = F.array_sort(F.collect_list(F.struct("label_id", "label")))
+    places = catalogue.agg(entries.alias("_labels")).select(F.posexplode("_labels").alias("_pos", "_label"))
+    joined = single.join(places.select("_pos", F.col("_label.label").alias("label")), "_pos")
     return joined.groupBy("label", "lang").agg(F.max_by(clean_text("_entry"), "_pos").alias("translation"))
+
+
+def _translations(answer: str) -> Column:
+    from ..functions.text import strip_fence
+
+    return F.from_json(strip_fence(answer), "translations map<string, array<string>>").getField("translations")
+
+
+def translation_fault(answers: DataFrame, answer: str = "content") -> str | None:
+    """Why a translation answer cannot be used: the call failed, or it is not the JSON that was asked for."""
+    checked = answers.select("error", F.left(F.col(answer), F.lit(200)).alias("said"), _translations(answer).alias("found"))
+    fault = checked.filter("error IS NOT NULL OR found IS NULL").head()
+    return None if fault is None else fault.error or f"malformed answer: {fault.said!r}"

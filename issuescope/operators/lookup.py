@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_LITERAL_ROWS = 10_000
 HOT_KEYS = 10_000
 HOT_ROWS = 100_000
+LANES = 64
 
 _ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 
@@ -25,8 +25,6 @@ def columns_of(df: DataFrame) -> list[Column]:
 def literal_table(spark: SparkSession, rows, columns: str) -> DataFrame:
     """A few driver-side rows as a table whose size the optimizer knows, so it can choose a broadcast itself."""
     rows = list(rows)
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} rows; write a table of more than {MAX_LITERAL_ROWS} rows to parquet")
     names = [c.split()[0] for c in columns.split(",")]
     types = [_ARROW_TYPES[c.split()[1]] for c in columns.split(",")]
     values = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
@@ -34,41 +32,39 @@ def literal_table(spark: SparkSession, rows, columns: str) -> DataFrame:
     return spark.createDataFrame(table, schema=columns)
 
 
-def bounded_rows(df: DataFrame, max_rows: int = MAX_LITERAL_ROWS) -> list[Row] | None:
-    """The rows of a small table, or None when it has more than ``max_rows``."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
 def hot_keys(counts: DataFrame, key: str, count: str, min_rows: int) -> DataFrame:
-    """The keys that hold the most rows; at most ``HOT_KEYS`` of them, so the result may be broadcast.
+    """The keys that hold the most rows; at most ``HOT_KEYS`` of them, so their hashes may be broadcast.
 
-    Which keys are in the list changes only how a join is spread, never what it returns.
+    Which keys are in the list changes only how a join is spread, never what it returns.  A key behind them holds
+    less than one row in ``HOT_KEYS``.
     """
-    return counts.filter(F.col(count) >= min_rows).orderBy(F.desc(count), key).limit(HOT_KEYS)
+    return counts.filter(F.col(count) >= min_rows).orderBy(F.desc(count), F.xxhash64(key)).limit(HOT_KEYS)
 
 
 def spread_lookup(
     df: DataFrame, answers: DataFrame, key: str, row_id: str, count: str, min_rows: int
 ) -> DataFrame:
-    """Left join of ``df`` with one answer row per key, with the hottest keys answered by a broadcast.
+    """Left join of ``df`` with one answer row per key, with the rows of hot keys dealt to lanes.
 
-    A key with a third of all rows would otherwise fill a single task.  The (at most ``HOT_KEYS``) answers for
-    keys of ``min_rows`` rows or more are broadcast; rows they serve go into the shuffle under a key of their
-    own, which matches nothing and spreads them evenly.  The rest is an ordinary shuffle join.
+    A key with a third of all rows would otherwise fill a single task.  The hashes of the hottest keys, 8 bytes each
+    however long the keys are, are broadcast; their rows are dealt to ``LANES`` lanes by ``row_id`` and their
+    answers repeated in each.  Rows without a key are dealt out too and match nothing.  Keys are shuffled as hashes and
+    compared in full.
     """
     values = [c for c in answers.columns if c not in (key, count)]
-    hot = hot_keys(answers, key, count, min_rows).select(
-        F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot")
-    )
-    cold = answers.select(F.col(key).alias("_cold_key"), F.struct(*values).alias("_cold"))
-    served = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    spread_key = F.when(F.col("_hot_key").isNotNull(), F.concat(F.lit("row:"), F.col(row_id).cast("string")))
-    joined = served.withColumn("_spread", F.coalesce(spread_key, F.col(key))).join(
-        cold, F.col("_spread") == F.col("_cold_key"), "left"
-    )
-    answer = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.select(*columns_of(df), *[answer.getField(v).alias(v) for v in values])
+    hot = hot_keys(answers, key, count, min_rows).select(F.xxhash64(key).alias("_hash"), F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot.distinct())
+    known = F.col(key).isNotNull()
+    keyed = df.withColumn("_hash", F.when(known, F.xxhash64(key)).otherwise(F.xxhash64(F.lit("no key"), row_id)))
+    lane = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.lit("lane"), row_id), F.lit(LANES))).otherwise(F.lit(0))
+    keyed = keyed.join(hot, "_hash", "left").withColumn("_lane", F.when(known, lane).otherwise(F.lit(-1)))
+    side = answers.select(F.xxhash64(key).alias("_hash"), F.col(key).alias("_found"), F.struct(*values).alias("_answer"))
+    lanes = F.when(F.col("_hot"), F.expr(f"sequence(0L, {LANES - 1}L)")).otherwise(F.expr("array(0L)"))
+    side = side.join(hot, "_hash", "left").withColumn("_lane", F.explode(lanes))
+    side = side.select(F.col("_hash").alias("_side_hash"), F.col("_lane").alias("_side_lane"), "_found", "_answer")
+    same = (F.col("_hash") == F.col("_side_hash")) & (F.col("_lane") == F.col("_side_lane"))
+    joined = keyed.join(side, same & (F.col(key) == F.col("_found")), "left")
+    return joined.select(*columns_of(df), *[F.col("_answer").getField(v).alias(v) for v in values])
 
 
 def lookup_or_self(df: DataFrame, pairs: DataFrame, column: str, output: str) -> DataFrame:
@@ -80,8 +76,3 @@ def lookup_or_self(df: DataFrame, pairs: DataFrame, column: str, output: str) ->
     side = pairs.select(F.col(value).alias("_value"), F.col(display).alias("_display"))
     joined = df.join(side, F.col(column) == F.col("_value"), "left")
     return joined.withColumn(output, F.coalesce("_display", column)).drop("_value", "_display")
-
-
-def literal_array(values: list[str | None]) -> Column:
-    """A string array constant; position ``id - 1`` holds the entry of ``id``."""
-    return F.array(*[F.lit(v).cast("string") for v in values]) if values else F.array().cast("array<string>")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ from ..functions.text import clean_text
 from ..operators.blocks import filter_blocks
 from ..operators.classify import classify_messages, distinct_texts, memo_rows
 from ..operators.completions import (
+    CallSettings,
     Completion,
     answer_table,
     classify_requests,
@@ -55,6 +56,7 @@ from ..operators.labels import (
     parse_single_label,
     parse_translations,
     synonym_table,
+    translation_fault,
 )
 from ..operators.lookup import HOT_ROWS, columns_of, spread_lookup
 from ..operators.report import (
@@ -82,12 +84,16 @@ def load_messages(
     return (dedup_first(df, roles.title, nulls=nulls) if roles.title else df), roles
 
 
-def translate_catalogue(catalogue: DataFrame, langs: Sequence[str], complete: Completion):
+def translate_catalogue(
+    catalogue: DataFrame, langs: Sequence[str], complete: Completion, settings: CallSettings = CallSettings()
+):
     """((label, lang, translation), answers): one call for the whole list; without its answer nothing goes on."""
-    answers = answer_table(translate_requests(catalogue, langs), complete, name="translations")
-    failed = answers.filter("error IS NOT NULL").head()
-    if failed:
-        raise RuntimeError(f"the label list could not be translated: {failed.error}")
+    answers = answer_table(
+        translate_requests(catalogue, langs, **settings.translate), complete, name="translations", **settings.running
+    )
+    fault = translation_fault(answers)
+    if fault:
+        raise RuntimeError(f"the label list could not be translated: {fault}")
     return parse_translations(answers, catalogue, langs), answers
 
 
@@ -100,17 +106,19 @@ def classify_job(
     max_labels: int = MAX_LABELS,
     wide: bool = False,
     memo_path: str | None = None,
-    parallelism: int | None = None,
+    settings: CallSettings = CallSettings(),
+    max_langs: int | None = 2,
 ) -> tuple[DataFrame, DataFrame]:
-    """Labels for every message, in Russian and in ``langs``: (table, usage of the calls).
+    """Labels for every message, in Russian and in ``langs``, of which there may be ``max_langs``: (table, usage of the
+    calls).
 
     With ``memo_path`` texts answered in earlier runs are not asked again.
     """
-    langs = check_langs(langs)
+    langs = check_langs(langs, max_langs)
     if not langs:
-        raise ValueError("name one or two languages")
+        raise ValueError("name a language")
     spark = df.sparkSession
-    translations, asked = translate_catalogue(catalogue, langs, complete)
+    translations, asked = translate_catalogue(catalogue, langs, complete, settings)
     memo = read_memo(spark, memo_path) if memo_path else None
     labelled, answers = classify_messages(
         df,
@@ -121,12 +129,14 @@ def classify_job(
         translations=translations,
         langs=langs,
         max_labels=max_labels,
-        parallelism=parallelism,
+        settings=settings,
     )
     if memo_path:
         append_memo(memo_rows(answers), memo_path)
     table = attach_labels(labelled, catalogue, translations=translations, langs=langs).drop("label_ids")
     if wide:
+        # Written once, as the labels that become columns are looked up first.
+        table = stage_table(table, "classified")
         labels = [r.label for r in catalogue.orderBy("label_id").collect()]
         table = add_wide_columns(table, labels, langs)
     return table, asked.select(*_USAGE).unionByName(answers.select(*_USAGE))
@@ -139,18 +149,22 @@ def single_label_job(
     complete: Completion,
     output: str = PROBLEM_COLUMNS[0],
     row_id: str = "row_id",
-    parallelism: int | None = None,
+    settings: CallSettings = CallSettings(),
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """One label per message, asked by name; identical texts are asked once: (table, usage of the calls)."""
+    """One label per message, asked by name; identical texts are asked once: (table, usage of the calls).
+
+    ``settings.classify`` may also hold ``max_chars``, how much of a text is sent.
+    """
     keyed = df.withColumn("_text", F.coalesce(F.col(message), F.lit(""))).withColumn(
         "_key", F.when(clean_text("_text") != "", F.sha2("_text", 256))
     )
     texts = stage_table(
-        distinct_texts(keyed.filter("_key IS NOT NULL").select("_key", "_text"), "_key", "_text"), "single-texts"
+        distinct_texts(keyed.filter("_key IS NOT NULL").select(row_id, "_key", "_text"), "_key", "_text", row_id),
+        "single-texts",
     )
-    requests = classify_requests(texts, catalogue, "text", "key", single=True, keep=("copies",))
-    answers = answer_table(requests, complete, parallelism, keep=("copies",), name="single-answers")
+    requests = classify_requests(texts, catalogue, "text", "key", single=True, keep=("copies",), **settings.classify)
+    answers = answer_table(requests, complete, keep=("copies",), name="single-answers", **settings.running)
     named = parse_single_label(
         answers.select(F.col("request_id").alias("_key"), "copies", "content", "error"),
         catalogue,
@@ -175,6 +189,7 @@ def report_of(
     as_of: dt.datetime,
     banned: Sequence[str] = (),
     layout: str = "report",
+    description: str | None = None,
 ) -> DataFrame:
     """The report table of ``ranked_labels``, corpus facts and sections (rank, title, text, failed)."""
     lines = labels.select("label", F.col("first_problem_ru").alias("problem_ru"), "rank")
@@ -182,7 +197,7 @@ def report_of(
         filter_blocks(section_blocks(sections), banned, "title"),
         labels,
         toc(lines),
-        description_block(facts, as_of),
+        description_block(facts, as_of, **({} if description is None else {"template": description})),
         country,
         as_of,
         layout=layout,
@@ -208,10 +223,23 @@ def report_job(
     max_links: int = MAX_LINKS,
     banned: Sequence[str] = (),
     layout: str = "report",
-    parallelism: int | None = None,
+    settings: CallSettings = CallSettings(),
+    description: str | None = None,
+    catalogue: DataFrame | None = None,
+    langs: Sequence[str] = (),
 ) -> Report:
-    """Group the messages by merged label, have a section written and edited per label, and build the report."""
+    """Group the messages by merged label, have a section written and edited per label, and build the report.
+
+    Messages without a Russian label column are classified first if there is a ``catalogue`` and ``langs``.
+    ``description`` replaces the template of the description.
+    """
     spark = df.sparkSession
+    first_calls = None
+    if roles.problem_ru is None and catalogue is not None:
+        df, first_calls = classify_job(df, roles, catalogue, complete, langs, settings=settings)
+        df = stage_table(df, "classified")
+        found = resolve_columns(df, False)
+        roles = replace(found, message=roles.message, problem=found.problem or found.problem_ru)
     if roles.problem is None:
         raise ValueError("a report needs a label column")
     merged = merge_labels(
@@ -224,17 +252,21 @@ def report_job(
     summary = stage_table(summary_of(rows, langs), "label-summary")
     labels = ranked_labels(summary)
     groups = stage_table(groups_of(rows, labels, langs, max_messages, max_links), "groups")
-    written = answer_table(section_requests(groups, country, max_messages), complete, parallelism, name="sections")
+    written = answer_table(
+        section_requests(groups, country, max_messages, **settings.generate), complete, name="sections", **settings.running
+    )
     drafts = groups.select("label", "links").join(
         written.filter("error IS NULL").select(F.col("request_id").alias("label"), "content"), "label"
     )
-    edited = answer_table(edit_requests(drafts, country), complete, parallelism, name="edited")
-    sections = sections_from_answers(groups, written, edited)
-    table = report_of(labels, summary_facts(summary), sections, country, as_of, banned, layout)
+    edited = answer_table(edit_requests(drafts, country, **settings.edit), complete, name="edited", **settings.running)
+    # The report and the usage read the sections several times.
+    sections = stage_table(sections_from_answers(groups, written, edited), "written-sections")
+    table = report_of(labels, summary_facts(summary), sections, country, as_of, banned, layout, description)
     # A section that failed counts with no tokens at all.
     failed = sections.filter("failed").select(F.col("label").alias("request_id"))
     calls = written.unionByName(edited).join(failed, "request_id", "left_anti")
-    return Report(table, groups, calls.select(*_USAGE))
+    usage = calls.select(*_USAGE)
+    return Report(table, groups, usage if first_calls is None else first_calls.unionByName(usage))
 
 
 def noted_report_job(
@@ -246,7 +278,8 @@ def noted_report_job(
     max_messages: int = NOTED_MAX_MESSAGES,
     max_chars: int = MAX_MESSAGE_CHARS,
     max_links: int = MAX_LINKS,
-    parallelism: int | None = None,
+    settings: CallSettings = CallSettings(),
+    description: str | None = None,
 ) -> Report:
     """The report in its first form: labels as they are, one call per label, and no editing.
 
@@ -262,8 +295,8 @@ def noted_report_job(
     labels = ranked_labels(summary, exclude=None)
     first = labels.withColumn("problem_ru", F.col("first_usable_problem_ru"))
     groups = stage_table(groups_of(rows, first, (), max_messages, max_links), "groups")
-    requests = section_requests(groups, country, max_messages, with_links=True)
-    written = answer_table(requests, complete, parallelism, name="sections")
+    requests = section_requests(groups, country, max_messages, with_links=True, **settings.generate)
+    written = answer_table(requests, complete, name="sections", **settings.running)
     answers = written.select(F.col("request_id").alias("label"), "content", "error")
     sections = groups.join(answers, "label", "left").select(
         "rank",
@@ -276,7 +309,7 @@ def noted_report_job(
         noted_blocks(sections),
         distribution(shown, exclude=None),
         toc(labels.select("label", F.col("first_problem_ru").alias("problem_ru"), "rank")),
-        description_block(summary_facts(summary), as_of),
+        description_block(summary_facts(summary), as_of, **({} if description is None else {"template": description})),
         country,
         as_of,
         title=NOTED_REPORT_TITLE,

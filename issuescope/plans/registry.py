@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import HEADING_PATTERN, MODEL_PRICES, WHITESPACE
+from ..constants import CLASSIFY_MODEL, HEADING_PATTERN, MAX_LABELS, MODEL_PRICES, WHITESPACE
 from ..functions.answers import parse_label_ids
 from ..functions.text import bullet_list, clean_text, label_key, text_key, truncate_text
 from ..operators import blocks as B
@@ -67,7 +67,7 @@ MERGED_SQL = f"""{D.MESSAGES_SQL}, {D.SYNONYMS_SQL}, merged AS (
   LEFT JOIN synonyms r ON r.synonym = {_KEY.format("m.problem_ru")})"""
 
 COUNTS_SQL = f"""{MERGED_SQL}, counted AS (
-  SELECT label, count(*) AS count, CAST(row_number() OVER (ORDER BY count(*) DESC, min(row_id), label) AS INTEGER) AS rank
+  SELECT label, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, min(row_id), label) AS rank
   FROM merged WHERE label IS NOT NULL AND label <> 'нет' GROUP BY label)"""
 
 
@@ -117,13 +117,14 @@ _LABELS = [c[2] for c in D.CATALOGUE]
 
 @query(
     f"""SELECT substr(sha256(concat(trim(text, {_WS}), '|{"|".join(_LABELS)}')), 1, 16) AS key,
-      count(*) AS copies FROM documents GROUP BY 1"""
+      count(*) AS copies, CAST(max(length(trim(text, {_WS}))) AS BIGINT) AS chars FROM documents GROUP BY 1"""
 )
 def text_key_distinct(spark, d):
     keyed = D.documents(spark, d).select(
-        clean_text("text").alias("text"), text_key(clean_text("text"), _LABELS).alias("key")
+        "doc_id", clean_text("text").alias("text"), text_key(clean_text("text"), _LABELS).alias("key")
     )
-    return C.distinct_texts(keyed, "key", "text").select("key", "copies")
+    texts = C.distinct_texts(keyed, "key", "text", "doc_id")
+    return texts.select("key", "copies", F.char_length("text").cast("long").alias("chars"))
 
 
 @query(
@@ -186,7 +187,7 @@ def distribution_merged(spark, d):
       FROM first_titles f JOIN best b ON b.doc_id = f.doc_id AND b.n = 1
       LEFT JOIN synonyms s ON s.synonym = lower(b.label))
     SELECT label, count(*) AS count,
-      CAST(row_number() OVER (ORDER BY count(*) DESC, min(doc_id), label) AS INTEGER) AS rank FROM named GROUP BY label"""
+      row_number() OVER (ORDER BY count(*) DESC, min(doc_id), label) AS rank FROM named GROUP BY label"""
 )
 def issue_distribution(spark, d):
     """Raw texts to a ranked table of merged labels: first of each title, labelled by terms, merged, counted."""
@@ -204,7 +205,7 @@ def issue_distribution(spark, d):
 @query(
     f"""WITH {D.MESSAGES_SQL}
     SELECT coalesce(problem_ru, problem) AS label, count(*) AS count,
-      CAST(row_number() OVER (ORDER BY count(*) DESC, min(row_id)) AS INTEGER) AS rank
+      row_number() OVER (ORDER BY count(*) DESC, min(row_id)) AS rank
     FROM messages WHERE coalesce(problem_ru, problem) IS NOT NULL GROUP BY 1"""
 )
 def distribution_fallback(spark, d):
@@ -218,7 +219,7 @@ _TITLES_SQL = "titled AS (SELECT doc_id AS row_id, split_part(text, chr(10), 1)
 @query(
     f"""WITH {_TITLES_SQL}
     SELECT title AS label, count(*) AS count,
-      CAST(row_number() OVER (ORDER BY count(*) DESC, min(row_id), title) AS INTEGER) AS rank FROM titled GROUP BY title"""
+      row_number() OVER (ORDER BY count(*) DESC, min(row_id), title) AS rank FROM titled GROUP BY title"""
 )
 def distribution_titles(spark, d):
     """Free text as the label: far more labels than a catalogue has."""
@@ -228,7 +229,7 @@ def distribution_titles(spark, d):
 @query(
     f"""WITH {D.ENGLISH_SQL}
     SELECT t.translation AS label, count(*) AS count,
-      CAST(row_number() OVER (ORDER BY count(*) DESC, min(row_id)) AS INTEGER) AS rank
+      row_number() OVER (ORDER BY count(*) DESC, min(row_id)) AS rank
     FROM english e JOIN dictionary t ON t.label = e.problem GROUP BY t.translation"""
 )
 def value_counts_translated(spark, d):
@@ -344,13 +345,14 @@ def labels_multilang(spark, d):
       first_en AS problem_en, sw AS problem_sw_candidates, first_sw AS problem_sw FROM wide"""
 )
 def labels_multilang_joined(spark, d):
-    """The way for a catalogue too large to be a constant."""
+    """The same with rows told apart by their number and every repeated list spread."""
     return L.attach_labels(
         _label_ids(spark, d),
         D.catalogue(spark),
         translations=D.translations(spark),
         langs=("en", "sw"),
-        max_literal=3,
+        row_id="row_id",
+        hot_rows=2,
     ).drop("label_ids")
 
 
@@ -381,8 +383,7 @@ def parse_single(spark, d):
 )
 def wide_onehot(spark, d):
     labelled = _multilang(spark, d)
-    seen = {"en": [c[3] for c in D.CATALOGUE if c[3]]}
-    wide = L.add_wide_columns(labelled, _LABELS, ("en",), observed=seen)
+    wide = L.add_wide_columns(labelled, _LABELS, ("en",))
     return wide.drop(*[c for c in labelled.columns if c != "row_id"])
 
 
@@ -684,14 +685,23 @@ def text_counter():
 @query(
     f"""WITH {D.MESSAGES_SQL}, {D.CATALOGUE_SQL}, cleaned AS (
       SELECT row_id, trim(coalesce(message, ''), {_WS}) AS clean FROM messages)
-    SELECT m.row_id, CASE WHEN m.clean = '' THEN '' ELSE coalesce(c.label || '|', '') || 'Бедность' END AS problem_russ_candidates,
-      CASE WHEN m.clean = '' THEN '' ELSE coalesce(c.label, 'Бедность') END AS problem_russ
+    SELECT m.row_id, CASE WHEN m.clean = '' THEN '' WHEN length(m.clean) % 4 = 0 THEN 'Инфляция'
+        ELSE coalesce(c.label || '|', '') || 'Бедность' END AS problem_russ_candidates,
+      CASE WHEN m.clean = '' THEN '' WHEN length(m.clean) % 4 = 0 THEN 'Инфляция' ELSE coalesce(c.label, 'Бедность') END
+        AS problem_russ
     FROM cleaned m LEFT JOIN catalogue c ON c.label_id = 1 + length(m.clean) % 9"""
 )
 def classify_memoised(spark, d):
-    labelled, _ = C.classify_messages(
-        D.messages(spark, d).select("row_id", "message"), D.catalogue(spark), text_counter(), hot_rows=50
+    """A quarter of the texts, those whose length four divides, are answered by the memo."""
+    messages = D.messages(spark, d).select("row_id", "message")
+    text = clean_text("message")
+    memo = messages.filter((text != "") & (F.char_length(text) % 4 == 0)).select(
+        text_key(text, _LABELS, 64).alias("key"),
+        F.lit(CLASSIFY_MODEL).alias("model"),
+        F.lit(MAX_LABELS).alias("max_labels"),
+        F.array(F.lit(3)).alias("label_ids"),
     )
+    labelled, _ = C.classify_messages(messages, D.catalogue(spark), text_counter(), memo=memo, hot_rows=50)
     return L.attach_labels(labelled, D.catalogue(spark)).drop("label_ids", "parse_error", "message")
 
 
@@ -716,7 +726,7 @@ def memo_hits_misses(spark, d):
         .distinct()
         .withColumn("label_ids", F.array(F.lit(1), F.lit(2)))
     )
-    hits, misses = C.split_by_memo(C.distinct_texts(docs, "key", "text"), memo)
+    hits, misses = C.split_by_memo(C.distinct_texts(docs, "key", "text", "doc_id"), memo)
     found = hits.select("key", "copies", F.lit(True).alias("hit"), _joined("label_ids"))
     return found.unionByName(
         misses.select("key", "copies", F.lit(False).alias("hit"), F.lit(None).cast("string").alias("label_ids"))

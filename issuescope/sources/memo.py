@@ -24,7 +24,8 @@ def read_memo(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_memo(new: DataFrame, path: str, known: DataFrame | None = None) -> None:
-    """Add answers to the memo.  Pass ``known`` when ``new`` may repeat keys that are there already."""
+    """Add answers to the memo, which has a folder per model and label limit.  Pass ``known`` when ``new`` may repeat keys that are there already."""
     if known is not None:
         new = new.join(known, ["key", "model", "max_labels"], "left_anti")
-    new.select("key", "model", "max_labels", "label_ids").write.mode("append").parquet(path)
+    rows = new.select("key", "label_ids", "model", "max_labels")
+    rows.write.mode("append").partitionBy("model", "max_labels").parquet(path)

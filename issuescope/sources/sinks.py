@@ -17,10 +17,13 @@ def classified_path(input_path: str) -> str:
     return f"{stem}_classified.csv"
 
 
-def write_classified(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
+def write_classified(
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", byte_order_mark: bool = True
+) -> None:
     """Write a message table as parquet, or as ``;`` files with a header.
 
-    In text files lists become ``|``-joined text, and empty and missing values look alike.
+    In text files lists become ``|``-joined text, and empty and missing values look alike.  They start with a byte order
+    mark, by which spreadsheets know the encoding.
     """
     if fmt == "parquet":
         df.write.mode(mode).parquet(path)
@@ -35,6 +38,8 @@ def write_classified(df: DataFrame, path: str, fmt: str = "parquet", mode: str =
             for f in df.schema.fields
         ]
     )
+    if byte_order_mark and flat.columns:
+        flat = flat.withColumnsRenamed({flat.columns[0]: f"\ufeff{flat.columns[0]}"})
     (
         flat.write.mode(mode)
         .option("sep", ";")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from issuescope.operators.classify import classify_messages, lexicon_classify, memo_rows
 from issuescope.operators.completions import (
+    CallSettings,
+    Prompt,
     answer_table,
     classify_requests,
     run_completions,
@@ -143,6 +145,36 @@ def test_requests(spark):
     assert single.messages[1].content.endswith("\n " + "я" * 1999) and single.max_tokens == 10
 
 
+def test_settings_reach_the_model_and_calls_overlap(spark):
+    import threading
+
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(8)], "row_id long, message string").coalesce(1)
+    prompt = Prompt("S {max_labels}", "U {text}")
+    requests = classify_requests(df, catalogue_table(spark, LABELS), prompt=prompt, model="m", temperature=0.7, max_tokens=9)
+
+    def complete(model, messages, temperature, max_tokens):
+        # All four calls of a group have to be under way before any of them ends.
+        if not hasattr(threading, "_meeting"):
+            threading._meeting = threading.Barrier(4, timeout=60)
+        threading._meeting.wait()
+        return f"{model} {messages[0]['content']} {temperature} {max_tokens}", None
+
+    got = run_completions(requests, complete, calls_per_task=4).collect()
+    assert {(r.content, r.error) for r in got} == {("m S 3 0.7 9", None)}
+    whole = classify_requests(df, catalogue_table(spark, LABELS), single=True, max_chars=None).head()
+    assert "text 0" in whole.messages[1].content
+
+
+def test_a_broken_translation_stops_before_any_other_call(spark, tmp_path):
+    df = spark.createDataFrame([(1, "work")], "row_id long, text string")
+    complete = logged(tmp_path, lambda name, user: ("sorry", None))
+    with pytest.raises(RuntimeError, match="could not be translated: malformed"):
+        classify_job(df, ColumnRoles("text"), catalogue_table(spark, LABELS), complete, ["en"])
+    assert len(calls(tmp_path)) == 1
+    with pytest.raises(ValueError):
+        classify_job(df, ColumnRoles("text"), catalogue_table(spark, LABELS), complete, ["a", "b", "c"])
+
+
 def test_lexicon(spark):
     df = spark.createDataFrame([(1, "aaaa B b"), (2, "C"), (3, None), (4, "x" * 5000 + " c aa")], "row_id long, message string")
     terms = [(1, "aa"), (2, "b"), (3, "c"), (3, "B ")]
@@ -156,7 +188,8 @@ def test_lookup_with_hot_keys(spark):
     df = spark.range(3000).select(
         F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 100).cast("string")).alias("k")
     )
-    df = df.unionByName(spark.createDataFrame([(5000, None), (5001, "unknown")], "row_id long, k string"))
+    nulls = spark.range(6000, 8000).select(F.col("id").alias("row_id"), F.lit(None).cast("string").alias("k"))
+    df = df.unionByName(spark.createDataFrame([(5000, None), (5001, "unknown")], "row_id long, k string")).unionByName(nulls)
     answers = df.filter("k <> 'unknown'").groupBy("k").agg(F.count("*").alias("n"), F.max("row_id").alias("v"))
     want = rows(df.join(answers.select("k", "v"), "k", "left").select("row_id", "k", "v"))
     for least in (1, 100, 10**6):
@@ -230,7 +263,7 @@ def test_report_job(spark):
         body = user if "Страна:" not in user else "Описание проблемы\nтекст\nИсточники\nhttp://a"
         return body, {"prompt_tokens": 10, "completion_tokens": 1}
 
-    report = report_job(df, roles, complete, "Tanzania", dt.datetime(2024, 3, 5), parallelism=2)
+    report = report_job(df, roles, complete, "Tanzania", dt.datetime(2024, 3, 5), settings=CallSettings(parallelism=2))
     got = [(r.kind, r.text) for r in report.table.orderBy(*ORDER_COLUMNS).collect() if r.part == "sections"]
     failed = ("paragraph", "Не удалось получить анализ. Ошибка: limit (x)")
     assert got == [

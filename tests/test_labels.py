@@ -14,6 +14,7 @@ from issuescope.operators.labels import (
     observed_labels,
     parse_single_label,
     parse_translations,
+    translation_fault,
     synonym_table,
 )
 from issuescope.sources.catalogue import catalogue_table
@@ -103,17 +104,47 @@ WANT = [
 ]
 
 
-@pytest.mark.parametrize("limit", [None, 2])
-def test_labels_of_ids(spark, limit):
-    got = labelled(spark, **({} if limit is None else {"max_literal": limit})).orderBy("row_id").collect()
+@pytest.mark.parametrize("more", [{}, {"row_id": "row_id"}, {"hot_rows": 1}])
+def test_labels_of_ids(spark, more):
+    got = labelled(spark, **more).orderBy("row_id").collect()
     names = ("problem_russ_candidates", "problem_russ", "problem_en_candidates", "problem_en")
     assert [tuple(r[n] for n in names) for r in got] == WANT
 
 
-def test_too_many_languages(spark):
-    df = spark.createDataFrame([(1, [1])], "row_id long, label_ids array<int>")
-    with pytest.raises(ValueError):
-        attach_labels(df, catalogue_table(spark, ["A"]), langs=["a", "b", "c"])
+def test_three_languages_gaps_nulls_and_many_labels(spark):
+    """One way for every list: ids with gaps, above 10,000 labels, without a row number."""
+    catalogue = spark.range(1, 12_001).select((F.col("id") * 7).cast("int").alias("label_id"), F.concat(F.lit("L"), "id").alias("label"))
+    words = spark.createDataFrame(
+        [("L1", lang, f"{lang}1") for lang in ("a", "b", "c")] + [("L1", "a", "z")], "label string, lang string, translation string"
+    )
+    df = spark.createDataFrame([([84_000, 7],), (None,), ([1, 14],), ([7],), ([7],)], "label_ids array<int>")
+    got = attach_labels(df, catalogue, translations=words, langs=["a", "b", "c"], hot_rows=2)
+    names = ("problem_russ_candidates", "problem_a", "problem_b_candidates", "problem_c")
+    assert rows(got, *names) == [("", "", "", ""), ("L1", "a1", "b1", "c1"), ("L1", "a1", "b1", "c1"), ("L12000|L1", "a1", "b1", "c1"), ("L2", "", "", "")]
+
+
+def test_repeated_ids_end_the_job(spark):
+    twice = spark.createDataFrame([(1, "A"), (1, "B")], "label_id int, label string")
+    df = spark.createDataFrame([([1],)], "label_ids array<int>")
+    with pytest.raises(Exception, match="repeated label id 1"):
+        attach_labels(df, twice).collect()
+
+
+def test_prompt_answer_and_label_agree_on_ids_with_gaps(spark):
+    catalogue = spark.createDataFrame([(7, "G"), (1, "A"), (3, "C")], "label_id int, label string")
+    assert numbered_block(catalogue).head().block == "1. A\n3. C\n7. G"
+    df = spark.createDataFrame([([3, 7],)], "label_ids array<int>")
+    assert attach_labels(df, catalogue).head().problem_russ_candidates == "C|G"
+    answers = spark.createDataFrame([('{"translations": {"en": ["a", "c", "g"]}}', None)], "content string, error string")
+    assert rows(parse_translations(answers, catalogue, ["en"])) == [("A", "en", "a"), ("C", "en", "c"), ("G", "en", "g")]
+
+
+@pytest.mark.parametrize("said", ["sorry", None, "[1]", '{"translations": 3}'])
+def test_translation_faults(spark, said):
+    answers = spark.createDataFrame([(said, None)], "content string, error string")
+    assert "malformed" in translation_fault(answers)
+    good = spark.createDataFrame([('{"translations": {}}', None)], "content string, error string")
+    assert translation_fault(good) is None
 
 
 def test_wide_columns(spark):
@@ -141,7 +172,7 @@ MERGE = [
 ]
 
 
-def test_merging(spark, monkeypatch):
+def test_merging(spark):
     df = spark.createDataFrame([(i, b, r) for i, (b, r, _) in enumerate(MERGE)], "row_id int, problem string, problem_ru string")
     table = synonym_table(spark)
     got = [r.label for r in merge_labels(df, table).orderBy("row_id").collect()]
@@ -152,10 +183,6 @@ def test_merging(spark, monkeypatch):
     twice = spark.createDataFrame([("a", "second", 2), ("a", "first", 1)], "synonym string, canonical string, priority int")
     small = spark.createDataFrame([(1, "A", None)], "row_id int, problem string, problem_ru string")
     assert rows(merge_labels(small, twice), "label") == [("first",)]
-    monkeypatch.setattr("issuescope.operators.labels.bounded_rows", lambda df: None)
-    assert rows(merge_labels(small, twice), "label") == [("first",)]
-    got = [r.label for r in merge_labels(df, table).orderBy("row_id").collect()]
-    assert got == [m[2] for m in MERGE]
 
 
 def test_single_label(spark):
