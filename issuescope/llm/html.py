@@ -169,9 +169,13 @@ def path_scores(nodes: list[tuple[tuple[str, ...], str, bool, int]]) -> dict[tup
         near.setdefault(two, []).append((weight, fused[one]))
     smooth = {}
     for path, own in fused.items():
-        ws = [(w, s) for w, s in near.get(path, []) if w > 0]
-        total = sum(w for w, _ in ws)
-        smooth[path] = own if not total else max(own, (1 - SMOOTHING) * own + SMOOTHING * sum(w * s for w, s in ws) / total)
+        weights = [w for w, _ in near.get(path, []) if w > 0]
+        smooth[path] = own
+        if weights:
+            others = sum(w * s for w, s in near[path]) / sum(weights)
+            pull = SMOOTHING * sum(weights) / len(weights)
+            outside_links = figures[path][3] / figures[path][1]
+            smooth[path] = max(own, ((1 - pull) * own + pull * others) * outside_links)
     return smooth
 
 

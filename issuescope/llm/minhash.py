@@ -341,6 +341,11 @@ def minhash_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     chunks = F.greatest(F.col("docs") / SET_CHUNK, F.col("total") / SET_CHUNK_SHINGLES)
     tiles = _tiled(placed, "cluster", chunks, "doc_id").select("cluster", "ti", "tj", "doc_id", "shingles")
     links = map_batches(tiles, _confirm(percent), "a long, b long")
+    # An id with several texts joins the classes of all of them.
+    several = usable.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("h1", "h2") for f in (F.min, F.max)])
+    several = several.filter("min_h1 <> max_h1 OR min_h2 <> max_h2").select("doc_id")
+    same = usable.join(several, "doc_id", "left_semi").join(classes, ["h1", "h2"])
+    links = links.unionByName(same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     found = stage_table(connected_components(links), "components")
 
     rows = sketched.join(classes, ["h1", "h2"], "left")

@@ -83,7 +83,8 @@ def _strength(n: Column, k: Column, mean: Column) -> Column:
     groups, total = F.count(F.lit(1)), F.sum(n)
     spread = F.sum(n * (k / n - mean) * (k / n - mean))
     chance = F.max(mean * (1 - mean))
-    among = (spread - (groups - 1) * chance) / (total - F.sum(n * n) / total)
+    # Null where there is one group only, or none.
+    among = F.try_divide(spread - (groups - 1) * chance, total - F.try_divide(F.sum(n * n), total))
     strength = F.when((among > 0) & (chance > 0), chance / among - 1).otherwise(STRENGTHS[1])
     return F.greatest(F.lit(STRENGTHS[0]), F.least(F.lit(STRENGTHS[1]), F.coalesce(strength, F.lit(STRENGTHS[1]))))
 
@@ -106,7 +107,8 @@ def host_reputations(outcomes: DataFrame) -> DataFrame:
         groups = hosts.withColumn("up", up).groupBy(level, "up").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
         groups = groups.join(above, "up")
         worth = groups.groupBy().agg(_strength(F.col("n"), F.col("k"), F.col("mean")).alias("strength"))
-        posterior = groups.crossJoin(F.broadcast(worth)).select(  # one row
+        worth = worth.withColumn("all", F.lit(level))  # one row
+        posterior = groups.withColumn("all", F.lit(level)).join(F.broadcast(worth), "all").select(
             F.lit(level).alias("level"),
             F.col(level).alias("name"),
             (F.col("strength") * F.col("mean") + F.col("k")).alias("a"),
