@@ -350,6 +350,7 @@ def minhash_components(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     rows = sketched.join(classes, ["h1", "h2"], "left")
     joined = rows.join(found.select(F.col("node").alias("rep"), "root"), "rep", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "rep", "doc_id")).otherwise(F.col("doc_id"))
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(linked, F.coalesce("root", "rep", "doc_id")).otherwise(F.col("doc_id"))
     result = joined.select("doc_id", "n_shingles", component.alias("component_id"))
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
