@@ -1,4 +1,4 @@
-"""Time the headline queries and print one JSON line.
+"""Time the queries and print one JSON line.
 
 BENCH_SF_DIR names the tables (default sf0.1), BENCH_CPUS the cores (default: all).  All queries run once to warm
 up and then BENCH_REPEAT times (default 2); the best run counts.  Building the query is part of its time.
@@ -16,31 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from issuescope.plans.registry import QUERIES  # noqa: E402
 from issuescope.session import build_session  # noqa: E402
 
-HEADLINE = (
-    "issue_distribution",
-    "dedup_first_title",
-    "clean_truncate",
-    "text_key_distinct",
-    "lexicon_multi_label",
-    "merge_synonyms",
-    "distribution_merged",
-    "distribution_titles",
-    "keep_frequent",
-    "parse_ids",
-    "labels_multilang",
-    "wide_onehot",
-    "top_messages",
-    "top_links",
-    "group_records",
-    "classify_requests",
-    "classify_memoised",
-    "parse_blocks",
-    "filter_blocks",
-    "quote_spans",
-    "usage_rollup",
-    "report_blocks",
-)
-
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -56,7 +31,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    names = sys.argv[1:] or HEADLINE
+    names = sys.argv[1:] or list(QUERIES)
     runs: dict[str, list[float]] = {name: [] for name in names}
     for _ in range(repeat + 1):
         for name in names:
@@ -66,7 +41,7 @@ def main() -> None:
     seconds = {name: round(min(times[1:] or times), 3) for name, times in runs.items()}
     spark.stop()
     result = {
-        "metric": "total time of the headline queries",
+        "metric": "total time of the queries",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,

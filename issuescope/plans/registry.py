@@ -23,10 +23,12 @@ from ..operators import labels as L
 from ..operators import report as R
 from ..operators import usage as U
 from ..session import stage_table, work_dir
+from ..sources.catalogue import read_catalogue
+from ..sources.memo import append_memo, read_memo
 from ..sources.messages import read_messages
-from ..sources.sinks import write_classified
+from ..sources.sinks import write_classified, write_distribution
 from . import driver_tables as D
-from .jobs import report_of
+from .jobs import load_messages, report_of
 
 AS_OF = dt.datetime(2024, 3, 5, 14, 7)
 BANNED = (r"\bsrc7\b", r"ththe\w*", r"example\.net/de")
@@ -966,3 +968,90 @@ def _report_sql() -> str:
 @query(_report_sql())
 def report_blocks(spark, d):
     return _report(spark, d)
+
+
+# ---------------------------------------------------------------- lists, memos and files
+
+
+@query(
+    f"""WITH {_SOURCE_LIST_SQL}
+    SELECT 'translate' AS request_id, 'translate' AS stage, 'gpt-4.1-mini' AS model,
+      'Переведи названия проблем. Ответ — только JSON.' AS system,
+      concat('Названия:', chr(10), string_agg(label_id || '. ' || label, chr(10) ORDER BY label_id), chr(10), chr(10),
+        'Языки: en, sw', chr(10), chr(10),
+        'Формат: {{"translations": {{"<язык>": ["перевод 1", "перевод 2"]}}}} в порядке списка.') AS "user",
+      CAST(0 AS DOUBLE) AS temperature, 2000 AS max_tokens FROM sources"""
+)
+def translate_requests(spark, d):
+    return _request_parts(M.translate_requests(_source_list(spark, d), ("en", "sw")))
+
+
+@query(
+    """WITH list AS (SELECT 3 * doc_id + 1 AS label_id, concat(source, '-', doc_id) AS label FROM documents),
+    ids AS (SELECT doc_id, unnest([3 * doc_id + 1, doc_id, 3 * (doc_id // 2) + 1]) AS label_id, unnest([1, 2, 3]) AS n
+      FROM documents)
+    SELECT d.doc_id, coalesce(string_agg(x.label, '|' ORDER BY x.n), '') AS problem_russ_candidates,
+      coalesce(arg_min(x.label, x.n), '') AS problem_russ
+    FROM documents d LEFT JOIN (SELECT ids.doc_id, n, label FROM ids JOIN list USING (label_id)) AS x ON x.doc_id = d.doc_id
+    GROUP BY d.doc_id"""
+)
+def labels_of_a_long_list_with_gaps(spark, d):
+    """A label for every document, under ids with gaps; rows are not numbered by the caller."""
+    docs = D.documents(spark, d)
+    number = F.col("doc_id") * 3 + 1
+    listed = docs.select(number.alias("label_id"), F.concat(F.coalesce("source", F.lit("")), F.lit("-"), "doc_id").alias("label"))
+    ids = F.array(number, F.col("doc_id"), F.floor(F.col("doc_id") / 2) * 3 + 1)
+    return L.attach_labels(docs.select("doc_id", ids.alias("label_ids")), listed).drop("label_ids")
+
+
+@query(
+    """SELECT DISTINCT sha256(coalesce(text, '')) AS key, coalesce(lang, '-') AS model, 3 AS max_labels, '1|2' AS label_ids
+    FROM documents"""
+)
+def memo_round_trip(spark, d):
+    """Answers of one language are there already when those of all are added."""
+    path = f"{work_dir(spark)}/issuescope/memo-{uuid.uuid4().hex}"
+    new = D.documents(spark, d).select(
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"),
+        F.coalesce("lang", F.lit("-")).alias("model"),
+        F.lit(3).alias("max_labels"),
+        F.array(F.lit(1), F.lit(2)).alias("label_ids"),
+    )
+    new = new.distinct()
+    append_memo(new.filter("model = 'en'"), path)
+    append_memo(new, path, read_memo(spark, path))
+    return read_memo(spark, path).select("key", "model", "max_labels", _joined("label_ids"))
+
+
+@query(
+    """SELECT CAST(row_number() OVER (ORDER BY source) AS INTEGER) AS label_id, source AS label
+    FROM (SELECT DISTINCT source FROM documents WHERE source <> '') AS t"""
+)
+def label_list_round_trip(spark, d):
+    path = f"{work_dir(spark)}/issuescope/list-{uuid.uuid4().hex}"
+    names = D.documents(spark, d).filter("source <> ''").select("source").distinct()
+    names.coalesce(1).sortWithinPartitions("source").write.text(path)  # a label list is one file
+    return read_catalogue(spark, path)
+
+
+@query(
+    """SELECT source AS label, CAST(count(*) AS VARCHAR) AS count,
+      CAST(row_number() OVER (ORDER BY count(*) DESC, min(doc_id)) AS VARCHAR) AS rank
+    FROM documents WHERE source IS NOT NULL GROUP BY source"""
+)
+def frequency_round_trip(spark, d):
+    path = f"{work_dir(spark)}/issuescope/counts-{uuid.uuid4().hex}"
+    write_distribution(G.distribution(D.documents(spark, d), "source", "doc_id", exclude=None), path)
+    return read_messages(spark, path, ";").drop("row_id")
+
+
+@query("""SELECT concat('t', doc_id) AS title, nullif(text, '') AS message, nullif(source, '') AS link FROM documents""")
+def load_round_trip(spark, d):
+    """A message file with columns known by name, read back through their roles."""
+    path = f"{work_dir(spark)}/issuescope/messages-{uuid.uuid4().hex}"
+    docs = D.documents(spark, d).select(
+        F.concat(F.lit("t"), "doc_id").alias("Заголовок"), F.col("source").alias("Ссылка"), F.col("text").alias("Сообщение")
+    )
+    write_classified(docs, path, "csv")
+    df, roles = load_messages(spark, path, require_problem=False)
+    return df.select(F.col(roles.title).alias("title"), F.col(roles.message).alias("message"), F.col(roles.link).alias("link"))
