@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import lanes, map_batches
 
 #: Pieces of each kind that are remembered; when as many are new, the older half is forgotten.
-PIECE_CACHE = 300_000
+PIECE_CACHE = 450_000
 _LONG_PIECE = 64
 #: Letters for which the patterns below and those of the library agree in any version of Unicode.
 _COMMON = regex.compile(r"[\x00-\x7f\u00c0-\u017f]*")
