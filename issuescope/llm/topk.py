@@ -14,8 +14,8 @@ from .common import column_numpy, map_batches
 from .vectors import vector_rows
 
 #: Rows of one index block, and queries that visit a block together.
-BLOCK_ROWS = 8_192
-QUERY_ROWS = 256
+BLOCK_ROWS = 32_768
+QUERY_ROWS = 128
 #: Impacts of a dimension are cut into this many levels; a segment holds the rows of one level.
 LEVELS = 32
 #: The proof is tried each time this share of what a query can still gain has been processed.
