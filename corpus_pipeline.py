@@ -17,6 +17,9 @@ from issuescope.llm.packing import pack_documents
 from issuescope.llm.toxicity import drop_toxic, fit_toxicity
 from issuescope.session import stage_table
 
+#: Documents that share this part of their 5-word shingles are near copies.
+NEAR_PERCENT = 80
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain finds toxic go."""
@@ -29,13 +32,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id stays.
+    """Of every group of near copies, 0.8 and more alike, the document with the smallest id stays.
 
     Documents without words are in no group and stay.  Of rows that repeat an id one stays; rows without an id
     cannot be told apart and all stay.
     """
     dropped = stage_table(
-        minhash_components(docs, 85).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct(), "dropped"
+        minhash_components(docs, NEAR_PERCENT).filter("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct(), "dropped"
     )
     turn = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     rest = docs.filter("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti")

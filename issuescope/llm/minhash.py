@@ -4,9 +4,9 @@ How a link is found, without ever listing all pairs of a group:
 
 1. Every text becomes its set of 5-word shingles (64-bit hashes), a 128-bit key of the whole set and a signature of
    ``COORDINATES`` minima.  Equal sets form one class; only its smallest id goes on.
-2. A class posts itself under (coordinate, value) pairs.  Two sets with enough equal coordinates (``MATCHES`` of
-   them) must share one of the first ``COORDINATES - MATCHES + 1`` pairs of any order that all documents keep, so
-   only this prefix is posted; the rest are skipped and looked up in the signature when a posting list is merged.
+2. A class posts itself under (coordinate, value) pairs.  Two sets with enough equal coordinates (``least_matches`` of
+   the threshold) must share one of the first ``COORDINATES - matches + 1`` pairs of any order that all documents keep,
+   so only this prefix is posted; the rest are skipped and looked up in the signature when a posting list is merged.
    The order puts frequent values last, so that a passage in very many documents posts nothing.
 3. Posting lists of equal membership are merged once.  Lists are cut into tiles of at most two chunks, in which
    collisions are counted; a tile returns a spanning forest of the pairs with enough collisions.
@@ -17,6 +17,7 @@ How a link is found, without ever listing all pairs of a group:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,8 @@ from .common import (
 
 SHINGLE_WORDS = 5
 COORDINATES = 64
-#: Coordinates that must agree.  A pair of similarity 0.85 has 54.4 equal ones on average, with a deviation of 2.9;
-#: fewer than 40 happen once in about two million such pairs.
-MATCHES = 40
+#: Of the pairs whose similarity is just the threshold, at most this share may have too few equal coordinates.
+MISSED = 1e-6
 #: The order of postings knows this many of the most frequent values by their counts.  It decides how long posting
 #: lists get, never what is found.
 FREQUENT_VALUES = 65_536
@@ -86,6 +86,20 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def least_matches(percent: int) -> int:
+    """Coordinates that must agree: as many as pairs of this similarity have but for a share of ``MISSED``.
+
+    Equal coordinates of a pair are binomial.  At 0.8 this asks for 34 (3.2e-7 of such pairs have fewer), at 0.85
+    for 39 (6.3e-7); pairs of more than the threshold have too few less often.
+    """
+    p, fewer = percent / 100, 0.0
+    for matches in range(COORDINATES):
+        fewer += comb(COORDINATES, matches) * p**matches * (1 - p) ** (COORDINATES - matches)
+        if fewer > MISSED:
+            return matches
+    return COORDINATES
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     with np.errstate(over="ignore"):
@@ -135,9 +149,9 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted(held)
 
 
-def _postings(frequent: np.ndarray, counts: np.ndarray):
+def _postings(frequent: np.ndarray, counts: np.ndarray, matches: int):
     """A function that posts every document under the prefix of its (coordinate, value) pairs."""
-    prefix = COORDINATES - MATCHES + 1
+    prefix = COORDINATES - matches + 1
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,32 +176,36 @@ def _postings(frequent: np.ndarray, counts: np.ndarray):
     return post
 
 
-def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge_lists(matches: int):
     """Spanning forests of the pairs of a tile whose signatures agree often enough."""
     keys = ["item", "ti", "tj"]
-    for table in whole_groups(batches, keys):
-        sigs, docs = _signatures(table), column_numpy(table, "doc")
-        starts = group_starts(table, keys)
-        ends = np.append(starts[1:], len(docs))
-        left = np.repeat(ends, ends - starts) - np.arange(len(docs)) - 1  # rows of the same tile that follow
-        found = []
-        at = np.flatnonzero(left >= 1)
-        lag = 1
-        while len(at):
-            for part in range(0, len(at), 65_536):
-                i = at[part : part + 65_536]
-                i = i[(sigs[i] == sigs[i + lag]).sum(axis=1, dtype=np.uint8) >= MATCHES]
-                if len(i):
-                    found.append(np.stack([i, i + lag]).astype(np.int32))
-            lag += 1
-            at = at[left[at] >= lag]
-        if found:
-            pairs = np.concatenate(found, axis=1)
-            root = roots(len(docs), pairs[0], pairs[1])
-            child = np.flatnonzero(root != np.arange(len(docs)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs[child]), pa.array(docs[root[child]])], names=["a", "b"]
-            )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, keys):
+            sigs, docs = _signatures(table), column_numpy(table, "doc")
+            starts = group_starts(table, keys)
+            ends = np.append(starts[1:], len(docs))
+            left = np.repeat(ends, ends - starts) - np.arange(len(docs)) - 1  # rows of the same tile that follow
+            found = []
+            at = np.flatnonzero(left >= 1)
+            lag = 1
+            while len(at):
+                for part in range(0, len(at), 65_536):
+                    i = at[part : part + 65_536]
+                    i = i[(sigs[i] == sigs[i + lag]).sum(axis=1, dtype=np.uint8) >= matches]
+                    if len(i):
+                        found.append(np.stack([i, i + lag]).astype(np.int32))
+                lag += 1
+                at = at[left[at] >= lag]
+            if found:
+                pairs = np.concatenate(found, axis=1)
+                root = roots(len(docs), pairs[0], pairs[1])
+                child = np.flatnonzero(root != np.arange(len(docs)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(docs[child]), pa.array(docs[root[child]])], names=["a", "b"]
+                )
+
+    return merge
 
 
 def _tiled(df: DataFrame, group: str, chunks, doc: str) -> DataFrame:
@@ -282,6 +300,7 @@ def minhash_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     if percent < 80:
         raise ValueError("the signature's match threshold is proven for similarities of 0.8 and more only")
+    matches = least_matches(percent)
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = stage_table(
@@ -297,7 +316,7 @@ def minhash_components(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     often = map_batches(reps.select("sig"), _frequent, "item long, n long").groupBy("item").agg(F.sum("n").alias("n"))
     often = often.orderBy(F.desc("n"), "item").limit(FREQUENT_VALUES).toPandas().sort_values("item")
-    post = _postings(often["item"].to_numpy(np.int64), often["n"].to_numpy(np.int64))
+    post = _postings(often["item"].to_numpy(np.int64), often["n"].to_numpy(np.int64), matches)
     postings = stage_table(map_batches(reps.select("doc_id", "sig"), post, "item long, doc long"), "postings")
     lists = postings.groupBy("item").agg(
         F.count(F.lit(1)).alias("n"),
@@ -311,7 +330,7 @@ def minhash_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     active = postings.join(lists, "item").join(reps.select(F.col("doc_id").alias("doc"), "sig"), "doc")
     merged = map_batches(
         _tiled(active, "item", F.col("n") / LIST_CHUNK, "doc").select("item", "ti", "tj", "doc", "sig"),
-        _merge_lists,
+        _merge_lists(matches),
         "a long, b long",
     )
     clusters = stage_table(connected_components(merged), "clusters")

@@ -1,5 +1,6 @@
 """Near-duplicate documents against brute force over full sets."""
 
+import math
 import random
 
 from issuescope.llm import minhash
@@ -118,3 +119,17 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(100, 161)} | {got[340]} == {100}
     assert {got[i] for i in range(300, 340)} | {got[5]} == {5}
     assert len(got) == 61 + 1 + 41
+
+
+def test_the_filter_misses_a_stated_share_at_every_threshold():
+    """Binomial tails in whole numbers: at most ``MISSED`` of the pairs at the threshold have too few equal coordinates."""
+    for percent in (80, 85, 90, 95, 100):
+        tail = lambda m: sum(math.comb(64, j) * percent**j * (100 - percent) ** (64 - j) for j in range(m)) / 100**64  # noqa: E731, B023
+        matches = minhash.least_matches(percent)
+        assert tail(matches) <= minhash.MISSED < (tail(matches + 1) if matches < 64 else 1)
+    assert [minhash.least_matches(p) for p in (80, 85)] == [34, 39]
+
+
+def test_components_match_brute_force_at_four_fifths(spark):
+    rows = corpus(8, 40, 6)
+    assert run(spark, rows, percent=80) == brute(rows, 80)

@@ -56,3 +56,14 @@ def test_run_and_empty_tables(spark, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_near_copies_of_four_fifths_go(spark, tmp_path):
+    """40 shingles against the same and 9, 10 or 11 more: 0.816 and 0.8 are near copies, 0.784 is none."""
+    docs = []
+    for doc, more in ((10, 9), (20, 10), (30, 11)):
+        words = [f"w{doc}x{i}" for i in range(44 + more)]
+        docs += [(doc, " ".join(words[:44]), "en", "s", 1, 1), (doc + 1, " ".join(words), "en", "s", 1, 1)]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    left = stage(spark, spark.createDataFrame(docs, SCHEMA), str(tmp_path))
+    assert sorted(r.doc_id for r in left.collect()) == [10, 20, 30, 31]
