@@ -50,3 +50,19 @@ def test_rows(spark):
     got = sorted((tuple(r) for r in extract_pages(df).collect()), key=repr)
     assert got == [(1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (None, None, "", 0)]
     assert extract_pages(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'style="overflow:hidden"', "data-title='Hidden gems'", 'data-id="search-7"', "title='class=sidebar'", "data-hidden",
+        "style='a:b' data-role=dialog aria-label='id=menu hidden'", "x-hidden=1 data-class=footer", 'alt="a > b hidden"',
+    ],
+)
+def test_values_and_other_names_are_no_attributes(attributes):
+    assert main_text(f"<body {attributes}><div {attributes}>{ARTICLE}</div></body>") == TEXT
+
+
+def test_hidden_elements_go_however_written():
+    for attributes in ("hidden", "HIDDEN=''", "aria-hidden = 'true'", "class='x'hidden", "role=\"dialog\""):
+        assert main_text(f"<div {attributes}>Not this, no.</div><div>{ARTICLE}</div>") == TEXT
