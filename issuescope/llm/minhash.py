@@ -294,13 +294,13 @@ def minhash_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Documents are linked if 100 * shared shingles >= ``percent`` * all shingles of both; ``component_id`` is the
-    smallest id that links lead to.  Texts that are null or hold no word have no shingle and link with nothing.
+    smallest id that links lead to.  A link just at the threshold is missed at a rate of at most ``MISSED``.  Texts that are null or hold no word have no shingle and link with nothing.
     Rows that repeat an id count as one document; if their texts differ, it has the links of all of them.  A row
     without an id is returned with a null component and is not kept.  Other columns are not read.
     """
-    if percent < 80:
-        raise ValueError("the signature's match threshold is proven for similarities of 0.8 and more only")
     matches = least_matches(percent)
+    if percent < 80:
+        raise ValueError(f"the filter is sized for similarities of 0.8 and more, where it misses at most {MISSED:g} of the pairs")
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = stage_table(

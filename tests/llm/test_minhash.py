@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from issuescope.llm import minhash
 from issuescope.llm.common import connected_components
 from issuescope.llm.minhash import minhash_components
@@ -133,3 +135,8 @@ def test_the_filter_misses_a_stated_share_at_every_threshold():
 def test_components_match_brute_force_at_four_fifths(spark):
     rows = corpus(8, 40, 6)
     assert run(spark, rows, percent=80) == brute(rows, 80)
+
+
+def test_lower_thresholds_are_refused_with_the_miss_rate(spark):
+    with pytest.raises(ValueError, match="misses at most 1e-06"):
+        minhash_components(spark.createDataFrame([], SCHEMA), 79)
