@@ -15,6 +15,8 @@ from .common import map_batches
 
 #: Paths need this share of the best path's smoothed score.
 LEAST_SHARE = 0.3
+#: Elements of one path that hold this share of a page's text outside links stay, whatever their names.
+MAJOR_SHARE = 0.5
 #: How far a path's score is drawn to those next to it on the page.
 SMOOTHING = 0.5
 
@@ -40,7 +42,8 @@ _ENDS_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
     "pre section table ul".split()
 )
-#: Elements, roles and names that are not the article, whatever they hold.
+#: Elements and roles that are not the article, whatever they hold; forms and names only if they hold less than
+#: ``MAJOR_SHARE``.
 _SKIPPED = frozenset(
     "aside audio button canvas datalist dialog footer form head header iframe input math menu nav noscript object option "
     "script select style svg template textarea title video".split()
@@ -49,10 +52,10 @@ _SKIPPED_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
 _SKIPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|"
+    r"(?:^|(?<=[\s_-]))(ads?|adverts?|advertisement|adsense|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|"
     r"disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notification|"
     r"overlay|pager|pagination|popup|promo|promoted|related|replies|respond|search|share|sharing|sidebar|signup|social|"
-    r"sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])",
+    r"sponsor|sponsored|subscribe|toolbar|widget)(?=$|[\s_-])",
     re.IGNORECASE,
 )
 _TAG = re.compile(
@@ -63,13 +66,16 @@ _ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([
 _MARKS = re.compile(r"[.,;:!?…。，！？、；：]")
 
 
-def text_nodes(html: str) -> Iterator[tuple[tuple[str, ...], str, bool, bool, int]]:
-    """(path, text, skipped, in a link, block) of all text nodes in page order.
+def text_nodes(html: str) -> Iterator[tuple[tuple[str, ...], str, bool, bool, int, tuple[tuple[str, ...], ...]]]:
+    """(path, text, skipped, in a link, block, doubts) of all text nodes in page order.
+
+    ``doubts`` are the paths of the elements around it that a form, a class or an id makes doubtful.
 
     A path is made of block elements with their class names; inline ones do not count.  ``block`` changes wherever a
     block element, or a line break, starts or ends.
     """
-    stack: list[tuple[str, str, bool]] = []  # element, name in the path, skipped
+    # element, name in the path, skipped, its path if it is doubtful
+    stack: list[tuple[str, str, bool, tuple[str, ...] | None]] = []
     links = block = at = 0
     inner = False  # inside an article or main element
 
@@ -77,14 +83,17 @@ def text_nodes(html: str) -> Iterator[tuple[tuple[str, ...], str, bool, bool, in
         return bool(stack) and stack[-1][2]
 
     def path() -> tuple[str, ...]:
-        return tuple(name for _, name, _ in stack)
+        return tuple(s[1] for s in stack)
+
+    def doubts() -> tuple[tuple[str, ...], ...]:
+        return tuple(s[3] for s in stack if s[3] is not None)
 
     end = len(html)
     while at < end:
         tag = _TAG.search(html, at)
         stop = tag.start() if tag else end
         if stop > at:
-            yield path(), html[at:stop], skipped(), links > 0, block
+            yield path(), html[at:stop], skipped(), links > 0, block, doubts()
         if not tag:
             break
         at = tag.end()
@@ -121,7 +130,8 @@ def text_nodes(html: str) -> Iterator[tuple[tuple[str, ...], str, bool, bool, in
         while stack and stack[-1][0] in closes:
             stack.pop()
         inner = any(s[0] in ("article", "main") for s in stack)
-        label, out = name, name in _SKIPPED and not (name == "header" and inner)
+        label, out = name, name in _SKIPPED and name != "form" and not (name == "header" and inner)
+        doubtful = name == "form"
         if tag.group(3):
             for key, *values in _ATTRIBUTE.findall(tag.group(3)):
                 value = next((v for v in values if v), "")
@@ -129,12 +139,13 @@ def text_nodes(html: str) -> Iterator[tuple[tuple[str, ...], str, bool, bool, in
                 if key == "class":
                     label = f"{name}.{value.lower()}"
                 if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-                    out = out or bool(_SKIPPED_NAMES.search(value))
+                    names = {n.lower() for n in _SKIPPED_NAMES.findall(value)}
+                    doubtful = doubtful or bool(names - {"header"} if inner else names)
                 elif key == "role":
                     out = out or value.lower() in _SKIPPED_ROLES
                 elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                     out = True
-        stack.append((name, label, out or skipped()))
+        stack.append((name, label, out or skipped(), (*path(), label) if doubtful else None))
         if len(stack) > 512:  # no page is that deep; keeps the work linear
             del stack[256:-1]
 
@@ -180,15 +191,39 @@ def path_scores(nodes: list[tuple[tuple[str, ...], str, bool, int]]) -> dict[tup
     return smooth
 
 
+def _inner(path: tuple[str, ...]) -> bool:
+    return any(name.split(".")[0] in ("article", "main") for name in path)
+
+
 def main_text(html: str | None) -> str:
     """The article of a page; empty for null, for a page without text, and if all of it is boilerplate."""
     if not html:
         return ""
     nodes = []
-    for path, raw, skipped, link, block in text_nodes(html):
-        if skipped:
+    found = [
+        (path, unescape(raw) if "&" in raw else raw, link, block, doubts)
+        for path, raw, skipped, link, block, doubts in text_nodes(html)
+        if not skipped
+    ]
+    held: dict[tuple[str, ...], int] = {}
+    outside_links = 0
+    for _, text, link, _, doubts in found:
+        size = 0 if link else len(text.strip())
+        outside_links += size
+        for doubt in set(doubts):
+            held[doubt] = held.get(doubt, 0) + size
+    minor = {doubt for doubt, size in held.items() if size < MAJOR_SHARE * outside_links or not outside_links}
+    # An element beside the article does not become content by holding more than it.
+    articles = [(len(text.strip()), doubts) for path, text, link, _, doubts in found if not link and _inner(path)]
+    articles = [(size, doubts) for size, doubts in articles if size and minor.isdisjoint(doubts)]
+    minor |= {
+        doubt
+        for doubt in held.keys() - minor
+        if not _inner(doubt) and any(doubt not in doubts for _, doubts in articles)
+    }
+    for path, text, link, block, doubts in found:
+        if not minor.isdisjoint(doubts):
             continue
-        text = unescape(raw) if "&" in raw else raw
         if text.strip():
             nodes.append((path, text, link, block))
         elif nodes and nodes[-1][3] == block:  # white space between inline elements

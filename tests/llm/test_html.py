@@ -66,3 +66,24 @@ def test_values_and_other_names_are_no_attributes(attributes):
 def test_hidden_elements_go_however_written():
     for attributes in ("hidden", "HIDDEN=''", "aria-hidden = 'true'", "class='x'hidden", "role=\"dialog\""):
         assert main_text(f"<div {attributes}>Not this, no.</div><div>{ARTICLE}</div>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        *[
+            (f"<div class='{name}'><div class=sidebar>Aside, no.</div><div>{ARTICLE}</div></div>", TEXT)
+            for name in ("content-sidebar-wrap", "no-sidebar", "modal-open", "social-policy")
+        ],
+        ("<body>" + "".join(f"<div class=elementor-widget><p>Part {i}, of it.</p></div>" for i in range(4)),
+         " ".join(f"Part {i}, of it." for i in range(4))),
+        (f"<article><header class=entry-header><h1>Title</h1></header>{ARTICLE}</article>", f"Title {TEXT}"),
+        (f"<body><form id=aspnetForm><div>{ARTICLE}</div><div class=footer>End, here.</div></form></body>", TEXT),
+    ],
+)
+def test_names_and_forms_do_not_remove_most_of_a_page(html, expected):
+    assert main_text(html) == expected
+
+
+def test_a_long_notice_beside_a_short_article_goes():
+    assert main_text(f"<div class=ad>{ARTICLE}</div><article><h1>Title, short.</h1></article>") == "Title, short."
