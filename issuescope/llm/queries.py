@@ -18,6 +18,7 @@ from .reputation import judge_pages
 from .tokens import read_token_files, write_token_files
 from .topk import exact_top_k
 from .toxicity import fit_toxicity, score_toxicity
+from .trie import prefix_trie
 from .vectors import vector_components
 
 
@@ -70,6 +71,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(load(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +88,7 @@ QUERIES = {
         op8_url_reputation,
         op9_language_id,
         op10_exact_top_k,
+        op11_prefix_trie,
     )
 }
 
@@ -230,10 +236,48 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 10
 """
 
+_OP11_SQL = """
+WITH own AS (
+  SELECT conv_id, said, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) AS pos
+  FROM (SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes, substr(sha256(concat(
+      strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))), 1, 32) AS said
+    FROM conversations WHERE conv_id IS NOT NULL) AS t
+), ids AS (  -- the CRC-32 of a number's digits, bit by bit
+  SELECT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295,
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+      lambda c, bit: xor(c >> 1, 3988292384 * (c & 1))))) % 9 AS kept
+  FROM (SELECT DISTINCT conv_id FROM own) AS t
+), turns AS (
+  SELECT i.conv_id, 0 AS part, pos, said, bytes FROM ids i JOIN own o
+    ON o.conv_id = i.conv_id - i.conv_id % 5 AND o.pos <= i.kept
+  UNION ALL
+  SELECT i.conv_id, 1, pos, said, bytes FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.pos > i.kept
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, bytes, string_agg(said, '') OVER w AS path,
+    count(*) OVER (PARTITION BY conv_id) AS n FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL
+  SELECT conv_id, 0, 0, '', (SELECT count(*) FROM turns WHERE turns.conv_id = ids.conv_id) FROM ids
+), nodes AS (
+  SELECT path, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, min(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM paths GROUP BY path
+), families AS (
+  SELECT u.path, count(*) FILTER (v.depth = u.depth + 1) AS n_children, sum((v.n_convs - 1) * v.bytes) AS saved,
+    count(*) FILTER (NOT EXISTS (SELECT 1 FROM nodes c WHERE c.depth = v.depth + 1 AND starts_with(c.path, v.path))) AS n_leaves
+  FROM nodes u JOIN nodes v ON starts_with(v.path, u.path) GROUP BY u.path
+)
+SELECT u.conv_id, u.depth, p.conv_id AS parent_conv_id, u.n_convs, f.n_children, f.n_leaves,
+  CAST(f.saved AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM nodes u JOIN families f ON f.path = u.path
+LEFT JOIN nodes p ON p.depth = u.depth - 1 AND starts_with(u.path, p.path)
+"""
+
 ORACLES = {
     "op1_embedding_dedup": _OP1_SQL,
     "op2_minhash_dedup": _OP2_SQL,
     "op6_curriculum_mix": _OP6_SQL,
     "op8_url_reputation": _OP8_SQL,
     "op10_exact_top_k": _OP10_SQL,
+    "op11_prefix_trie": _OP11_SQL,
 }
