@@ -14,7 +14,9 @@ from .language import fit_language, identify_language
 from .minhash import minhash_components
 from .mixing import plan_mix
 from .packing import pack_documents
+from .phrases import collocations
 from .reputation import judge_pages
+from .secrets import BASE_KINDS, scan_secrets, span_count, span_list
 from .tokens import read_token_files, write_token_files
 from .topk import exact_top_k
 from .toxicity import fit_toxicity, score_toxicity
@@ -75,6 +77,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(load(spark, sf_dir, "conversations"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(load(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(load(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [span_count(spans, kind).alias(f"n_{kind}") for kind in BASE_KINDS]
+    base = F.sha2(span_list(spans, BASE_KINDS), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, span_list(spans).alias("spans"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +103,8 @@ QUERIES = {
         op9_language_id,
         op10_exact_top_k,
         op11_prefix_trie,
+        op12_collocations,
+        op13_secret_scan,
     )
 }
 
@@ -273,6 +289,42 @@ FROM nodes u JOIN families f ON f.path = u.path
 LEFT JOIN nodes p ON p.depth = u.depth - 1 AND starts_with(u.path, p.path)
 """
 
+_OP12_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, words FROM (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM documents) AS t
+), grams AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, words, k, unnest(generate_series(1, len(words) - k + 1)) AS i
+    FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) AS sizes WHERE len(words) >= k) AS t
+  GROUP BY lang, k, phrase HAVING count(*) >= 100
+), totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), split AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM grams WHERE k >= 2
+), inner_ AS (
+  SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(f) AS f
+  FROM (SELECT lang, w, f, k, i, unnest(generate_series(i + 1, k)) AS j
+    FROM (SELECT lang, w, f, k, unnest(generate_series(1, k - 1)) AS i FROM split) AS a) AS b
+  WHERE j - i + 1 < k GROUP BY lang, 2
+), kept AS (
+  SELECT s.* FROM split s LEFT JOIN inner_ i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE i.f IS NULL OR 100 * i.f < 100 * s.f
+), cuts AS (
+  SELECT lang, phrase, f AS a, c, array_to_string(w[1:c], ' ') AS one, array_to_string(w[c + 1:], ' ') AS two
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS c FROM kept) AS t
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.c, o.f AS l, t.f AS r, n,
+    CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(o.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN grams o ON o.lang = c.lang AND o.phrase = c.one JOIN grams t ON t.lang = c.lang AND t.phrase = c.two
+  JOIN totals ON totals.lang = c.lang
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_embedding_dedup": _OP1_SQL,
     "op2_minhash_dedup": _OP2_SQL,
@@ -280,4 +332,5 @@ ORACLES = {
     "op8_url_reputation": _OP8_SQL,
     "op10_exact_top_k": _OP10_SQL,
     "op11_prefix_trie": _OP11_SQL,
+    "op12_collocations": _OP12_SQL,
 }
