@@ -8,6 +8,7 @@ import re
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,6 +139,36 @@ def csv_round_trip(spark, d):
     return read_messages(spark, path).drop("row_id")
 
 
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 3 <> 2 THEN nullif(source, '') END AS source,
+      nullif(text, '') AS text FROM documents WHERE doc_id % 3 <> 1"""
+)
+def ragged_round_trip(spark, d):
+    """Files as other programs write them: quoted texts with line breaks and quotes, too many fields, too few."""
+    path = f"{work_dir(spark)}/issuescope/ragged-{uuid.uuid4().hex}"
+    said = F.concat(F.lit('"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    rest = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(";"), "source"))
+    more = F.when(F.col("doc_id") % 3 == 1, F.lit(';"one";too many'))
+    fields = [F.col("doc_id").cast("string"), F.lit(";"), said, F.coalesce(rest, more, F.lit(""))]
+    lines = D.documents(spark, d).select(F.concat(*fields).alias("value"))
+    lines.mapInArrow(_with_header("doc_id;text;source"), "value string").write.text(path)
+    return read_messages(spark, path).drop("row_id")
+
+
+def _with_header(header: str):
+    """Put a line in front of every task's rows, which become one file."""
+
+    def start(batches):
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                yield pa.RecordBatch.from_pydict({"value": [header]})
+                first = False
+            yield batch
+
+    return start
+
+
 # ---------------------------------------------------------------- labels
 
 _SCORES_SQL = f"""{D.CATALOGUE_SQL}, scores AS (

@@ -5,15 +5,13 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MESSAGE_COLUMNS, NA_VALUES, PROBLEM_COLUMNS, PROBLEM_RU_COLUMNS
+from .records import read_records
 
 _OVERFLOW, _CORRUPT = "_overflow", "_corrupt"
-_POSITION_BITS = 33
-_BROADCAST_FILES = 200_000
 
 
 def _unique_headers(headers: Sequence[str]) -> list[str]:
@@ -40,35 +38,15 @@ def _unique_headers(headers: Sequence[str]) -> list[str]:
     return names
 
 
-def _row_id(raw: DataFrame) -> DataFrame:
-    """File number and place in the file as one number that grows in file order.
-
-    A multi-line file is read by one task, so its rows have rising places; the files are numbered by path.
-    """
-    files = sorted(raw.inputFiles())
-    if len(files) >= 1 << (63 - _POSITION_BITS):
-        raise ValueError("too many files to number their rows")
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    placed = raw.withColumn("_file", F.input_file_name()).withColumn("_place", place)
-    if len(files) == 1:
-        return placed.withColumn("row_id", F.col("_place")).drop("_file", "_place")
-    table = pa.table({"_file": pa.array(files), "_number": pa.array(range(len(files)), pa.int64())})
-    numbers = raw.sparkSession.createDataFrame(table, schema="_file string, _number bigint")
-    # One short row per file; the session lists the same paths anyway.
-    if len(files) <= _BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
-    numbered = placed.join(numbers, "_file")
-    row_id = F.shiftleft(F.col("_number"), _POSITION_BITS).bitwiseOR(F.col("_place"))
-    return numbered.withColumn("row_id", row_id).drop("_file", "_number", "_place")
-
-
 def _too_long(n: int, sep: str) -> Column:
     """More fields than the header.
 
     With one spare column a row of exactly one field too many parses cleanly, every other row with a wrong
-    number of fields is kept raw; there the separators outside quotes tell long rows from short ones.
+    number of fields is kept raw; there the separators outside quoted fields tell long rows from short ones.  A quote
+    opens a field only at its start, and without doubled quotes a quoted field has no quotes inside.
     """
-    bare = F.regexp_replace(F.regexp_replace(_CORRUPT, r'(?s)"[^"]*"', ""), f"[^{sep}]", "")
+    single = F.replace(_CORRUPT, F.lit('""'), F.lit(""))
+    bare = F.regexp_replace(F.regexp_replace(single, f'(^|{sep})"[^"]*+"', "$1"), f"[^{sep}]", "")
     return F.col(_CORRUPT).isNull() | (F.char_length(bare) >= n)
 
 
@@ -85,33 +63,36 @@ def read_messages(
     short rows are filled with null, and texts that mean "no value" become null.  Without ``sep`` the header
     decides between ``;`` and ``,``.
 
-    ``row_id`` follows the order of the files and of the rows in them.  Files with line breaks in fields cannot
-    be split, so write the table to parquet once and go on from there.
+    ``row_id`` follows the order of the files, by path, and of the rows in them.  Large files are read in pieces by
+    many tasks, also where fields hold line breaks; see ``read_records``.
     """
-    header = spark.read.option("encoding", encoding).text(path).head()
+    if encoding.upper().startswith(("UTF-16", "UTF-32")):
+        raise ValueError(f"line ends cannot be found in {encoding}; write the file as UTF-8 first")
+    header = spark.read.text(path).select(F.col("value").cast("binary").alias("value")).head()
     if header is None:
         raise ValueError(f"no header in {path}")
-    line = header.value.removeprefix("\ufeff")
+    line = bytes(header.value).decode(encoding).removeprefix("\ufeff")
     sep = sep or (";" if ";" in line else ",")
     names = _unique_headers(next(csv.reader([line], delimiter=sep)))
     # Columns are read by place, so that odd header names cannot confuse the reader.
     fields = [f"c{i}" for i in range(len(names))]
     schema = ", ".join(f"`{f}` string" for f in [*fields, _OVERFLOW, _CORRUPT])
-    raw = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("encoding", encoding)
-        .option("columnPruning", False)  # a row has to be parsed whole to tell its length
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(path)
-    )
-    # Rows that are kept never fill the spare column; naming it here lets Spark plan a bare count as well.
-    kept = _row_id(raw).filter(F.col(_OVERFLOW).isNull() & ~_too_long(len(names), sep))
+    options = {
+        "sep": sep,
+        "multiLine": "true",
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnPruning": "false",  # a row has to be parsed whole to tell its length
+        "columnNameOfCorruptRecord": _CORRUPT,
+    }
+    # Lines that end in a carriage return and nothing else come as one "line" here.
+    whole = spark.read.option("lineSep", "\n").text(path).select(F.left("value", F.lit(1 << 16)).alias("start")).head()
+    line_sep = "\r" if "\r" in whole.start.removesuffix("\r") else "\n"
+    records = read_records(spark, path, sep, line_sep)
+    text = F.col("record").cast("string") if encoding.upper() == "UTF-8" else F.decode("record", encoding)
+    raw = records.select("row_id", F.from_csv(text, schema, options).alias("f")).select("row_id", "f.*")
+    kept = raw.filter(F.col(_OVERFLOW).isNull() & ~_too_long(len(names), sep))
 
     def value(field: str) -> Column:
         c = F.col(field)

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 from issuescope.sources.catalogue import read_catalogue
 from issuescope.sources.memo import append_memo, memo_table, read_memo
 from issuescope.sources.messages import read_messages
+from issuescope.sources.records import LineScanner
 from issuescope.sources.roles import resolve_columns
 from issuescope.sources.sinks import classified_path, write_classified, write_distribution
 
@@ -132,3 +134,71 @@ def test_frequency_table_keeps_labels(spark, tmp_path):
     write_distribution(ranked, path)
     back = read_messages(spark, path).orderBy("row_id").collect()
     assert [(r.label, r["count"]) for r in back] == [("a", "5"), ("b", "2")]
+
+
+def one_piece(spark, path, sep=";"):
+    """The rows as Spark's own reader finds them in a whole file."""
+    df = (
+        spark.read.option("sep", sep).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    )
+    return [tuple(r) for r in df.collect()]
+
+
+def random_field(rng):
+    kind = rng.integers(0, 6)
+    word = "".join(rng.choice(list('ab é;x"'), int(rng.integers(1, 9))))
+    if kind == 0:
+        return word.replace(";", "").lstrip('" ') + "u"
+    if kind == 1:
+        return f'5" {kind}'
+    lines = "\n" * int(rng.integers(0, 4)) + word
+    return '"' + (lines + word * int(rng.integers(0, 9))).replace('"', '""') + 'z"'
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_files_with_line_breaks_in_fields_are_read_in_pieces(spark, tmp_path, line_end):
+    rng = np.random.default_rng(7)
+    folder = tmp_path / "pieces"
+    folder.mkdir()
+    for name in ("a.csv", "b.csv"):
+        body = [";".join(random_field(rng) for _ in range(3)) for _ in range(50)]
+        body.insert(25, '"' + "long\n" * 60 + '";y;z')
+        (folder / name).write_bytes(("a;b;c\n" + "\n".join(body) + "\n").replace("\n", line_end).encode())
+    want = one_piece(spark, str(folder / "a.csv")) + one_piece(spark, str(folder / "b.csv"))
+    # Spark's reader of whole files makes line ends inside fields alike; here they stay as they are.
+    want = [tuple(v and v.replace("\n", line_end) for v in r) for r in want]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("150", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            df = read_messages(spark, str(folder), na_values=())
+            got = df.orderBy("row_id").collect()
+            assert [tuple(r)[1:] for r in got] == want
+            assert len({r.row_id for r in got}) == len(got)
+            if size == "150":
+                assert df.rdd.getNumPartitions() > 20
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_other_encodings_and_line_ends(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_bytes('t;m\nä;"ö\nü"\n'.encode("iso-8859-1"))
+    assert [tuple(r)[1:] for r in read_messages(spark, str(path), encoding="ISO-8859-1").collect()] == [("ä", "ö\nü")]
+    old = tmp_path / "old.csv"
+    old.write_bytes(b't;m\ra;"b\rc"\rd;e\r')
+    assert [tuple(r)[1:] for r in read_messages(spark, str(old)).orderBy("row_id").collect()] == [("a", "b\rc"), ("d", "e")]
+    with pytest.raises(ValueError, match="UTF-16"):
+        read_messages(spark, str(path), encoding="UTF-16")
+
+
+def test_quotes_inside_plain_fields_open_nothing():
+    scanner = LineScanner(";")
+    assert [scanner.after(line, False) for line in (b'a;5" x;b', b'"a', b'"a""', b'"a"";b', b'"a"x;"b', b'""', b"")] == [
+        False, True, True, True, True, False, False,
+    ]
+    assert [scanner.after(line, True) for line in (b"", b'x"', b'x"";', b'x";"y', b'x";5" y', b'"a;"b')] == [
+        True, False, True, True, False, True,
+    ]
