@@ -56,7 +56,7 @@ from .plans.jobs import (
 )
 from .session import build_session, spread_small, stage_table, work_dir
 from .sources.catalogue import catalogue_table, read_catalogue
-from .sources.memo import append_memo, memo_table, read_memo
+from .sources.memo import append_memo, compact_memo, memo_table, read_memo
 from .sources.messages import read_messages
 from .sources.roles import ColumnRoles, resolve_columns
 from .sources.sinks import classified_path, write_classified, write_distribution, write_report

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,42 +13,61 @@ from ..constants import CLASSIFY_MODEL, MAX_LABELS
 from ..functions.answers import parse_label_ids
 from ..functions.text import clean_text, text_key
 from ..session import stage_table
-from ..sources.memo import memo_table
+from ..sources.memo import read_memo
 from .completions import CallSettings, Completion, answer_table, classify_requests
-from .lookup import HOT_ROWS, columns_of, spread_lookup
+from .lookup import HOT_ROWS, columns_of, quoted, spread_lookup
 
+#: Terms that one automaton may hold, in bytes.
+LEXICON_BYTES = 16 << 20
 
-def lexicon_label_ids(lowered: str, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:
-    """The ids whose terms occur most often in a lower-cased column, most frequent first, ties by id.
 
-    Occurrences are counted without overlap; a label may have several terms.
+class TermCounter:
+    """Counts the terms of a lexicon in one walk over a text, however many terms there are.
+
+    Occurrences of one term do not overlap each other, those of different terms may.  A label may have several terms,
+    and a term several labels.
     """
-    by_label: dict[int, list[str]] = {}
-    for label_id, term in terms:
-        if not term:
-            raise ValueError("a term must not be empty")
-        by_label.setdefault(label_id, []).append(term.lower())
-    if not by_label:
-        return F.array().cast("array<int>")
-    # The lexicon is one constant that a lambda walks, so the plan stays small however many terms there are.
-    lexicon = F.array(
-        *[
-            F.struct(F.lit(i).alias("id"), F.array(*[F.lit(w) for w in words]).alias("terms"))
-            for i, words in by_label.items()
-        ]
-    )
-    text = F.col(lowered)
 
-    def occurrences(term: Column) -> Column:
-        without = F.replace(text, term, F.lit(""))
-        return (F.octet_length(text) - F.octet_length(without)) / F.octet_length(term)
+    def __init__(self, terms: Sequence[tuple[int, str]]):
+        self.labels: dict[str, list[int]] = {}
+        for label_id, term in terms:
+            self.labels.setdefault(term, []).append(label_id)
+        self.automaton = ahocorasick.Automaton()
+        for term in self.labels:
+            self.automaton.add_word(term, term)
+        self.automaton.make_automaton()
+
+    def counts(self, text: str) -> dict[int, int]:
+        free: dict[str, int] = {}
+        found: dict[int, int] = {}
+        for last, term in self.automaton.iter(text):
+            if last - len(term) + 1 >= free.get(term, 0):
+                free[term] = last + 1
+                for label_id in self.labels[term]:
+                    found[label_id] = found.get(label_id, 0) + 1
+        return found
+
+    def best(self, text: str, max_labels: int) -> list[int]:
+        """The labels found most often, ties by id."""
+        ranked = sorted((-n, label_id) for label_id, n in self.counts(text).items())
+        return [label_id for _, label_id in ranked[:max_labels]]
+
+
+def lexicon_label_ids(text: Column, terms: Sequence[tuple[int, str]], max_labels: int = MAX_LABELS) -> Column:
+    """The ids whose terms occur most often in a lower-cased column, most frequent first, ties by id."""
+    terms = list(terms)
+    if not all(term for _, term in terms):
+        raise ValueError("a term must not be empty")
+    if not terms:
+        return F.array().cast("array<int>")
 
-    def scored(entry: Column) -> Column:
-        score = F.aggregate(entry.getField("terms"), F.lit(0.0), lambda total, t: total + occurrences(t))
-        return F.struct((-score).alias("order"), entry.getField("id").alias("id"))
+    @F.pandas_udf("array<int>")
+    def label_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        counter = TermCounter(terms)
+        for texts in batches:
+            yield texts.map(lambda text: counter.best(text, max_labels))
 
-    found = F.filter(F.transform(lexicon, scored), lambda s: s.getField("order") < 0)
-    return F.slice(F.sort_array(found), 1, max_labels).getField("id")
+    return label_ids(text)
 
 
 def lexicon_classify(
@@ -54,11 +75,17 @@ def lexicon_classify(
 ) -> DataFrame:
     """Add the ids of the labels whose terms are most frequent in the whole text, without regard to case.
 
-    ``lexicon`` has (label_id, term) and becomes part of the plan.  Needs no shuffle and no model.
+    ``lexicon`` has (label_id, term).  It becomes one automaton per task, so it may hold ``LEXICON_BYTES`` of terms;
+    a larger one ends the job before it is collected.  The time for a text does not depend on the number of terms.
+    Needs no shuffle and no model; other columns do not leave the JVM.
     """
-    terms = sorted((r.label_id, r.term) for r in lexicon.select("label_id", "term").collect())
-    lowered = df.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
-    return lowered.withColumn(output, lexicon_label_ids("_lowered", terms, max_labels)).drop("_lowered")
+    listed = lexicon.select("label_id", F.lower("term").alias("term"))
+    size = listed.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("bytes")).head().bytes
+    if size > LEXICON_BYTES:
+        raise ValueError(f"{size} bytes of terms; one automaton holds {LEXICON_BYTES}")
+    terms = sorted((r.label_id, r.term) for r in listed.collect())
+    lowered = F.lower(F.coalesce(quoted(text), F.lit("")))
+    return df.withColumn(output, lexicon_label_ids(lowered, terms, max_labels))
 
 
 def distinct_texts(df: DataFrame, key: str, text: str, row_id: str = "row_id") -> DataFrame:
@@ -93,7 +120,7 @@ def classify_messages(
     complete: Completion,
     text: str = "message",
     row_id: str = "row_id",
-    memo: DataFrame | None = None,
+    memo: DataFrame | str | None = None,
     translations: DataFrame | None = None,
     langs: Sequence[str] = (),
     max_labels: int = MAX_LABELS,
@@ -105,7 +132,8 @@ def classify_messages(
 
     Returns (``df`` with ``label_ids`` and ``parse_error``, answers).  ``answers`` is a written table with the
     key, the ids, usage and errors of the new calls; its good rows extend the memo (see ``memo_rows``).  Blank
-    messages get no labels and no call.
+    messages get no labels and no call.  ``memo`` is a table or the path of a memo, of which only the folders that may
+    hold the messages' texts are read.
 
     The key is the whole digest by default: 16 digits, the form of ``text_key``, would make some of a hundred
     billion texts share an answer.
@@ -114,12 +142,16 @@ def classify_messages(
     labels = [r.label for r in sorted(catalogue.select("label_id", "label").collect(), key=lambda r: r.label_id)]
     spark = df.sparkSession
     model = settings.classify.get("model", CLASSIFY_MODEL)
-    known = memo if memo is not None else memo_table(spark)
-    known = known.filter((F.col("model") == model) & (F.col("max_labels") == max_labels))
-
     cleaned = df.withColumn("_text", clean_text(text))
     keyed = cleaned.withColumn("_key", F.when(F.col("_text") != "", text_key("_text", labels, key_chars)))
-    texts = match_memo(distinct_texts(keyed.select(row_id, "_key", "_text"), "_key", "_text", row_id), known)
+    texts = distinct_texts(keyed.select(row_id, "_key", "_text"), "_key", "_text", row_id)
+    if memo is None:
+        texts = texts.withColumns({"label_ids": F.lit(None).cast("array<int>"), "_known": F.lit(None).cast("boolean")})
+    elif isinstance(memo, str):
+        texts = stage_table(texts, "keyed-texts")
+        texts = match_memo(texts, read_memo(spark, memo, model, max_labels, texts))
+    else:
+        texts = match_memo(texts, memo.filter((F.col("model") == model) & (F.col("max_labels") == max_labels)))
     # Texts that have an answer are not needed again.
     texts = stage_table(
         texts.withColumn("text", F.when(F.col("_known").isNull(), F.col("text"))), "distinct-texts"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +28,16 @@ from ..constants import (
     WRITER_MODEL,
 )
 from ..functions.text import bullet_list, clean_text, optional_suffix, render
-from ..session import stage_table
+from ..session import stage_table, work_dir
 from .labels import check_langs, numbered_block
+from .lookup import columns_of, free_name
+
+
+#: Characters of a label list in a request.
+LIST_CHARS = 1 << 20
+#: Calls of a task between two commits to a ledger, and the folders of a ledger.
+CALLS_PER_COMMIT = 500
+LEDGER_BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -77,14 +87,24 @@ def _request(stage: str, model: str, prompt: Prompt, temperature: float, max_tok
     ]
 
 
-def _block(catalogue: DataFrame, name: str = "label") -> str:
-    return numbered_block(catalogue, name).head().block
+def _part(text: DataFrame) -> Column:
+    """The one text of a table as a part of every request: a scalar of the plan, which never comes to the driver.
+
+    It is repeated in each request, so more than ``LIST_CHARS`` characters end the job.
+    """
+    (name,) = text.columns
+    long = F.raise_error(F.concat(F.lit("a list too long for a request: "), F.char_length(name).cast("string")))
+    return text.select(F.when(F.char_length(name) > LIST_CHARS, long.cast("string")).otherwise(F.col(name))).scalar()
 
 
-def label_line(catalogue: DataFrame, sep: str = ", ") -> str:
+def _block(catalogue: DataFrame, name: str = "label") -> Column:
+    return _part(numbered_block(catalogue, name))
+
+
+def label_line(catalogue: DataFrame, sep: str = ", ") -> Column:
     """The labels in the order of their ids as one text, which goes into every request."""
     entries = F.array_sort(F.collect_list(F.struct("label_id", "label")))
-    return catalogue.agg(F.array_join(F.transform(entries, lambda e: e.getField("label")), sep).alias("line")).head().line
+    return _part(catalogue.agg(F.array_join(F.transform(entries, lambda e: e.getField("label")), sep).alias("line")))
 
 
 def translate_requests(
@@ -140,10 +160,10 @@ def classify_requests(
             text=F.col(text) if max_chars is None else F.substring(F.col(text), 1, max_chars),
         )
     else:
-        blocks = ""
+        blocks: list[Column] = [F.lit("")]
         for lang in check_langs(langs):
             words = translations.filter(F.col("lang") == lang).select("label", "translation")
-            blocks += f"\n[{lang}]\n" + _block(catalogue.join(words, "label", "left"), "translation")
+            blocks += [F.lit(f"\n[{lang}]\n"), _block(catalogue.join(words, "label", "left"), "translation")]
         columns = _request(
             "classify",
             model,
@@ -152,7 +172,7 @@ def classify_requests(
             max_tokens or CLASSIFY_MAX_TOKENS,
             text=F.col("_text"),
             labels=_block(catalogue),
-            translations=blocks,
+            translations=F.concat(*blocks),
             max_labels=str(max_labels),
         )
     return kept.select(F.col(request_id).alias("request_id"), *columns, *keep)
@@ -223,7 +243,9 @@ class CallSettings:
     """How a job asks its models.
 
     ``translate``, ``classify``, ``generate`` and ``edit`` hold arguments of the request functions of these stages:
-    prompt, model, temperature, max_tokens.  ``rounds`` counts the attempts at a request that fails.
+    prompt, model, temperature, max_tokens.  ``rounds`` counts the attempts at a request that fails.  ``ledger`` names a
+    folder where answers are kept as they come, so that a job started again pays only for what is missing; see
+    ``answer_table``.
     """
 
     translate: dict = field(default_factory=dict)
@@ -233,10 +255,18 @@ class CallSettings:
     parallelism: int | None = None
     calls_per_task: int = 1
     rounds: int = 1
+    ledger: str | None = None
+    calls_per_commit: int = CALLS_PER_COMMIT
 
     @property
     def running(self) -> dict:
-        return {"parallelism": self.parallelism, "calls_per_task": self.calls_per_task, "rounds": self.rounds}
+        return {
+            "parallelism": self.parallelism,
+            "calls_per_task": self.calls_per_task,
+            "rounds": self.rounds,
+            "ledger": self.ledger,
+            "calls_per_commit": self.calls_per_commit,
+        }
 
 
 _ANSWER = T.StructType(
@@ -251,6 +281,38 @@ _ANSWER = T.StructType(
 
 Completion = Callable[[str, list, float, int], "tuple[str, dict | None]"]
 
+_LEDGER = "call_key string, content string, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint, bucket int"
+
+
+def estimated_tokens() -> Column:
+    """A request's tokens as far as they can be told before the call: a quarter of its characters, one at least."""
+    chars = F.aggregate("messages", F.lit(0), lambda n, m: n + F.char_length(m["content"]))
+    return F.greatest(F.lit(1), F.ceil(chars / 4)).cast("bigint")
+
+
+def call_tasks(requests: DataFrame, tasks: int, tokens: Column | None = None) -> DataFrame:
+    """Add ``call_task``, 0 to ``tasks`` - 1: ranges of requests with about the same sum of estimated tokens.
+
+    Requests are put in the order of their id's MD5, which mixes long and short ones.  A task takes those whose running
+    sum begins in its share of the total, so it has its share and one request more at most.  The running sum is made of
+    sums per block of ids, of which there are ``_BLOCKS``, and within blocks; no task sees all requests.
+    """
+    order, block, size, before, share = (free_name(requests, n) for n in ("order", "block", "size", "before", "share"))
+    digest = F.md5(F.col("request_id").cast("string"))
+    sized = requests.withColumns({order: digest, size: estimated_tokens() if tokens is None else tokens})
+    sized = sized.withColumn(block, F.conv(F.substring(order, 1, 3), 16, 10).cast("int"))
+    unbounded = Window.unboundedPreceding
+    blocks = sized.groupBy(block).agg(F.sum(size).alias(size))
+    earlier = F.coalesce(F.sum(size).over(Window.orderBy(block).rowsBetween(unbounded, -1)), F.lit(0))
+    total = F.sum(size).over(Window.partitionBy(F.lit(0)))
+    # At most _BLOCKS short rows.
+    starts = F.broadcast(blocks.select(block, earlier.alias(before), total.alias(share)))
+    within = Window.partitionBy(block).orderBy(order, "request_id").rowsBetween(unbounded, -1)
+    at = F.col(before) + F.coalesce(F.sum(size).over(within), F.lit(0))
+    task = F.floor(at.cast("decimal(38,0)") * tasks / F.col(share)).cast("int")
+    numbered = sized.join(starts, block).withColumn("call_task", F.least(task, F.lit(tasks - 1)))
+    return numbered.select(*columns_of(requests), "call_task")
+
 
 def run_completions(
     requests: DataFrame,
@@ -261,7 +323,7 @@ def run_completions(
 ) -> DataFrame:
     """Call ``complete(model, messages, temperature, max_tokens) -> (content, usage)`` for every request.
 
-    Calls run in as many tasks as ``parallelism`` says, and each task has ``calls_per_task`` of them under way at a
+    Calls run in as many tasks as ``parallelism`` says, with about as many tokens each (``call_tasks``), and each task has ``calls_per_task`` of them under way at a
     time, as a call is mostly waiting; ``complete`` must then bear being called from several threads.  A call that raises gives a row with ``error``; the
     columns in ``keep`` are passed through.  The result is lazy: use ``answer_table`` where calls cost money.
     """
@@ -293,8 +355,9 @@ def run_completions(
             )
             yield pd.concat([out, values], axis=1)
 
-    spread = sent.repartition(parallelism) if parallelism else sent
-    return spread.mapInPandas(call, schema)
+    if parallelism:
+        sent = call_tasks(sent, parallelism).repartitionById(parallelism, F.col("call_task")).drop("call_task")
+    return sent.mapInPandas(call, schema)
 
 
 def answer_table(
@@ -305,11 +368,23 @@ def answer_table(
     rounds: int = 1,
     name: str = "answers",
     calls_per_task: int = 1,
+    ledger: str | None = None,
+    calls_per_commit: int = CALLS_PER_COMMIT,
 ) -> DataFrame:
     """Run the calls and write the answers once; requests that failed are asked again in further ``rounds``.
 
     ``requests`` should be a projection of a written table: a lost executor then repeats its own calls only.
+
+    ``ledger`` is a folder of answers by request, whatever their ids.  Calls are made bucket by bucket of the requests'
+    digests, and every bucket's answers are committed before the next one begins, so that a job that dies and is
+    started again asks only what the ledger lacks.  There are as many steps as leave each task about
+    ``calls_per_commit`` calls a step, up to ``LEDGER_BUCKETS``.  Equal requests are asked once.  Calls that failed
+    are not kept.
     """
+    if ledger:
+        return _ledger_answers(
+            requests, complete, parallelism, keep, rounds, name, calls_per_task, ledger, calls_per_commit
+        )
     answers = stage_table(run_completions(requests, complete, parallelism, keep, calls_per_task), name)
     for _ in range(rounds - 1):
         failed = answers.filter("error IS NOT NULL").select("request_id")
@@ -321,6 +396,77 @@ def answer_table(
     return answers
 
 
+def call_key() -> Column:
+    """The digest of all that decides about an answer."""
+    asked = F.struct("model", "messages", "temperature", "max_tokens")
+    return F.sha2(F.to_json(asked), 256)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(call_key, content, tokens, bucket) of the answers kept at ``path``; empty when nothing is there."""
+    try:
+        return spark.read.schema(_LEDGER).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], _LEDGER)
+        raise
+
+
+def _ledger_answers(
+    requests: DataFrame,
+    complete: Completion,
+    parallelism: int | None,
+    keep: tuple[str, ...],
+    rounds: int,
+    name: str,
+    calls_per_task: int,
+    ledger: str,
+    calls_per_commit: int,
+) -> DataFrame:
+    spark = requests.sparkSession
+    number = F.conv(F.substring("call_key", 1, 4), 16, 10).cast("int") % LEDGER_BUCKETS
+    keyed = requests.withColumn("call_key", call_key()).withColumn("bucket", number)
+    passed = [c for c in dict.fromkeys(("request_id", "stage", "model", *keep))]
+    # Written, as it is joined with the answers at the end and counted now.
+    asked = stage_table(keyed.select(*passed, "call_key", "bucket"), f"{name}-asked")
+    tasks = parallelism or spark.sparkContext.defaultParallelism
+    missing = asked.join(read_ledger(spark, ledger), ["bucket", "call_key"], "left_anti").select("call_key").distinct()
+    steps = min(LEDGER_BUCKETS, -(-missing.count() // (tasks * calls_per_commit)))
+    failed = None
+    for step in range(steps):
+        part = keyed.filter(F.col("bucket") % steps == step)
+        for _ in range(rounds):
+            known = read_ledger(spark, ledger).filter(F.col("bucket") % steps == step)
+            lacking = part.join(known, ["bucket", "call_key"], "left_anti").dropDuplicates(["call_key"])
+            lacking = lacking.withColumn("request_id", F.col("call_key")).select(
+                "request_id", "stage", "model", "messages", "temperature", "max_tokens", "call_key", "bucket"
+            )
+            answers = run_completions(lacking, complete, parallelism, ("call_key", "bucket"), calls_per_task)
+            # One write holds both, so that no call is made twice; only what succeeded counts as known.
+            said = answers.select(*[F.col(c.split()[0]) for c in _LEDGER.split(", ")], "error")
+            folder = f"{work_dir(spark)}/issuescope/{name}-step-{uuid.uuid4().hex}"
+            said.write.parquet(folder)
+            written = spark.read.schema(said.schema).parquet(folder)
+            good = written.filter("error IS NULL").drop("error")
+            good.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(ledger)
+            bad = written.filter("error IS NOT NULL").select("call_key", "error")
+            if bad.isEmpty():
+                bad = None
+                break
+        if bad is not None:
+            failed = bad if failed is None else failed.unionByName(bad)
+    found = read_ledger(spark, ledger).groupBy("bucket", "call_key").agg(
+        F.min(F.struct("content", "prompt_tokens", "completion_tokens", "total_tokens")).alias("_said")
+    )
+    joined = asked.join(found, ["bucket", "call_key"], "left")
+    if failed is None:
+        joined = joined.withColumn("error", F.lit(None).cast("string"))
+    else:
+        joined = joined.join(failed, "call_key", "left")
+    tokens = [F.coalesce(f"_said.{c}", F.lit(0)).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")]
+    return stage_table(joined.select(*passed, "_said.content", "error", *tokens), name)
+
+
 def sections_from_answers(groups: DataFrame, written: DataFrame, edited: DataFrame) -> DataFrame:
     """(label, rank, title, text, failed): one section per group, in order of rank.
 

@@ -7,24 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookup import free_name, quoted
+
 _BUCKET_BITS = 20
 _CUT_IN_TASK = 1000
 
 
 def dedup_first(df: DataFrame, key: str, row_id: str = "row_id", nulls: str = "collapse") -> DataFrame:
-    """One row per ``key``: the first in row order.
+    """One row per ``key``: the first in row order.  ``row_id`` tells rows apart.
 
-    Null keys count as equal and collapse to one row; ``nulls="keep"`` keeps all of them.  The filter on
-    ``row_number`` lets Spark drop later copies inside each task, before the shuffle, so a key with very many
-    copies sends one row per task.
+    Null keys count as equal and collapse to one row; ``nulls="keep"`` keeps all of them.  The first row numbers come
+    from a hash aggregate of keys and numbers, which merges copies inside each task; the rows behind them are
+    fetched by number, so that no whole row is ever sorted and a key with very many copies costs no more than others.
     """
     if nulls not in ("collapse", "keep"):
         raise ValueError("nulls must be 'collapse' or 'keep'")
-    keys = [F.col(key)]
+    keyed = df if nulls == "collapse" else df.filter(quoted(key).isNotNull())
+    name = free_name(df, "first_row_id")
+    first = keyed.groupBy(quoted(key)).agg(F.min(quoted(row_id)).alias(name)).select(name)
+    rows = keyed.join(first.hint("shuffle_hash"), quoted(row_id) == F.col(name), "left_semi")
     if nulls == "keep":
-        keys.append(F.when(F.col(key).isNull(), F.col(row_id)))
-    by_key = Window.partitionBy(*keys).orderBy(row_id)
-    return df.withColumn("_position", F.row_number().over(by_key)).filter("_position = 1").drop("_position")
+        rows = rows.unionAll(df.filter(quoted(key).isNull()))
+    return rows
 
 
 def first_n_per_key(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LABEL_DICTIONARY, NO_LABEL, SYNONYM_GROUPS
 from ..functions.text import clean_text, label_key
-from .lookup import HOT_ROWS, columns_of, literal_table, spread_lookup
+from .lookup import HOT_ROWS, columns_of, free_name, literal_table, quoted, spread_lookup
 
 
 def synonym_table(spark: SparkSession, groups=SYNONYM_GROUPS) -> DataFrame:
@@ -56,8 +56,10 @@ def translate_labels(
     df: DataFrame, dictionary: DataFrame, label: str = "problem", output: str = "problem_russ"
 ) -> DataFrame:
     """Look every label up in a dictionary; labels without an entry give null."""
-    side = dictionary.select(F.col("label").alias("_label"), F.col("translation").alias(output))
-    return df.join(side, F.col(label) == F.col("_label"), "left").drop("_label")
+    side = dictionary.select(F.struct(F.col("label"), F.col("translation")).alias(free_name(df, "entry")))
+    entry = F.col(side.columns[0])
+    joined = df.join(side, quoted(label) == entry["label"], "left")
+    return joined.select(*[quoted(c) for c in df.columns if c != output], entry["translation"].alias(output))
 
 
 def parse_single_label(

@@ -22,6 +22,14 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [quoted(c) for c in df.columns]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until the table has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def literal_table(spark: SparkSession, rows, columns: str) -> DataFrame:
     """A few driver-side rows as a table whose size the optimizer knows, so it can choose a broadcast itself."""
     rows = list(rows)

@@ -68,7 +68,7 @@ from ..operators.report import (
     toc,
 )
 from ..session import stage_table
-from ..sources.memo import append_memo, read_memo
+from ..sources.memo import append_memo
 from ..sources.messages import read_messages
 from ..sources.roles import ColumnRoles, resolve_columns
 
@@ -117,15 +117,13 @@ def classify_job(
     langs = check_langs(langs, max_langs)
     if not langs:
         raise ValueError("name a language")
-    spark = df.sparkSession
     translations, asked = translate_catalogue(catalogue, langs, complete, settings)
-    memo = read_memo(spark, memo_path) if memo_path else None
     labelled, answers = classify_messages(
         df,
         catalogue,
         complete,
         roles.message,
-        memo=memo,
+        memo=memo_path,
         translations=translations,
         langs=langs,
         max_labels=max_labels,

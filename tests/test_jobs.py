@@ -5,12 +5,16 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from issuescope.operators import classify, completions
 from issuescope.operators.classify import classify_messages, lexicon_classify, memo_rows
 from issuescope.operators.completions import (
     CallSettings,
     Prompt,
     answer_table,
+    call_tasks,
     classify_requests,
+    estimated_tokens,
+    read_ledger,
     run_completions,
     sections_from_answers,
     translate_requests,
@@ -25,7 +29,7 @@ from issuescope.plans.jobs import (
     single_label_job,
     translate_catalogue,
 )
-from issuescope.session import work_dir
+from issuescope.session import stage_table, work_dir
 from issuescope.sources.catalogue import catalogue_table
 from issuescope.sources.memo import read_memo
 from issuescope.sources.roles import ColumnRoles
@@ -333,3 +337,108 @@ def test_noted_report_job(spark):
     counts = {r.text: r.value for r in got if r.kind == "table_row"}
     assert counts == {"Потоп": 1, "Floods": 1, "Наводнения": 1, "Бедность": 1, "Empty": 1}
     assert report.usage.count() == 2
+
+
+def test_lexicon_of_ten_thousand_terms_in_one_walk(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    words = docs.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("w")).filter("w <> ''").distinct()
+    terms = [(i % 50, r.w) for i, r in enumerate(words.orderBy("w").limit(10_000).collect())]
+    terms += [(50, terms[0][1]), (51, "aa"), (52, "th")]
+    lexicon = spark.createDataFrame(terms, "label_id int, term string")
+    got = {r.doc_id: r.label_ids for r in lexicon_classify(docs, lexicon, "text", 5).collect()}
+    for r in docs.limit(20).collect():
+        scores = {}
+        for label_id, term in terms:
+            scores[label_id] = scores.get(label_id, 0) + (r.text or "").lower().count(term)
+        best = sorted((-n, i) for i, n in scores.items() if n)[:5]
+        assert got[r.doc_id] == [i for _, i in best]
+
+
+def test_lexicon_size_is_checked_and_columns_stay(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "Aa aaa", "mine")], "row_id int, message string, _lowered string")
+    lexicon = spark.createDataFrame([(1, "aa"), (2, "AAA")], "label_id int, term string")
+    assert lexicon_classify(df, lexicon).collect() == [(1, "Aa aaa", "mine", [1, 2])]
+    monkeypatch.setattr(classify, "LEXICON_BYTES", 4)
+    with pytest.raises(ValueError, match="bytes of terms"):
+        lexicon_classify(df, lexicon)
+
+
+def test_a_list_too_long_for_requests_ends_the_job(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "text")], "row_id int, message string")
+    catalogue = catalogue_table(spark, ["a" * 50, "b"])
+    said = classify_requests(df, catalogue).head().messages[1].content
+    assert "1. " + "a" * 50 + "\n2. b" in said
+    monkeypatch.setattr(completions, "LIST_CHARS", 20)
+    with pytest.raises(Exception, match="too long for a request"):
+        classify_requests(df, catalogue).collect()
+
+
+def plain_requests(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, message string")
+    return stage_table(classify_requests(df, catalogue_table(spark, ["a"]), keep=("row_id",)), "requests")
+
+
+def test_ledger_pays_only_once_after_a_task_was_killed(spark, tmp_path):
+    calls, ledger = tmp_path / "calls", str(tmp_path / "ledger")
+    calls.mkdir()
+
+    def counted(deadly):
+        def complete(model, messages, temperature, max_tokens):
+            import os
+            import uuid
+
+            text = messages[1]["content"]
+            if deadly and "text 78 " in text:
+                os._exit(1)
+            (calls / uuid.uuid4().hex).write_text(text)
+            return f"said {len(text)}", {"prompt_tokens": 2, "completion_tokens": 1}
+
+        return complete
+
+    requests = plain_requests(spark, [f"text {i} " + "x" * (i % 7) for i in range(160)] + ["text 5 " + "x" * 5] * 3)
+    settings = {"parallelism": 2, "ledger": ledger, "calls_per_commit": 5, "keep": ("row_id",)}
+    with pytest.raises(Exception):  # noqa: B017
+        answer_table(requests, counted(True), **settings)
+    kept = read_ledger(spark, ledger).count()
+    paid = len(list(calls.iterdir()))
+    # One step in sixteen at most is lost.
+    assert kept < 160 and paid - kept <= 30
+    answers = answer_table(requests, counted(False), **settings)
+    assert len(list(calls.iterdir())) == paid + 160 - kept
+    assert answers.count() == 163 and answers.filter("error IS NOT NULL OR content IS NULL").count() == 0
+    assert answers.schema == answer_table(requests, counted(False), 2, ("row_id",)).schema
+    before = len(list(calls.iterdir()))
+    answer_table(requests, counted(False), **settings)
+    assert len(list(calls.iterdir())) == before
+
+
+def test_ledger_keeps_no_failures(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    requests = plain_requests(spark, ["good", "bad"])
+
+    def complete(fails):
+        def ask(model, messages, temperature, max_tokens):
+            if fails and "bad" in messages[1]["content"]:
+                raise ValueError("no")
+            return "yes", None
+
+        return ask
+
+    first = answer_table(requests, complete(True), ledger=ledger, rounds=2)
+    assert rows(first, "request_id", "content", "error") == [(0, "yes", None), (1, None, "no")]
+    assert read_ledger(spark, ledger).count() == 1
+    assert rows(answer_table(requests, complete(False), ledger=ledger), "content", "error") == [("yes", None)] * 2
+
+
+def test_call_tasks_are_even_on_skewed_texts(spark):
+    rng = __import__("random").Random(4)
+    texts = ["x" * int(20 + rng.paretovariate(1.1) * 50) for _ in range(3000)]
+    texts = [t[:6000] for t in texts]
+    requests = plain_requests(spark, texts)
+    dealt = call_tasks(requests, 8)
+    assert dealt.columns == [*requests.columns, "call_task"] and dealt.count() == 3000
+    sums = [r.n for r in dealt.groupBy("call_task").agg(F.sum(estimated_tokens()).alias("n")).collect()]
+    assert len(sums) == 8 and max(sums) <= 1.2 * sum(sums) / 8
+    placed = dealt.repartitionById(8, F.col("call_task")).select("call_task", F.spark_partition_id().alias("p")).distinct()
+    assert all(r.p == r.call_task for r in placed.collect())

@@ -16,6 +16,7 @@ from issuescope.operators.labels import (
     parse_translations,
     translation_fault,
     synonym_table,
+    translate_labels,
 )
 from issuescope.sources.catalogue import catalogue_table
 
@@ -237,3 +238,18 @@ def test_distribution(spark):
     df = spark.createDataFrame(list(enumerate(labels)), "row_id long, label string")
     assert rows(distribution(df)) == [("a", 2, 2), ("b", 2, 1), ("c", 1, 3)]
     assert rows(distribution(df, exclude=None))[-1] == ("нет", 3, 1)
+
+
+def test_columns_named_like_helpers_stay(spark):
+    df = spark.createDataFrame(
+        [(1, "t", 7, "x", "l"), (2, "t", 8, "y", "m"), (3, None, 9, "z", "l"), (4, None, 1, "z", "l")],
+        "row_id int, title string, _position int, _first string, _label string",
+    )
+    kept = dedup_first(df, "title")
+    assert kept.columns == df.columns
+    assert rows(kept) == [(1, "t", 7, "x", "l"), (3, None, 9, "z", "l")]
+    assert rows(dedup_first(df, "title", nulls="keep"), "row_id") == [(1,), (3,), (4,)]
+    dictionary = spark.createDataFrame([("l", "L")], "label string, translation string")
+    named = translate_labels(df.withColumnRenamed("title", "entry"), dictionary, "_label", "out")
+    assert named.columns == ["row_id", "entry", "_position", "_first", "_label", "out"]
+    assert rows(named, "row_id", "out") == [(1, "L"), (2, None), (3, "L"), (4, "L")]

@@ -1,10 +1,13 @@
+import hashlib
+
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from issuescope.sources.catalogue import read_catalogue
-from issuescope.sources.memo import append_memo, memo_table, read_memo
+from issuescope.operators.classify import match_memo
+from issuescope.sources.memo import append_memo, compact_memo, memo_table, read_memo
 from issuescope.sources.messages import read_messages
 from issuescope.sources.records import LineScanner
 from issuescope.sources.roles import resolve_columns
@@ -202,3 +205,44 @@ def test_quotes_inside_plain_fields_open_nothing():
     assert [scanner.after(line, True) for line in (b"", b'x"', b'x"";', b'x";"y', b'x";5" y', b'"a;"b')] == [
         True, False, True, True, False, True,
     ]
+
+
+def memo_rows_of(spark, numbers, model="m"):
+    rows_ = [(hashlib.sha256(str(i).encode()).hexdigest(), model, 3, [i]) for i in numbers]
+    return spark.createDataFrame(rows_, memo_table(spark).schema)
+
+
+def test_memo_is_joined_where_it_lies_and_pruned(spark, tmp_path):
+    path = str(tmp_path / "memo with 'quotes'")
+    append_memo(memo_rows_of(spark, range(400)), path, buckets=8)
+    append_memo(memo_rows_of(spark, range(400), "other"), path)
+    texts = memo_rows_of(spark, [*range(3), 999]).select("key")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        memo = read_memo(spark, path, "m", 3, texts)
+        joined = match_memo(texts, memo)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        got = rows(joined, "label_ids")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == sorted([([0],), ([1],), ([2],), (None,)], key=repr)
+    # The texts are shuffled to the buckets, the memo is not shuffled.
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan and "part" in plan
+    files = {f for f in memo.inputFiles()}
+    assert 0 < len(files) < len(set(read_memo(spark, path, "m").inputFiles())) / 2
+    assert all("model=m/" in f for f in files)
+
+
+def test_many_runs_leave_few_files(spark, tmp_path):
+    path = str(tmp_path / "memo")
+    assert compact_memo(spark, path) is None
+    for run in range(5):
+        append_memo(memo_rows_of(spark, range(run * 20, run * 20 + 40)), path, buckets=2, compact_after=4)
+    memo = read_memo(spark, path)
+    assert len(memo.inputFiles()) <= 2 * 16 * 2
+    assert sorted(r.label_ids[0] for r in memo.dropDuplicates(["key"]).collect()) == list(range(120))
+    old = compact_memo(spark, path)
+    memo = read_memo(spark, path)
+    assert len(memo.inputFiles()) <= 16 * 2 and memo.count() == 120
+    assert old.startswith(path) and read_memo(spark, path, "absent").count() == 0
