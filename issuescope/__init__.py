@@ -35,11 +35,14 @@ from .operators.labels import (
     add_wide_columns,
     attach_labels,
     dictionary_table,
+    label_flags,
+    label_vocabulary,
     merge_labels,
     numbered_block,
     observed_labels,
     parse_single_label,
     parse_translations,
+    sparse_labels,
     synonym_table,
     translate_labels,
 )

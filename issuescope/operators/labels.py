@@ -203,6 +203,56 @@ def add_wide_columns(
     return split.select(*columns_of(df), *flags)
 
 
+def label_flags(df: DataFrame, row_id: str = "row_id", langs: Sequence[str] = ()) -> DataFrame:
+    """(row_id, prefix, label): one row per label of a message, the long form of ``add_wide_columns``.
+
+    ``prefix`` is ``ru`` or the language.  One pass over the rows, and no shuffle, as a message's labels are told apart
+    where they lie.
+    """
+
+    def labels_of(prefix: str, candidates: str) -> Column:
+        names = F.array_distinct(F.filter(F.split(quoted(candidates), r"\|"), lambda x: x != ""))
+        return F.transform(names, lambda x: F.struct(F.lit(prefix).alias("prefix"), x.alias("label")))
+
+    sources = [("ru", "problem_russ_candidates"), *[(lang, f"problem_{lang}_candidates") for lang in langs]]
+    empty = F.array().cast("array<struct<prefix:string,label:string>>")
+    per_row = F.concat(*[F.coalesce(labels_of(p, c), empty) for p, c in sources])
+    return df.select(quoted(row_id).alias(row_id), F.explode(per_row).alias("flag")).select(row_id, "flag.*")
+
+
+def label_vocabulary(flags: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
+    """(prefix, label, column): the columns of a sparse one-hot table, numbered from 0.
+
+    The labels of ``catalogue`` come first, in the order of their ids and whether found or not; then the labels found per
+    language, in the order of their names.  The numbers come from counts per block of names, so that a list of any
+    length is numbered without passing one task.
+    """
+    from .first import with_rank
+
+    named = flags.select("prefix", "label").distinct()
+    first = None
+    if catalogue is not None:
+        first = catalogue.groupBy("label").agg(F.min("label_id").cast("bigint").alias("first_row_id"))
+        first = first.select(F.lit("ru").alias("prefix"), "label", F.lit(2).alias("count"), "first_row_id")
+        named = named.filter("prefix <> 'ru'")
+    # Ranked by count descending, then place, then name: the catalogue before all others, these by a prefix of the name.
+    place = F.conv(F.left(F.rpad(F.hex(F.concat("prefix", F.lit("\0"), "label")), 14, "0"), F.lit(14)), 16, 10).cast("bigint")
+    others = named.select("prefix", "label", F.lit(1).alias("count"), place.alias("first_row_id"))
+    all_ = others if first is None else first.unionByName(others)
+    name = F.concat("prefix", F.lit("\0"), "label")
+    ranked = with_rank(all_.withColumn("name", name), label="name", rank="column")
+    return ranked.select("prefix", "label", (F.col("column") - 1).alias("column"))
+
+
+def sparse_labels(flags: DataFrame, vocabulary: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """(row_id, columns): the sorted numbers of the true columns of every row that has one.
+
+    Works for lists of any length, where a table cannot have a column per label.
+    """
+    numbered = flags.join(vocabulary, ["prefix", "label"])
+    return numbered.groupBy(row_id).agg(F.array_sort(F.collect_list("column")).alias("columns"))
+
+
 def numbered_block(catalogue: DataFrame, name: str = "label", order: str = "label_id") -> DataFrame:
     """The catalogue as one text with one entry per line, numbered by ``order``; entries without text keep their line.
 

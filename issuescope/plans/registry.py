@@ -27,7 +27,7 @@ from ..session import stage_table, work_dir
 from ..sources.catalogue import read_catalogue
 from ..sources.memo import append_memo, read_memo
 from ..sources.messages import read_messages
-from ..sources.sinks import write_classified, write_distribution
+from ..sources.sinks import write_classified, write_distribution, write_report
 from . import driver_tables as D
 from .jobs import load_messages, report_of
 
@@ -420,6 +420,24 @@ def wide_onehot(spark, d):
     return wide.drop(*[c for c in labelled.columns if c != "row_id"])
 
 
+@query(
+    f"""WITH {_WIDE_LABELS_SQL}, flags AS (
+      SELECT row_id, 'ru' AS prefix, unnest(list_distinct(string_split(ru, '|'))) AS label FROM wide WHERE ru <> ''
+      UNION ALL SELECT row_id, 'en', unnest(list_distinct(string_split(en, '|'))) FROM wide WHERE en <> ''
+      UNION ALL SELECT row_id, 'sw', unnest(list_distinct(string_split(sw, '|'))) FROM wide WHERE sw <> ''), vocabulary AS (
+      SELECT 'ru' AS prefix, label, label_id - 1 AS col FROM catalogue UNION ALL
+      SELECT prefix, label, (SELECT count(*) FROM catalogue) + row_number() OVER (ORDER BY prefix, label) - 1
+      FROM (SELECT DISTINCT prefix, label FROM flags WHERE prefix <> 'ru') AS t)
+    SELECT row_id, string_agg(CAST(col AS VARCHAR), '|' ORDER BY col) AS columns
+    FROM flags JOIN vocabulary USING (prefix, label) GROUP BY row_id"""
+)
+def sparse_onehot(spark, d):
+    """The wide table without a column per label: the numbers of the true ones."""
+    flags = L.label_flags(_multilang(spark, d), langs=("en", "sw"))
+    vocabulary = stage_table(L.label_vocabulary(flags, D.catalogue(spark)), "vocabulary")
+    return L.sparse_labels(flags, vocabulary).select("row_id", _joined("columns"))
+
+
 @query(
     f"""WITH {_WIDE_LABELS_SQL}
     SELECT DISTINCT unnest(string_split(sw, '|')) AS label FROM wide WHERE sw <> ''"""
@@ -684,16 +702,21 @@ def request_counter():
     return complete
 
 
-@query(
-    f"""WITH sent AS (SELECT doc_id AS request_id, length({_CLASSIFY_SQL}) AS n
+_FAKE_SQL = f"""WITH sent AS (SELECT doc_id AS request_id, length({_CLASSIFY_SQL}) AS n
       FROM (SELECT *, trim(text, {_WS}) AS clean FROM documents) AS t WHERE clean <> '')
     SELECT request_id, 'classify' AS stage, CASE WHEN n % 10 <> 9 THEN '{{"problem_ids": [' || (1 + n % 7) || ']}}' END AS content,
       CASE WHEN n % 10 = 9 THEN 'no answer' END AS error, CASE WHEN n % 10 = 9 THEN 0 ELSE n END AS prompt_tokens,
       CAST(CASE WHEN n % 10 = 9 THEN 0 ELSE 7 END AS BIGINT) AS completion_tokens,
       CASE WHEN n % 10 = 9 THEN 0 ELSE n + 7 END AS total_tokens FROM sent"""
-)
+
+
+@query(_FAKE_SQL)
 def completions_fake(spark, d):
-    requests = M.classify_requests(
+    return M.run_completions(_fake_requests(spark, d), request_counter()).drop("model")
+
+
+def _fake_requests(spark, d):
+    return M.classify_requests(
         D.documents(spark, d),
         D.catalogue(spark),
         "text",
@@ -701,7 +724,32 @@ def completions_fake(spark, d):
         translations=D.translations(spark),
         langs=("en",),
     )
-    return M.run_completions(requests, request_counter()).drop("model")
+
+
+@query(_FAKE_SQL)
+def completions_ledger(spark, d):
+    """The documents of one language are answered by an earlier job; this one asks for the rest."""
+    ledger = f"{work_dir(spark)}/issuescope/ledger-{uuid.uuid4().hex}"
+    requests = stage_table(_fake_requests(spark, d), "requests")
+    earlier = D.documents(spark, d).filter("lang = 'en'").select(F.col("doc_id").alias("request_id"))
+    M.answer_table(requests.join(earlier, "request_id", "left_semi"), request_counter(), ledger=ledger)
+    return M.answer_table(requests, request_counter(), ledger=ledger).drop("model")
+
+
+@query(
+    """WITH sized AS (SELECT doc_id AS request_id, greatest(1, length(coalesce(text, ''))) AS n,
+        md5(CAST(doc_id AS VARCHAR)) AS k FROM documents), summed AS (
+      SELECT request_id, sum(n) OVER () AS total,
+        coalesce(sum(n) OVER (ORDER BY k, request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM sized)
+    SELECT request_id, CAST(before * 8 // total AS INTEGER) AS call_task FROM summed"""
+)
+def call_tasks(spark, d):
+    docs = D.documents(spark, d).select(F.col("doc_id").alias("request_id"), "text")
+    chars = F.greatest(F.lit(1), F.char_length(F.coalesce("text", F.lit(""))))
+    return M.call_tasks(docs, 8, chars).select("request_id", "call_task")
+
+
 
 
 def text_counter():
@@ -1001,6 +1049,14 @@ def report_blocks(spark, d):
     return _report(spark, d)
 
 
+@query(_report_sql())
+def report_round_trip(spark, d):
+    """The report as it is read back from where it was written."""
+    path = f"{work_dir(spark)}/issuescope/report-{uuid.uuid4().hex}"
+    write_report(_report(spark, d), path)
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- lists, memos and files
 
 

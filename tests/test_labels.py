@@ -9,12 +9,15 @@ from issuescope.operators.groups import distribution
 from issuescope.operators.labels import (
     add_wide_columns,
     attach_labels,
+    label_flags,
+    label_vocabulary,
     merge_labels,
     numbered_block,
     observed_labels,
     parse_single_label,
     parse_translations,
     translation_fault,
+    sparse_labels,
     synonym_table,
     translate_labels,
 )
@@ -253,3 +256,25 @@ def test_columns_named_like_helpers_stay(spark):
     named = translate_labels(df.withColumnRenamed("title", "entry"), dictionary, "_label", "out")
     assert named.columns == ["row_id", "entry", "_position", "_first", "_label", "out"]
     assert rows(named, "row_id", "out") == [(1, "L"), (2, None), (3, "L"), (4, "L")]
+
+
+def test_sparse_one_hot_of_twenty_thousand_labels(spark):
+    names = [f"label {i * 7919 % 20_000:05d}" for i in range(20_000)]
+    catalogue = catalogue_table(spark, names)
+    df = spark.range(300).select(
+        F.col("id").alias("row_id"),
+        F.array(*[(F.col("id") * 67 + k * 331) % 20_000 + 1 for k in range(3)]).cast("array<int>").alias("label_ids"),
+    )
+    labelled = attach_labels(df, catalogue, row_id="row_id").drop("label_ids")
+    labelled = labelled.withColumn("problem_en_candidates", F.lit("b|a|b"))
+    flags = label_flags(labelled, langs=["en"])
+    vocabulary = label_vocabulary(flags, catalogue)
+    numbers = {(r.prefix, r.label): r.column for r in vocabulary.collect()}
+    assert len(numbers) == 20_002 and sorted(numbers.values()) == list(range(20_002))
+    assert [numbers["ru", n] for n in names[:5]] == [0, 1, 2, 3, 4]
+    assert numbers["en", "a"] == 20_000 and numbers["en", "b"] == 20_001
+    got = {r.row_id: r.columns for r in sparse_labels(flags, vocabulary).collect()}
+    assert all(
+        got[i] == sorted({(i * 67 + k * 331) % 20_000 for k in range(3)}) + [20_000, 20_001] for i in range(300)
+    )
+    assert label_flags(labelled.limit(0), langs=["en"]).collect() == []
