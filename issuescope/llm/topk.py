@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -10,34 +11,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import column_numpy, map_batches
+from .common import lanes, map_batches
 from .vectors import vector_rows
 
-#: Rows of one index block, and queries that visit a block together.
+#: Rows of one index block.
 BLOCK_ROWS = 32_768
-QUERY_ROWS = 128
 #: Impacts of a dimension are cut into this many levels; a segment holds the rows of one level.
 LEVELS = 32
 #: The proof is tried each time this share of what a query can still gain has been processed.
 _TRIES = (0.5, 0.75, 0.9, 1.0)
+#: Rows and queries go through the index while all that it adds up stays below this; others are scored by
+#: integers of any size.
+_NARROW, _SUM = 2.0**26, 2.0**62
 
 
 def _whole(scale: int):
+    """Vectors as floor(scale * x), whole numbers in double precision; what is not finite then takes no part."""
+
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for row in vector_rows(batch.column("embedding")):
-                whole = None if row is None else np.floor(scale * row)
-                if whole is not None and (np.abs(whole) >= 2.0**53).any():
-                    raise ValueError("components must stay below 2^53 when scaled")
-                out.append(None if whole is None else whole.astype(np.int64).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array(out, pa.binary())], names=["vec_id", "whole"]
-            )
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                out = []
+                for row in vector_rows(batch.column("embedding")):
+                    whole = None if row is None else np.floor(scale * row)
+                    good = whole is not None and np.isfinite(whole).all()
+                    out.append(whole.astype(np.float64).tobytes() if good else None)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("vec_id"), pa.array(out, pa.binary())], names=["vec_id", "whole"]
+                )
 
     return convert
 
 
+def sort_key(score: int) -> bytes:
+    """Bytes in whose order higher scores come first, whatever their size."""
+    n = abs(score).to_bytes((abs(score).bit_length() + 7) // 8, "big")
+    key = len(n).to_bytes(4, "big") + n
+    return b"\1" + key if score < 0 else b"\0" + bytes(255 - b for b in key)
+
+
+def exact_scores(rows: np.ndarray, query: np.ndarray) -> list[int]:
+    """Inner products in integers of any size."""
+    asked = [int(x) for x in query]
+    return [sum(int(x) * y for x, y in zip(row, asked, strict=True) if x) for row in rows.tolist()]
+
+
 class ImpactIndex:
     """Rows of a block, posted under (dimension, level of impact); a segment is one level of one dimension.
 
@@ -59,8 +77,9 @@ class ImpactIndex:
 
         Every row starts from the least that each dimension can give.  A segment adds what its level is worth above
         that; segments come by descending worth.  What the open segments of all dimensions and the places within a
-        level can still add bounds every row from above.  Processing stops when few rows can still reach the
-        k-th best lower bound, which proves the others out.
+        level can still add bounds every row from above.  Rows whose bound is below the k-th best lower bound are
+        proven out.  Processing stops when scoring the others exactly takes no more than the postings that are left;
+        ``processed`` then holds the share of postings that were needed.
         """
         n = len(self.rows)
         step, up = np.abs(query) * self.step, query >= 0
@@ -76,6 +95,7 @@ class ImpactIndex:
         gained = np.cumsum(value * (end - begin))
         tries = [int(np.searchsorted(gained, share * gained[-1])) + 1 for share in _TRIES] if len(gained) else [0]
         tries[-1] = len(value)
+        left = np.append(np.cumsum((end - begin)[::-1])[::-1], 0)  # postings behind each segment
         score = np.full(n, int(least.sum()), np.int64)
         at = 0
         for stop in tries:
@@ -86,38 +106,79 @@ class ImpactIndex:
             np.maximum.at(still, dim[at:], value[at:])
             bar = np.partition(score, n - k)[n - k]
             members = np.flatnonzero(score + int(still.sum()) + within >= bar)
-            if len(members) <= 4 * k:
+            if len(members) * len(query) <= int(left[at]):
                 break
+        self.processed = float(1 - left[at] / left[0]) if left[0] else 1.0
         return members, self.rows[members] @ query
 
 
+class _Block:
+    """The rows of one block and one length of vectors: an index of the narrow ones, and the others as they are."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        order = np.argsort(ids, kind="stable")
+        ids, rows = ids[order], rows[order]
+        narrow = (np.abs(rows) < _NARROW).all(axis=1)
+        self.rows = {True: rows[narrow], False: rows[~narrow]}
+        self.ids = {True: ids[narrow], False: ids[~narrow]}
+        self.index = ImpactIndex(self.rows[True].astype(np.int64)) if narrow.any() else None
+        self.most = np.abs(self.rows[True]).max(axis=0, initial=0.0)
+
+    def best(self, name: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """The ``k`` best (-score, id), without the query itself."""
+        found: list[tuple[int, int]] = []
+        # The largest sum of steps, levels and bases that the index can meet.
+        fits = float(((3 * self.most + 4 * LEVELS) * np.abs(query)).sum()) < _SUM
+        if self.index is not None and fits:
+            # One place more, as the query itself may be in the block.
+            rows, scores = self.index.top(query.astype(np.int64), min(k + 1, len(self.ids[True])))
+            found += zip((-scores).tolist(), self.ids[True][rows].tolist(), strict=True)
+        for narrow in [False] if fits else [False, True]:
+            scores = exact_scores(self.rows[narrow], query)
+            found += zip([-s for s in scores], self.ids[narrow].tolist(), strict=True)
+        return nsmallest(k, (hit for hit in found if hit[1] != name))
+
+
+_HITS = "query_id long, lost binary, vec_id long, score long"
+_LONG = (1 << 63) - 1
+
+
 def _search(k: int):
-    def search(table: pa.Table) -> pa.Table:
-        """One index block and one block of queries -> the block's best rows of every query."""
-        table = table.combine_chunks()
-        ids, kind = column_numpy(table, "vec_id"), column_numpy(table, "is_query")
-        raw = table.column("whole").to_pylist()
-        width = np.array([len(r) for r in raw])
-        out: tuple[list, ...] = ([], [], [])
-        for w in np.unique(width):  # rows of another length have no product
-            mine = np.flatnonzero((width == w) & ~kind)
-            asked = np.flatnonzero((width == w) & kind)
-            if not len(mine) or not len(asked):
-                continue
-            mine = mine[np.argsort(ids[mine], kind="stable")]
-            block = ImpactIndex(np.frombuffer(b"".join([raw[i] for i in mine]), np.int64).reshape(len(mine), -1))
-            names = ids[mine]
-            for q in asked:
-                # One place more, as the query itself may be in the block.
-                rows, scores = block.top(np.frombuffer(raw[q], np.int64), min(k + 1, len(mine)))
-                other = names[rows] != ids[q]
-                rows, scores = rows[other], scores[other]
-                best = np.lexsort((names[rows], -scores))[:k]
-                out[0].append(np.full(len(best), ids[q]))
-                out[1].append(names[rows[best]])
-                out[2].append(scores[best])
-        merged = [np.concatenate(c).astype(np.int64) if c else np.empty(0, np.int64) for c in out]
-        return pa.table({"query_id": merged[0], "vec_id": merged[1], "score": merged[2]})
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by block, a block's rows before the queries -> the block's best rows of every query.
+
+        A block's rows are held, the queries pass as a stream.
+        """
+        number = None
+        held: list[tuple[int, bytes]] = []
+        blocks: dict[int, _Block] | None = None
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [])
+            columns = [batch.column(c).to_pylist() for c in ("block", "is_query", "vec_id", "whole")]
+            for block, is_query, name, raw in zip(*columns, strict=True):
+                if block != number:
+                    number, held, blocks = block, [], None
+                if not is_query:
+                    held.append((name, raw))
+                    continue
+                if blocks is None:
+                    blocks = {}
+                    for size in {len(r) for _, r in held}:  # rows of another length have no product
+                        mine = [(n, r) for n, r in held if len(r) == size]
+                        rows = np.frombuffer(b"".join([r for _, r in mine]), np.float64).reshape(len(mine), -1)
+                        blocks[size] = _Block(np.array([n for n, _ in mine], np.int64), rows)
+                    held = []
+                if len(raw) not in blocks:
+                    continue
+                for lost, row in blocks[len(raw)].best(name, np.frombuffer(raw, np.float64), k):
+                    out[0].append(name)
+                    out[1].append(sort_key(-lost))
+                    out[2].append(row)
+                    out[3].append(max(-_LONG - 1, min(_LONG, -lost)))
+            if out[0]:
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
+                arrays = [pa.array(c, t) for c, t in zip(out, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "lost", "vec_id", "score"])
 
     return search
 
@@ -130,8 +191,9 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int
     another length have no product with it.  Ties go to the smaller id; all rows are returned if there are fewer
     than ``k``.  Of rows that repeat an id, one counts (the smallest by its components).
 
-    Rows are dealt to index blocks, queries to query blocks, and every two meet in one task.  Blocks are cut finer
-    where integers could pass 64 bits: they cannot for scaled components below 2^25 and 8,192 dimensions.
+    Rows are dealt to index blocks, and the queries are copied to all of them.  Scores are exact for all finite
+    components whose scaled value is finite; vectors with others take no part.  Order and ties are those of the exact
+    scores; ``score`` shows one that a long cannot hold as the nearest long.
     """
     def whole(df: DataFrame, name: str) -> DataFrame:
         source = df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
@@ -141,18 +203,15 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int
 
     rows, asked = whole(vectors, "index"), whole(queries, "queries")
     blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-    asks = max(1, -(-asked.count() // QUERY_ROWS))
-    other = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    sides = rows.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), other(asks).alias("ask"), "vec_id", "whole", F.lit(False).alias("is_query")
-    ).unionByName(
-        asked.select(
-            other(blocks).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(asks)).cast("int").alias("ask"), "vec_id", "whole", F.lit(True).alias("is_query")
-        )
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    own = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    sides = rows.select(own.alias("block"), F.lit(False).alias("is_query"), "vec_id", "whole").unionByName(
+        asked.select(every.alias("block"), F.lit(True).alias("is_query"), "vec_id", "whole")
     )
-    near = sides.groupBy("block", "ask").applyInArrow(_search(k), "query_id long, vec_id long, score long")
+    sides = sides.repartition(min(blocks, 10 * lanes(vectors.sparkSession)), "block")
+    near = map_batches(sides.sortWithinPartitions("block", "is_query", "vec_id"), _search(k), _HITS)
     # At most k rows per query and block; the best of them, without a sort of a whole group.
-    best = F.expr(f"slice(array_sort(collect_list(struct(-score AS lost, vec_id))), 1, {int(k)})")
+    best = F.expr(f"slice(array_sort(collect_list(struct(lost, vec_id, score))), 1, {int(k)})")
     lane = F.pmod(F.xxhash64("vec_id"), F.lit(16))
     for keys in (["query_id", "_lane"], ["query_id"]):
         near = (
@@ -160,6 +219,6 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int
             .groupBy(*keys)
             .agg(best.alias("best"))
             .select("query_id", F.posexplode("best").alias("place", "hit"))
-            .select("query_id", "place", F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.lost")).alias("score"))
+            .select("query_id", "place", "hit.lost", "hit.vec_id", "hit.score")
         )
     return near.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), "vec_id", "score")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from issuescope.llm import vectors
-from issuescope.llm.topk import ImpactIndex, exact_top_k
+from issuescope.llm.topk import ImpactIndex, exact_top_k, sort_key
 from issuescope.llm.vectors import linked_pairs, quantise, vector_components
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -94,7 +94,6 @@ def test_top_k_over_several_blocks(spark, monkeypatch):
     from issuescope.llm import topk
 
     monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=5).tolist()) for i in range(230)]
     df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA).withColumn("score", F.lit(1)).withColumn("block", F.lit(2))
@@ -110,3 +109,32 @@ def test_index_stops_early_only_with_proof():
         rows, scores = ImpactIndex(block).top(query, 3)
         best = np.sort(block @ query)[::-1][:3]
         assert np.sort(scores)[::-1][:3].tolist() == best.tolist()
+
+
+def test_top_k_of_large_components_is_exact(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=2) * 10.0 ** rng.integers(-2, 15)).tolist()) for i in range(60)]
+    rows += [(100, [1e10, 0.0]), (101, [1e10, 0.0]), (102, [-1.0, 0.0]), (103, [1e14, -1e14]), (104, [3e4, 3e4])]
+    rows += [(200, [1e30, 1.0]), (201, [1e30, 2.0]), (202, [-1e30, 0.0]), (300, [1e306, 0.0])]  # the last is not finite when scaled
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in exact_top_k(df, df.filter("vec_id % 20 = 0"), 5).collect())
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows if math.isfinite(1024 * max(map(abs, v)))}
+    want = []
+    for q in (i for i in whole if i % 20 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        want += [(q, n, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scores[:5], 1)]
+    assert got == sorted(want)
+    assert any(s[3] == 2**63 - 1 for s in got) and {s[0] for s in got} >= {0, 20, 40, 100, 200}
+
+
+def test_score_that_fits_a_long_is_kept_beside_ones_that_do_not(spark):
+    df = spark.createDataFrame(
+        [(100, [1e10, 0.0], 0), (1, [1e10, 0.0], 0), (2, [-1.0, 0.0], 0)], "vec_id bigint, embedding array<double>, label int"
+    )
+    got = exact_top_k(df, df.filter("vec_id = 100"), 10).collect()
+    assert [tuple(r) for r in got] == [(100, 1, 1, 2**63 - 1), (100, 2, 2, -(1024 * 10**10) * 1024)]
+
+
+def test_sort_keys_follow_scores():
+    scores = [0, 1, -1, 255, 256, -255, -256, 2**63, -(2**63), 2**200, -(2**200), 2**200 + 1]
+    assert sorted(scores, key=sort_key) == sorted(scores, reverse=True)
