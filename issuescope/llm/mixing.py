@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.lookup import columns_of, free_name
 from ..session import stage_table
 from .common import WORD_PATTERN, lanes
 
@@ -59,7 +60,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget: float, mo
 
 def _source_key() -> Column:
     """A name that joins like any other, for null too."""
-    return F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
+    return F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
 
 
 def demand_position(share: Column, trend: Column) -> Column:
@@ -76,7 +77,8 @@ def demand_position(share: Column, trend: Column) -> Column:
 def plan_mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, most: int = MOST_REPEATS
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, position.
+    """One row per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, position, and what
+    ``curriculum`` needs beside.
 
     A source's documents stand in the order of md5(doc_id).  It is gone through as often as its target asks, and the
     last pass stops at the word that meets the target, so that ``taken`` sums to the rounded target exactly.
@@ -90,12 +92,18 @@ def plan_mix(
             F.col("source").cast("string").alias("source"),
             word_count("text").alias("size"),
             F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key"),
+            F.xxhash64("text").alias("text_hash"),
         ),
         "sizes",
     )
     targets = source_targets(sizes, weights, budget, most)
     rows = sizes.select(
-        "doc_id", "size", "key", _source_key().alias("source_key"), F.substring("key", 1, _BUCKET_DIGITS).alias("bucket")
+        "doc_id",
+        "size",
+        "key",
+        "text_hash",
+        _source_key().alias("source_key"),
+        F.substring("key", 1, _BUCKET_DIGITS).alias("bucket"),
     )
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     buckets = rows.groupBy("source_key", "bucket").agg(F.sum("size").alias("words"))
@@ -104,7 +112,7 @@ def plan_mix(
         "source_key", "bucket", F.coalesce(F.sum("words").over(over_buckets), F.lit(0)).alias("bucket_start")
     ).join(targets, "source_key")
     buckets = stage_table(buckets, "buckets")
-    within = before(Window.partitionBy("source_key", "bucket").orderBy("key", "doc_id", "size"))
+    within = before(Window.partitionBy("source_key", "bucket").orderBy("key", "doc_id", "size", "text_hash"))
     placed = rows.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
         buckets, ["source_key", "bucket"]
     )
@@ -126,28 +134,44 @@ def plan_mix(
         (F.col("source_size") / some).alias("pass_share"),
         share.alias("share"),
         "trend",
+        "text_hash",
+        "source_key",
     )
 
 
+def by_position(plan: DataFrame) -> DataFrame:
+    """The plan in the order of training, range-sorted; what is not taken comes last."""
+    order = [F.asc_nulls_last("position"), F.asc("doc_id")]
+    return plan.repartitionByRange(lanes(plan.sparkSession), *order).sortWithinPartitions(*order)
+
+
 def curriculum(docs: DataFrame, **settings) -> DataFrame:
     """The mixed documents with all their columns, once per time they are taken, sorted by training position.
 
     A document of which the last pass takes at least half is taken whole, else not at all, so the words of a source differ
-    from its target by at most half a document.  Rows that repeat an id are matched with their plans one by one.
+    from its target by at most half a document.  Rows are matched with their plans by id, source and text, so that rows
+    that repeat an id, and rows without one, each get their own plan; only rows that agree in all three share theirs,
+    one by one.  Columns of any name are kept.  An empty table gives an empty one.
     """
     plan = stage_table(plan_mix(docs, **settings), "plan")
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    turns = plan.withColumn("_times", times).filter("_times > 0")
-    position = F.transform(
-        F.sequence(F.lit(0), F.col("_times") - 1),
-        lambda i: demand_position(F.least(F.lit(1.0), F.col("share") + i * F.col("pass_share")), F.col("trend")),
+    key, text, source, n, places, at = (free_name(docs, f"mix_{c}") for c in ("key", "text", "source", "n", "places", "at"))
+    alike = Window.partitionBy(key, text, source)
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    # Equal rows are numbered on both sides; of their plans the fullest goes to the first.
+    turns = plan.select(
+        known.alias(key), F.col("text_hash").alias(text), F.col("source_key").alias(source), times.alias(n), "share", "pass_share", "trend"
+    ).withColumn(
+        places,
+        F.transform(
+            F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)),
+            lambda i: demand_position(F.least(F.lit(1.0), F.col("share") + i * F.col("pass_share")), F.col("trend")),
+        ),
     )
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    number = lambda *order: F.row_number().over(Window.partitionBy("_mix_key").orderBy(*order))
-    turns = turns.select(key.alias("_mix_key"), "size", position.alias("_mix_positions"))
-    turns = turns.withColumn("_mix_n", number("size")).drop("size")
-    rows = docs.withColumn("_mix_key", key).withColumn("_mix_n", number(F.xxhash64("text")))
-    mixed = rows.join(turns, ["_mix_key", "_mix_n"]).withColumn("_mix_at", F.explode("_mix_positions"))
-    ordered = mixed.repartitionByRange(lanes(docs.sparkSession), "_mix_at", "_mix_key")
-    ordered = ordered.sortWithinPartitions("_mix_at", "_mix_key")
-    return ordered.select(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+    turns = turns.withColumn(n, F.row_number().over(alike.orderBy(F.desc(n), "share"))).filter(F.col(places).isNotNull())
+    turns = turns.select(key, text, source, n, places)
+    rows = docs.withColumns({key: known, text: F.xxhash64("text"), source: _source_key()})
+    rows = rows.withColumn(n, F.row_number().over(alike.orderBy(key)))
+    mixed = rows.join(turns, [key, text, source, n]).withColumn(at, F.explode(places))
+    ordered = mixed.repartitionByRange(lanes(docs.sparkSession), at, key).sortWithinPartitions(at, key)
+    return ordered.select(*columns_of(docs))

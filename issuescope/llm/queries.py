@@ -12,7 +12,7 @@ from .common import load
 from .html import extract_pages
 from .language import fit_language, identify_language
 from .minhash import minhash_components
-from .mixing import plan_mix
+from .mixing import by_position, plan_mix
 from .packing import pack_documents
 from .phrases import collocations
 from .reputation import judge_pages
@@ -52,7 +52,7 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mix(load(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    return by_position(plan.select("doc_id", "size", "source_size", "target", "taken", "position"))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,17 +169,22 @@ WITH RECURSIVE sizes AS (
       / nullif(sum(CASE WHEN stop_now THEN 0.0 ELSE weight END) OVER (), 0)
   FROM (SELECT *, stops OR 2 * source_size <= weight * level AS stop_now FROM rounds WHERE round < 40)
 ), targets AS (
-  SELECT source, source_size, CASE WHEN stops THEN CAST(2 * source_size AS DOUBLE) ELSE weight * level END AS target
+  SELECT source, source_size, CASE WHEN stops THEN CAST(2 * source_size AS DOUBLE) ELSE weight * level END AS target,
+    CAST(CASE weight WHEN 5 THEN 0.5 WHEN 2 THEN 1 ELSE 2 END AS DOUBLE) AS trend
   FROM rounds WHERE round = 40
 ), placed AS (
-  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS want,
+  SELECT doc_id, size, source_size, target, trend, CAST(round(target) AS BIGINT) AS want,
     coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE
-  size * (want // source_size) + greatest(0, least(size, want % source_size - before)) END AS BIGINT) AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken = 0 THEN NULL WHEN trend = 1 THEN share ELSE
+  (sqrt(4 * ((trend - 1) / 2) * ((trend + 1) / 2 * share) + 1) - 1) / (2 * ((trend - 1) / 2)) END AS position
+FROM (SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, trend,
+    least(1.0, (before + CAST(size AS DOUBLE) / 2) / CAST(nullif(want, 0) AS DOUBLE)) AS share,
+    CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+      size * (want // source_size) + greatest(0, least(size, want % source_size - before)) END AS BIGINT) AS taken
+  FROM placed) AS t
 """
 
 _OP8_SQL = r"""

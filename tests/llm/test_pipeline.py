@@ -12,7 +12,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _t
 
 def corpus(spark, tmp_path):
     rows, labels = toxic_corpus(400)
-    docs = [(i, t, "en", f"s{i % 3}", len(t), 1) for i, t, *_ in rows]
+    docs = [(i, t, "en", f"s{i % 3}", len(t), 7) for i, t, *_ in rows]
     docs += [(1000 + i, docs[2 + 7 * i][1], "en", "s1", 1, 1) for i in range(5)]  # copies
     docs += [(2000, "123 456 !!", "en", "s0", 9, 1), (2001, None, None, None, None, None), (None, docs[3][1], "en", "s2", 1, 1)]
     docs += [docs[9]]  # a repeated row
@@ -37,14 +37,14 @@ def test_stages(spark, tmp_path):
     assert not {2000, 2001} & ids
     assert left - {2000, 2001} == ids
     single = stage["near_duplicates"](spark, spoken, str(tmp_path))
-    assert single.columns == docs.columns
+    assert single.columns == docs.columns and single.filter("_turn = 7").count() > 300
     components = {r.doc_id: r for r in minhash_components(spoken, 85).collect()}
     counts = Counter(r.doc_id for r in single.collect())
     assert all(n == 1 for i, n in counts.items() if i is not None)
     assert {i for i in counts if i is not None} == {i for i, r in components.items() if r.kept}
     assert counts[None] == 1
     mixed = stage["mixing"](spark, single, str(tmp_path))
-    assert mixed.columns == docs.columns
+    assert mixed.columns == docs.columns and mixed.filter("_turn = 7").count() > 300
     assert {r.doc_id for r in mixed.collect()} <= set(counts)
     packed = stage["packing"](spark, mixed, str(tmp_path))
     assert packed.filter("piece = 0").count() == mixed.count()
@@ -67,3 +67,22 @@ def test_near_copies_of_four_fifths_go(spark, tmp_path):
     stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
     left = stage(spark, spark.createDataFrame(docs, SCHEMA), str(tmp_path))
     assert sorted(r.doc_id for r in left.collect()) == [10, 20, 30, 31]
+
+
+def test_repeated_ids_keep_their_texts_and_plans(spark, tmp_path):
+    schema = "doc_id long, text string, source string, mix_n int, turn int"
+    words = lambda w, n: " ".join(f"{w}{i}" for i in range(n))
+    docs = [(3, words("a", 30), "s", 5, 6), (3, words("b", 50), "s", 5, 6), (3, words("b", 50), "s", 5, 6)]
+    docs += [(None, words(f"n{i}", 10 + i), "t", 5, 6) for i in range(40)]
+    df = spark.createDataFrame(docs, schema)
+    stage = dict(corpus_pipeline.STAGES)
+    single = stage["near_duplicates"](spark, df, str(tmp_path))
+    assert Counter(r.text for r in single.collect()) == Counter(t for _, t, *_ in [*docs[:2], *docs[3:]])
+    mixed = stage["mixing"](spark, single, str(tmp_path)).collect()
+    assert {(r.mix_n, r.turn) for r in mixed} == {(5, 6)}
+    for source, size in (("s", 80), ("t", sum(10 + i for i in range(40)))):
+        taken = Counter(r.text for r in mixed if r.source == source)
+        assert max(taken.values()) <= 2
+        total = sum(len(t.split()) * n for t, n in taken.items())
+        target = {"s": 160.0, "t": 1.5 * (80 + 1180) - 160}[source]
+        assert size <= 1180 and abs(total - target) <= 50 / 2
