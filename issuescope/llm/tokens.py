@@ -83,21 +83,23 @@ def tokenizer_ids(name: str) -> Callable[[str], bytes]:
     split, letters, merges = regex.compile(_SPLITS[kind]).findall, byte_letters(), tokenizer.model.tokenize
     normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
 
-    def merged(part: str) -> list[int]:
-        return [t.id for t in merges(part.encode().decode("latin-1").translate(letters))]
+    def merged(part: str) -> bytes:
+        return array("I", [t.id for t in merges(part.encode().decode("latin-1").translate(letters))]).tobytes()
+
+    # Most pieces not seen before are known words with another mark beside them.
+    parts = _Pieces(merged)
 
     def encode(piece: str) -> bytes:
         if kind == "dropped" and piece.isascii():
             piece = piece.lower()
         bare = piece[1:] if kind == "kept" and piece[:1] == " " else piece
         if len(piece) <= _LONG_PIECE and bare.isalpha() and bare.isascii():
-            ids = [t.id for t in merges(letters[32] + bare if bare is not piece else piece)]
-        elif len(piece) > _LONG_PIECE or "<|" in piece or not _COMMON.fullmatch(piece):
+            return parts[piece]
+        if len(piece) > _LONG_PIECE or "<|" in piece or not _COMMON.fullmatch(piece):
             ids = tokenizer.encode(piece, add_special_tokens=False).ids
-        else:
-            piece = piece if kind == "kept" or piece.isascii() else normal(piece)
-            ids = [i for part in split(piece) for i in merged(part)]
-        return array("I", ids).tobytes()
+            return array("I", ids).tobytes()
+        piece = piece if kind == "kept" or piece.isascii() else normal(piece)
+        return b"".join(map(parts.__getitem__, split(piece)))
 
     if kind == "dropped":
         words = _Pieces(encode)
@@ -185,7 +187,7 @@ def join_planes(parts: list[bytes], n: int, planes: str = "byte") -> np.ndarray:
 def pack_chunk(ids: np.ndarray, planes: str = "byte", level: int = 3) -> list[bytes]:
     """Every plane compressed by zstandard; an empty string stands for a plane of zeros."""
     press = zstandard.ZstdCompressor(level=level)
-    return [press.compress(p) if any(p) else b"" for p in shuffle_planes(ids, planes)]
+    return [press.compress(p) if p.count(0) < len(p) else b"" for p in shuffle_planes(ids, planes)]
 
 
 def unpack_chunk(parts: list[bytes], n: int, planes: str = "byte") -> np.ndarray:
@@ -225,8 +227,9 @@ def _encode_part(name: str, end_id: int, planes: str):
 
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            if batch.num_rows:
                 part = batch.column("part")[0].as_py()
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids = np.frombuffer(ids_of(text.as_py() or "") + end, "<u4")
                 docs.append(NO_ID if doc is None else doc)
                 held.append(ids)
