@@ -3,16 +3,18 @@
 1. Words are hashed, and prefix sums of a polynomial over the word hashes give the fingerprint of every n-gram of a
    piece by one subtraction.  There are two, of independent hashes: the key and a check.
 2. Pass n counts the n-grams whose two (n-1)-grams may be frequent by a bitmap of fixed size.  Tasks merge equal
-   fingerprints before the shuffle sums their counts and keeps two occurrence pointers, the least and the greatest
-   hash of a text that holds the n-gram.
-3. Only n-grams counted often enough are turned into text: the texts pointed to are read again, the fingerprints
-   found there become words, and the words behind both pointers of a fingerprint must agree.
+   fingerprints before the shuffle, each with an occurrence pointer, ``POINTER_BITS`` of the hash of a text that holds
+   the n-gram.  The shuffle sums the counts and keeps the least pointer.
+3. Only n-grams counted often enough are turned into text: the texts pointed to are read again, key and check are
+   computed from their words once more, and every fingerprint must be found and stand for one phrase.  Pointers that
+   several texts share lead to all of them.
 4. Counts of first parts, rests and longer phrases are looked up by fingerprint, with hot parts dealt out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ TOP = 2000
 UNKNOWN = "und"
 #: Bits of the map of frequent fingerprints, whatever their number.  A full map prunes less and loses nothing.
 MAP_BITS = 1 << 26
+#: Bits of an occurrence pointer.  Fewer make shuffled rows shorter, and more texts share a pointer and are read again.
+POINTER_BITS = 40
 BLOCK_BYTES = 4 << 20
 HELD_GRAMS = 1 << 21
 HOT_USES = 1000
@@ -168,26 +172,20 @@ def blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 
 
 def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """(key, check, count, low, high) with equal (key, check) merged."""
-    key, check, count, low, high = (np.concatenate(c) for c in zip(*parts, strict=True))
+    """(key, check, count, text) with equal (key, check) merged; of their texts the least is kept."""
+    key, check, count, text = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.argsort(key, kind="stable")
-    key, check, count, low, high = key[order], check[order], count[order], low[order], high[order]
+    key, check, count, text = key[order], check[order], count[order], text[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     if (check[1:] != check[:-1])[~new[1:]].any():  # one key, several checks
         order = np.lexsort((check, key))
-        key, check, count, low, high = key[order], check[order], count[order], low[order], high[order]
+        key, check, count, text = key[order], check[order], count[order], text[order]
         new[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
     first = np.flatnonzero(new)
     if not len(first):
-        return key, check, count, low, high
-    return (
-        key[first],
-        check[first],
-        np.add.reduceat(count, first),
-        np.minimum.reduceat(low, first),
-        np.maximum.reduceat(high, first),
-    )
+        return key, check, count, text
+    return key[first], check[first], np.add.reduceat(count, first), np.minimum.reduceat(text, first)
 
 
 def _known(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -195,7 +193,7 @@ def _known(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (bits[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1) == _U(1)
 
 
-_COUNTS = "key bigint, chk bigint, count bigint, low bigint, high bigint"
+_COUNTS = "key bigint, chk bigint, count bigint, text_key bigint"
 
 
 def _count_grams(n: int, bits: np.ndarray | None, key_mask: int):
@@ -228,7 +226,7 @@ def _count_grams(n: int, bits: np.ndarray | None, key_mask: int):
                         at = at[near][_known(bits, rest & _U(key_mask))]
                     key, check = words.fingerprints(at, n, langs[row])
                     where = texts[row[words.text[at]]]
-                    parts.append((key & _U(key_mask), check, np.ones(len(at), np.int64), where, where))
+                    parts.append((key & _U(key_mask), check, np.ones(len(at), np.int64), where))
                     rows += len(at)
                     if rows - merged >= HELD_GRAMS:
                         parts = [_summed(parts)]
@@ -329,13 +327,14 @@ def frequent_phrases(
     mask = (1 << key_bits) - 1
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     texts = documents.select(lang.alias("lang"), F.col("text").cast("binary").alias("body")).filter("body IS NOT NULL")
-    texts = texts.withColumns({"lang_hash": F.xxhash64("lang"), "text_key": F.xxhash64("lang", "body")})
+    pointer = F.xxhash64("lang", "body").bitwiseAND(F.lit((1 << POINTER_BITS) - 1))
+    texts = texts.withColumns({"lang_hash": F.xxhash64("lang"), "text_key": pointer})
     read = texts.select("lang_hash", "text_key", "body")
     found, bits = None, None
     for n in range(1, longest + 1):
         counted = map_batches(read, _count_grams(n, bits, mask), _COUNTS)
         often = counted.groupBy("key", "chk").agg(
-            F.sum("count").alias("count"), F.min("low").alias("low"), F.max("high").alias("high")
+            F.sum("count").alias("count"), F.min("text_key").alias("text_key")
         )
         level = stage_table(often.filter(F.col("count") >= least), f"grams-{n}")
         found = level if found is None else found.unionByName(level)
@@ -343,7 +342,7 @@ def frequent_phrases(
             bits = _bitmap(level.select("key"))
 
     gram = F.struct("key", "chk")
-    pointers = found.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("text_key"), gram.alias("gram"))
+    pointers = found.select("text_key", gram.alias("gram"))
     wanted = stage_table(pointers.groupBy("text_key").agg(F.collect_list("gram").alias("wanted")), "pointers")
     pointed = _bitmap(wanted.select(F.col("text_key").alias("key")))
 
@@ -351,10 +350,9 @@ def frequent_phrases(
         for batch in batches:
             yield batch.filter(pa.array(_known(pointed, column_numpy(batch, "text_key").view(_U))))
 
-    # Copies of a text share its key; one of them is read again.
-    again = map_batches(texts, maybe, "lang string, body binary, lang_hash bigint, text_key bigint")
-    again = again.groupBy("text_key").agg(F.min_by(F.struct("lang", "body"), F.xxhash64("body")).alias("t"), F.first("lang_hash").alias("lang_hash"))
-    asked = again.join(wanted, "text_key").select("t.lang", "lang_hash", "t.body", "wanted")
+    # One of equal texts is read again.
+    again = map_batches(texts, maybe, "lang string, body binary, lang_hash bigint, text_key bigint").distinct()
+    asked = again.join(wanted, "text_key").select("lang", "lang_hash", "body", "wanted")
     said = map_batches(asked, _materialise(longest, mask), _PHRASES)
     said = said.groupBy("key", "chk").agg(
         F.min("lang").alias("lang"),
@@ -448,6 +446,9 @@ def _ranked(documents: DataFrame, phrases: DataFrame, cuts: DataFrame, top: int)
     lane = F.pmod(F.xxhash64("phrase"), F.lit(lanes(documents.sparkSession)))
     near = Window.partitionBy("lang", "_lane").orderBy(*order)
     rows = rows.withColumn("_lane", lane).withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= top)
+    # A second round in fewer lanes, so that the last one sees the square root of the lanes times the top at most.
+    rows = rows.withColumn("_lane", F.col("_lane") % isqrt(lanes(documents.sparkSession)))
+    rows = rows.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= top)
     by_lang = Window.partitionBy("lang").orderBy(*order)
     rows = rows.withColumn("rank", F.row_number().over(by_lang).cast("bigint")).filter(F.col("rank") <= top)
     return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
