@@ -104,9 +104,10 @@ def read_memo(
 
 
 def _write(rows: DataFrame, path: str, layout: Row) -> None:
-    """Append rows, each bucket by one task, so that a folder gets one file per bucket at most."""
+    """Append rows, each bucket of a part by one task, so that a folder gets one file per bucket at most."""
     spark = rows.sparkSession
-    dealt = rows.withColumn("part", _part(layout)).repartition(layout.buckets, "key")
+    bucket = F.pmod(F.hash("key"), F.lit(layout.buckets))
+    dealt = rows.withColumn("part", _part(layout)).repartition("part", bucket)
     dealt.select("key", "label_ids", "model", "max_labels", "part").write.insertInto(_open(spark, path, layout))
 
 
