@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 SCHEMA = "key string, model string, max_labels int, label_ids array<int>"
 #: Buckets of a new memo, and digits of the key that name its folders.
-BUCKETS = 32
+BUCKETS = 8
 PART_DIGITS = 1
 #: Appends after which the files of a memo are merged.
 COMPACT_AFTER = 16
