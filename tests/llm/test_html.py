@@ -1,5 +1,7 @@
 """Main text of pages by hand-made expectations."""
 
+import time
+
 import pytest
 
 from issuescope.llm.html import extract_pages, main_text
@@ -87,3 +89,41 @@ def test_names_and_forms_do_not_remove_most_of_a_page(html, expected):
 
 def test_a_long_notice_beside_a_short_article_goes():
     assert main_text(f"<div class=ad>{ARTICLE}</div><article><h1>Title, short.</h1></article>") == "Title, short."
+
+
+@pytest.mark.parametrize("depth", [205, 220, 3_000])
+def test_an_article_is_seen_at_any_depth(depth):
+    inside = "<div>" * depth + ARTICLE + "</div>" * depth
+    html = "<section>" * 300 + f"<article>{inside}</article>" + "<p>Beside it, not of it. No.</p>" + "</section>" * 300
+    assert main_text(html) == TEXT
+
+
+def test_closing_tags_end_their_own_element_at_any_depth():
+    html = "<ul>" * 2_000 + "<nav>" + "<b><div>" * 1_000 + "menu, here." + "</nav>" + f"<div>{ARTICLE}</div>"
+    assert main_text(html) == TEXT
+
+
+def test_work_grows_with_the_page_however_deep():
+    begin = time.perf_counter()
+    parts = "".join(f"<div class='c{i}'>a{i}, b.<form id=menu{i}>Search, go.</form>" for i in range(20_000))
+    assert main_text(parts + "</div>" * 20_000 + "</section>" * 20_000).count("b.") == 20_000
+    assert time.perf_counter() - begin < 20
+
+
+def test_lists_of_links_in_an_article_go_and_titles_with_links_stay():
+    links = "".join(f"<li><a href=/{i}>Entry, {i}.</a></li>" for i in range(30))
+    html = f"<article><h1><a href=/>Title</a></h1>{ARTICLE}<ul class=more>{links}</ul><p>1</p><table><tr><td>2</table></article>"
+    assert main_text(html) == f"Title {TEXT} 1 2"
+    entries = " ".join(f"Entry, {i}." for i in range(30))
+    assert main_text(html, least_inside=-1) == f"Title {TEXT} 1 2"  # a score of 0 is never content
+    mixed = html.replace("<li><a", "<li>A little text, then <a")
+    assert entries.split()[0] in main_text(mixed)
+
+
+def test_thresholds_decide():
+    html = f"<div>{ARTICLE}</div><table><tr><td>12</td></tr></table>"
+    assert main_text(html) == TEXT
+    assert main_text(html, least_share=0.01) == f"{TEXT} 12"
+    html = f"<article>{ARTICLE}<div><dl><dt>12</dl></div></article>"
+    assert main_text(html) == f"{TEXT} 12"
+    assert main_text(html, least_inside=0.95) == TEXT
