@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,21 +139,21 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _training_windows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Windows that lie evenly over each text, and its last one, so that filled-up windows are learned too."""
     for batch in batches:
-        places, langs, rows, counts = [], [], [], []
+        places, langs, rows, hashes = [], [], [], []
         texts = batch.column("text").cast(pa.binary())
         for place, lang, text in zip(batch.column("place"), batch.column("lang"), texts, strict=True):
             x = windows(text.as_py())
-            at = np.unique(np.linspace(0, len(x) - 1, min(len(x), TRAIN_WINDOWS)).astype(int))
+            at = np.unique(np.linspace(0, len(x) - 1, min(len(x), most)).astype(int))
             places.append(place.as_py())
             langs.append(lang.as_py())
             rows.append(x[at].tobytes())
-            counts.append(len(at))
+            hashes.append(xxhash.xxh3_128_digest(text.as_py()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(places, pa.int64()), pa.array(langs, pa.string()), pa.array(rows, pa.binary())],
-            names=["place", "lang", "windows"],
+            [pa.array(places, pa.int64()), pa.array(langs, pa.string()), pa.array(rows, pa.binary()), pa.array(hashes, pa.binary())],
+            names=["place", "lang", "windows", "hash"],
         )
 
 
@@ -165,27 +167,31 @@ def _train(table: pa.Table) -> pa.Table:
     return pa.table({"model": pa.array([pickle.dumps(network)], pa.binary())})
 
 
-def fit_language(docs: DataFrame, most: int = TRAIN_DOCS) -> bytes | None:
+def fit_language(docs: DataFrame, most: int = TRAIN_DOCS, most_windows: int = TRAIN_WINDOWS) -> bytes | None:
     """The trained network, or None if no document may be learned from.
 
     It learns from documents with a language and a text that are not held out, of each language at most ``most``, those
-    with the smallest hash of their id, in one task.
+    with the smallest hash of their id, and of each at most ``most_windows`` windows, in one task.  Of several texts under
+    one id the one with the smallest hash is taken, so that reruns learn the same.
     """
     from pyspark.sql import Window
 
     usable = docs.filter("lang IS NOT NULL AND text IS NOT NULL AND text <> '' AND doc_id IS NOT NULL")
     usable = usable.filter(~held_out("doc_id")).select("doc_id", "lang")
     place = F.xxhash64(F.lit("language"), "doc_id")
-    # In two rounds, so that the documents of one language are never ranked in a single task.
-    ranked = usable.distinct().withColumns({"place": place, "lane": F.pmod(F.xxhash64("doc_id"), F.lit(64))})
-    for keys in (["lang", "lane"], ["lang"]):
+    # In three rounds of 64, 8 and 1 lanes, so that the documents of one language are never ranked in a single task.
+    lane = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+    ranked = usable.distinct().withColumns({"place": place, "lane": lane, "middle": F.pmod(lane, F.lit(8))})
+    for keys in (["lang", "lane"], ["lang", "middle"], ["lang"]):
         first = Window.partitionBy(*keys).orderBy("place", "doc_id")
         ranked = ranked.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= most)
     sample = stage_table(ranked.select("doc_id", "lang", "place"), "languages")
     texts = docs.select("doc_id", "lang", "text").filter("text <> ''")
     chosen = texts.join(F.broadcast(sample), ["doc_id", "lang"]).select("place", "lang", "text")
-    rows = map_batches(chosen, _training_windows, "place long, lang string, windows binary")
-    rows = rows.dropDuplicates(["place", "lang"])
+    rows = map_batches(
+        chosen, partial(_training_windows, most=most_windows), "place long, lang string, windows binary, hash binary"
+    )
+    rows = rows.groupBy("place", "lang").agg(F.min_by("windows", "hash").alias("windows"))
     found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_train, "model binary").collect()
     return found[0].model if found else None
 

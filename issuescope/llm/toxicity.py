@@ -64,6 +64,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Linear:
     """Logistic regression on screened sparse features, dense figures and earlier categories' log-odds."""
 
+    def __init__(self, most_features: int = MOST_FEATURES):
+        self.most_features = most_features
+
     def fit(self, rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarray) -> Linear:
         n, positive = len(y), float(y.sum())
         self.ids, self.weight = np.empty(0, np.int64), np.empty(0)
@@ -82,7 +85,7 @@ class Linear:
             z = (p - q) / np.sqrt(pool * (1 - pool) * (1 / positive + 1 / (n - positive)))
         z[(all_ < 3) | ~np.isfinite(z)] = 0
         strong = np.flatnonzero(np.abs(z) >= LEAST_Z)
-        self.ids = np.sort(strong[np.argsort(-np.abs(z[strong]), kind="stable")[:MOST_FEATURES]])
+        self.ids = np.sort(strong[np.argsort(-np.abs(z[strong]), kind="stable")[: self.most_features]])
         column = np.full(BUCKETS, -1)
         column[self.ids] = np.arange(len(self.ids))
         used = column[cols] >= 0
@@ -107,7 +110,9 @@ class Linear:
         return np.bincount(rows, table[cols], len(dense)) + ((dense - self.mean) / self.scale) @ self.dense
 
 
-def train_chain(sparse: list[np.ndarray], dense: np.ndarray, marks: np.ndarray, folds: np.ndarray) -> dict:
+def train_chain(
+    sparse: list[np.ndarray], dense: np.ndarray, marks: np.ndarray, folds: np.ndarray, most_features: int = MOST_FEATURES
+) -> dict:
     """One model per category.  ``marks`` has low_quality and toxic; models behind the first are trained with
     out-of-fold log-odds of the earlier ones, so that they see these as they will be on new documents."""
     rows = np.repeat(np.arange(len(sparse)), [len(s) for s in sparse])
@@ -122,9 +127,9 @@ def train_chain(sparse: list[np.ndarray], dense: np.ndarray, marks: np.ndarray,
             train = folds != fold
             inside = train[rows]
             at = np.cumsum(train) - 1
-            model = Linear().fit(at[rows[inside]], cols[inside], seen[train], y[train])
+            model = Linear(most_features).fit(at[rows[inside]], cols[inside], seen[train], y[train])
             outside[~train] = model.log_odds((np.cumsum(~train) - 1)[rows[~inside]], cols[~inside], seen[~train])
-        model = Linear().fit(rows, cols, seen, y)
+        model = Linear(most_features).fit(rows, cols, seen, y)
         models.append(model)
         if CATEGORIES[k] == "toxic":
             # The verdict's threshold: the best F1 out of fold, the middle of those that reach it.
@@ -144,31 +149,35 @@ def train_chain(sparse: list[np.ndarray], dense: np.ndarray, marks: np.ndarray,
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = _WordFeatures()
     for batch in batches:
-        sparse, dense = [], []
+        sparse, dense, hashes = [], [], []
         for text in batch.column("text"):
+            hashes.append(xxhash.xxh3_128_digest((text.as_py() or "").encode("utf-8", "surrogatepass")))
             s, d = text_features(text.as_py(), words)
             sparse.append(s.tobytes())
             dense.append(d.tobytes())
         columns = [batch.column(c) for c in ("place", "low_quality", "toxic")]
         yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(sparse, pa.binary()), pa.array(dense, pa.binary())],
-            names=["place", "low_quality", "toxic", "sparse", "dense"],
+            [*columns, pa.array(sparse, pa.binary()), pa.array(dense, pa.binary()), pa.array(hashes, pa.binary())],
+            names=["place", "low_quality", "toxic", "sparse", "dense", "hash"],
         )
 
 
-def _train(table: pa.Table) -> pa.Table:
+def _train(table: pa.Table, most_features: int) -> pa.Table:
     table = table.sort_by("place")
     sparse = [np.frombuffer(s, np.int32) for s in table.column("sparse").to_pylist()]
     dense = np.array([np.frombuffer(d) for d in table.column("dense").to_pylist()])
     marks = np.column_stack([table.column(c).to_numpy() for c in ("low_quality", "toxic")]).astype(float)
     folds = np.arange(len(sparse)) % FOLDS
-    return pa.table({"model": pa.array([pickle.dumps(train_chain(sparse, dense, marks, folds))], pa.binary())})
+    return pa.table({"model": pa.array([pickle.dumps(train_chain(sparse, dense, marks, folds, most_features))], pa.binary())})
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> bytes | None:
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, most_features: int = MOST_FEATURES
+) -> bytes | None:
     """The trained chain, or None without labelled documents.
 
-    It learns from at most ``most`` labelled documents, in one task; that bound also holds what is broadcast to find them.
+    It learns from at most ``most`` labelled documents, in one task, and gives weights to at most ``most_features`` hashed
+    features a category, those that differ most between its documents and others; the first bound also holds what is broadcast to find them.
     Of several labels of a document, the worst counts; labels with nulls are left out.
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
@@ -177,10 +186,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) ->
     sample = stage_table(known.withColumn("place", place).orderBy("place", "doc_id").limit(most), "labelled")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = texts.join(F.broadcast(sample), "doc_id").select("place", "low_quality", "toxic", "text")
-    rows = map_batches(chosen, _features, "place long, low_quality int, toxic int, sparse binary, dense binary")
-    # Repeated ids must not make the sample larger than its bound.
-    rows = rows.dropDuplicates(["place"])
-    found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(_train, "model binary").collect()
+    rows = map_batches(chosen, _features, "place long, low_quality int, toxic int, sparse binary, dense binary, hash binary")
+    # Repeated ids must not make the sample larger than its bound; of their texts the one with the smallest hash is taken.
+    rows = rows.groupBy("place", "low_quality", "toxic").agg(F.min_by(F.struct("sparse", "dense"), "hash").alias("seen"))
+    rows = rows.select("place", "low_quality", "toxic", "seen.sparse", "seen.dense")
+    train = lambda table: _train(table, most_features)
+    found = rows.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(train, "model binary").collect()
     return found[0].model if found else None
 
 

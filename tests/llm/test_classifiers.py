@@ -1,5 +1,6 @@
 """Toxicity chain and byte network: held-out accuracy, and defined results for odd rows."""
 
+import pickle
 import random
 import zlib
 
@@ -123,3 +124,18 @@ def test_tables_predict_what_the_network_computes():
 def test_windows_hold_the_whole_text():
     for n in (1, 255, 256, 257, 5000):
         assert windows(b"x" * n).tobytes().rstrip(b"\0") == b"x" * n
+
+
+def test_reruns_learn_the_same_from_ids_with_several_texts(spark):
+    rows, labels = toxic_corpus(120)
+    rows += [(i, t + " other", lang, *r) for i, t, lang, *r in rows[:60]]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    one = spark.createDataFrame(rows, DOCS).repartition(3)
+    two = spark.createDataFrame(rows[::-1], DOCS).repartition(5)
+    assert fit_language(one) == fit_language(two) is not None
+    a, b = (pickle.loads(fit_toxicity(docs, marks)) for docs in (one, two))
+    assert a["threshold"] == b["threshold"]
+    for x, y in zip(a["models"], b["models"], strict=True):
+        assert (x.ids == y.ids).all() and (x.weight == y.weight).all() and (x.dense == y.dense).all()
+    few = pickle.loads(fit_toxicity(one, marks, most_features=5))
+    assert max(len(m.ids) for m in few["models"]) <= 5 < max(len(m.ids) for m in a["models"])

@@ -1,12 +1,12 @@
 """The pipeline, stage by stage, on a small corpus with planted cases."""
 
+import re
 from collections import Counter
+from itertools import combinations
 
 import corpus_pipeline
 from test_classifiers import toxic_corpus
 
-from issuescope.llm.minhash import minhash_components
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _turn int"
 
 
@@ -21,6 +21,50 @@ def corpus(spark, tmp_path):
     return spark.read.parquet(f"{tmp_path}/documents.parquet"), labels
 
 
+def smallest_of_groups(docs):
+    """The ids that stay: of documents that are linked by 0.8 of their 5-word shingles the smallest."""
+    sets = {}
+    for i, text in docs:
+        words = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return {i for i in sets if find(i) == i}
+
+
+def ends_meet(pieces, documents):
+    """Sequences are filled without gaps up to 2,048, and every document is there from its first token to its end."""
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 2048
+    by_doc = {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, Counter())[p.piece, p.start, p.length] += 1
+    assert by_doc.keys() == documents.keys()
+    for doc, cuts in by_doc.items():
+        assert sum(n for (piece, *_), n in cuts.items() if piece == 0) == documents[doc]
+        at = 0
+        for (piece, start, length), n in sorted(cuts.items()):
+            if n == documents[doc]:  # one text under this id
+                assert start == at
+                at += length
+
+
 def test_stages(spark, tmp_path):
     docs, labels = corpus(spark, tmp_path)
     names = [name for name, _ in corpus_pipeline.STAGES]
@@ -38,16 +82,18 @@ def test_stages(spark, tmp_path):
     assert left - {2000, 2001} == ids
     single = stage["near_duplicates"](spark, spoken, str(tmp_path))
     assert single.columns == docs.columns and single.filter("_turn = 7").count() > 300
-    components = {r.doc_id: r for r in minhash_components(spoken, 85).collect()}
     counts = Counter(r.doc_id for r in single.collect())
     assert all(n == 1 for i, n in counts.items() if i is not None)
-    assert {i for i in counts if i is not None} == {i for i, r in components.items() if r.kept}
+    assert {i for i in counts if i is not None} == smallest_of_groups(
+        [(r.doc_id, r.text) for r in spoken.collect() if r.doc_id is not None]
+    )
     assert counts[None] == 1
     mixed = stage["mixing"](spark, single, str(tmp_path))
     assert mixed.columns == docs.columns and mixed.filter("_turn = 7").count() > 300
     assert {r.doc_id for r in mixed.collect()} <= set(counts)
     packed = stage["packing"](spark, mixed, str(tmp_path))
     assert packed.filter("piece = 0").count() == mixed.count()
+    ends_meet(packed.collect(), Counter(r.doc_id for r in mixed.collect()))
 
 
 def test_run_and_empty_tables(spark, tmp_path):
