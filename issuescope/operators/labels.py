@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LABEL_DICTIONARY, NO_LABEL, SYNONYM_GROUPS
 from ..functions.text import clean_text, label_key
-from .lookup import HOT_ROWS, columns_of, free_name, literal_table, quoted, spread_lookup
+from .lookup import HOT_ROWS, columns_of, dealt_lookup, free_name, literal_table, quoted, spread_lookup
 
 
 def synonym_table(spark: SparkSession, groups=SYNONYM_GROUPS) -> DataFrame:
@@ -39,27 +39,24 @@ def merge_labels(
 
     Both the base and the translated label are looked up; the group of smaller priority wins, whichever of the
     two named it.  Without a match the base label stays as written.  ``null_label`` names rows without a base
-    label; by default they stay null.
+    label; by default they stay null.  A label that very many rows share is spread, see ``dealt_lookup``.
     """
-    best = synonyms.groupBy("synonym").agg(F.min(F.struct("priority", "canonical")).alias("_match"))
-    merged = df
+    best = synonyms.groupBy("synonym").agg(F.min(F.struct("priority", "canonical")).alias("match"))
+    merged, matches = df, []
     for column in [c for c in (base, ru) if c]:
-        side = best.select(F.col("synonym").alias(f"_key_{column}"), F.col("_match").alias(f"_match_{column}"))
-        merged = merged.join(side, label_key(column) == F.col(f"_key_{column}"), "left")
-    matches = [F.col(f"_match_{c}") for c in (base, ru) if c]
+        name = free_name(merged, f"match_{column}")
+        merged = dealt_lookup(merged, best, label_key(quoted(column)), name)
+        matches.append(quoted(name))
     match = F.least(*matches) if len(matches) > 1 else matches[0]
-    fallback = F.coalesce(F.col(base), F.lit(null_label)) if null_label is not None else F.col(base)
+    fallback = F.coalesce(quoted(base), F.lit(null_label)) if null_label is not None else quoted(base)
     return merged.select(*columns_of(df), F.coalesce(match.getField("canonical"), fallback).alias(output))
 
 
 def translate_labels(
     df: DataFrame, dictionary: DataFrame, label: str = "problem", output: str = "problem_russ"
 ) -> DataFrame:
-    """Look every label up in a dictionary; labels without an entry give null."""
-    side = dictionary.select(F.struct(F.col("label"), F.col("translation")).alias(free_name(df, "entry")))
-    entry = F.col(side.columns[0])
-    joined = df.join(side, quoted(label) == entry["label"], "left")
-    return joined.select(*[quoted(c) for c in df.columns if c != output], entry["translation"].alias(output))
+    """Look every label up in a dictionary, (label, translation) with a row per label; without an entry it gives null."""
+    return dealt_lookup(df, dictionary.select("label", "translation"), quoted(label), output)
 
 
 def parse_single_label(
@@ -67,18 +64,19 @@ def parse_single_label(
 ) -> DataFrame:
     """A one-label answer -> the catalogue spelling of that label, or the "no label" mark.
 
-    Labels that differ in case only share a key; the one with the smallest id is taken.
+    Labels that differ in case only share a key; the one with the smallest id is taken.  An answer that most rows share is
+    spread, see ``dealt_lookup``.
     """
     from ..functions.answers import single_label_key
 
     labels = (
-        catalogue.groupBy(F.lower("label").alias("_label_key"))
-        .agg(F.min(F.struct("label_id", "label")).getField("label").alias("_label_found"))
-        .filter(F.col("_label_key") != NO_LABEL)
+        catalogue.groupBy(F.lower("label").alias("key"))
+        .agg(F.min(F.struct("label_id", "label")).getField("label").alias("found"))
+        .filter(F.col("key") != NO_LABEL)
     )
-    keyed = df.withColumn("_answer_key", single_label_key(answer))
-    joined = keyed.join(labels, F.col("_answer_key") == F.col("_label_key"), "left")
-    return joined.select(*columns_of(df), F.coalesce("_label_found", F.lit(NO_LABEL)).alias(output))
+    name = free_name(df, "label_found")
+    named = dealt_lookup(df, labels, single_label_key(answer), name)
+    return named.select(*columns_of(df), F.coalesce(quoted(name), F.lit(NO_LABEL)).alias(output))
 
 
 def check_langs(langs: Sequence[str], at_most: int | None = None) -> list[str]:

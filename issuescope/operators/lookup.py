@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 HOT_KEYS = 10_000
 HOT_ROWS = 100_000
 LANES = 64
+#: Lanes of ``dealt_lookup``, which repeats its answers in all of them.
+DEALT = 32
 
 _ARROW_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 
@@ -75,6 +77,24 @@ def spread_lookup(
     return joined.select(*columns_of(df), *[F.col("_answer").getField(v).alias(v) for v in values])
 
 
+def dealt_lookup(df: DataFrame, answers: DataFrame, key: Column, output: str) -> DataFrame:
+    """``df`` with the answer to ``key`` as its last column; null for keys without one and for null keys.
+
+    ``answers`` has two columns, key and answer, and one row per key.  It is repeated in ``DEALT`` lanes and rows are dealt
+    to these as they come, so that a key with a third of all rows is not joined in one task and nothing has to be
+    counted first.  A table that is small even so is broadcast by the optimizer, and no row is shuffled; of a larger
+    one ``DEALT`` copies are shuffled, which is little beside the rows that look it up.
+    """
+    name, answer = answers.columns
+    lane, found = free_name(df, "dealt_lane"), free_name(df, "dealt_answer")
+    lanes = F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))
+    side = answers.filter(quoted(name).isNotNull()).select(quoted(name).alias("key"), quoted(answer).alias("answer"), lanes.alias("lane"))
+    side = side.select(F.struct("key", "answer", "lane").alias(found))
+    dealt = df.withColumn(lane, F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("int"))
+    joined = dealt.join(side, (key == F.col(found)["key"]) & (F.col(lane) == F.col(found)["lane"]), "left")
+    return joined.select(*[quoted(c) for c in df.columns if c != output], F.col(found)["answer"].alias(output))
+
+
 def lookup_or_self(df: DataFrame, pairs: DataFrame, column: str, output: str) -> DataFrame:
     """Replace a value by its display form; values without one stay as they are.
 

@@ -278,3 +278,42 @@ def test_sparse_one_hot_of_twenty_thousand_labels(spark):
         got[i] == sorted({(i * 67 + k * 331) % 20_000 for k in range(3)}) + [20_000, 20_001] for i in range(300)
     )
     assert label_flags(labelled.limit(0), langs=["en"]).collect() == []
+
+
+def test_hot_labels_are_dealt_out_where_the_side_is_not_broadcast(spark):
+    """Nine rows in ten share one label, and some have none; with both plans the result is the same."""
+    df = spark.range(4_000).select(
+        F.col("id").alias("row_id"),
+        F.expr("CASE WHEN id % 20 = 0 THEN NULL WHEN id % 20 = 1 THEN concat('l', id) ELSE 'hot' END").alias("problem"),
+        F.lit(7).alias("dealt_lane"),
+        F.lit(8).alias("match_problem"),
+        F.lit(9).alias("label_found"),
+    )
+    words = [("hot", "Hot"), *[(f"l{i}", f"L{i}") for i in range(0, 4_000, 2)]]
+    dictionary = spark.createDataFrame(words, "label string, translation string")
+    synonyms = dictionary.selectExpr("label AS synonym", "translation AS canonical", "1 AS priority")
+    catalogue = dictionary.selectExpr("translation AS label", "1 AS label_id")
+    jobs = [
+        translate_labels(df, dictionary, output="out"),
+        merge_labels(df, synonyms, ru=None, output="out"),
+        parse_single_label(df, catalogue, "problem", "out"),
+    ]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    small = [rows(job, "row_id", "out") for job in jobs]
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for job, want in zip(jobs, small, strict=True):
+            # The same plan anew, as settings are read when a query is planned.
+            again = job.select("*")
+            assert rows(again, "row_id", "out") == want
+            in_task = [r["count"] for r in again.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(in_task) == 4_000 and max(in_task) < 2_000
+            assert again.columns[:5] == df.columns
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    expected = {i: None if i % 20 == 0 else f"l{i}" if i % 20 == 1 else "hot" for i in range(4_000)}
+    known = dict(words)
+    assert dict(small[0]) == {i: known.get(x) for i, x in expected.items()}
+    assert dict(small[1]) == {i: known.get(x, x) for i, x in expected.items()}
