@@ -11,6 +11,12 @@ from ..constants import LABEL_DICTIONARY, NO_LABEL, SYNONYM_GROUPS
 from ..functions.text import clean_text, label_key
 from .lookup import HOT_ROWS, columns_of, dealt_lookup, free_name, literal_table, quoted, spread_lookup
 
+#: Bytes of label names, with their ids, that go to the rows as one value; the names of a longer list are joined.
+CARRIED_BYTES = 4 << 20
+_ENTRY_BYTES = 16
+#: Blocks of such a list.
+_BLOCKS = 256
+
 
 def synonym_table(spark: SparkSession, groups=SYNONYM_GROUPS) -> DataFrame:
     """(synonym, canonical, priority); a smaller priority wins."""
@@ -111,6 +117,58 @@ def named_labels(catalogue: DataFrame, translations: DataFrame | None = None, la
     return labels.join(words, "_name_russ", "left")
 
 
+def _names_bytes(catalogue: DataFrame, translations: DataFrame | None, langs: Sequence[str]) -> int:
+    sizes = catalogue.select(F.octet_length("label").alias("n"))
+    if langs:
+        sizes = sizes.unionAll(translations.filter(F.col("lang").isin(*langs)).select(F.octet_length("translation")))
+    return sizes.agg(F.sum(F.coalesce("n", F.lit(0)) + _ENTRY_BYTES)).head()[0] or 0
+
+
+def _carried_labels(df: DataFrame, ids: str, named: DataFrame, suffixes: Sequence[str]) -> DataFrame:
+    """``df`` and a column per suffix with the names of its ids in order, read from one value of the plan.
+
+    The value is a map of blocks of ids to maps of ids, so that a lookup passes few entries of a long list.
+    """
+    names = F.struct(*[F.col(f"_name_{s}").alias(s) for s in suffixes])
+    number = F.col("label_id").cast("bigint")
+    entries = named.filter("label_id IS NOT NULL").select(number.alias("id"), names.alias("names"))
+    blocks = entries.groupBy(F.pmod("id", F.lit(_BLOCKS)).alias("block"))
+    blocks = blocks.agg(F.map_from_entries(F.collect_list(F.struct("id", "names"))).alias("names"))
+    whole = blocks.agg(F.map_from_entries(F.collect_list(F.struct("block", "names"))).alias("names")).scalar()
+    carried, found = free_name(df, "label_names"), free_name(df, "labels_found")
+
+    def names_of(i: Column) -> Column:
+        i = i.cast("bigint")
+        return F.try_element_at(F.try_element_at(quoted(carried), F.pmod(i, F.lit(_BLOCKS))), i)
+
+    rows = df.select(*columns_of(df), whole.alias(carried))
+    rows = rows.select(*columns_of(df), F.transform(F.col(ids), names_of).alias(found))
+
+    def in_order(suffix: str) -> Column:
+        named_so = F.filter(F.transform(quoted(found), lambda x: x.getField(suffix)), lambda x: x != "")
+        return named_so.alias(f"_names_{suffix}")
+
+    return rows.select(*columns_of(df), *[in_order(s) for s in suffixes])
+
+
+def _joined_labels(
+    df: DataFrame, ids: str, named: DataFrame, suffixes: Sequence[str], row_id: str | None, hot_rows: int
+) -> DataFrame:
+    """The same for a list of any length: every distinct list of ids is resolved once and looked up per row."""
+    lists = df.groupBy(F.col(ids).alias("_ids")).agg(F.count(F.lit(1)).alias("_rows")).filter("_ids IS NOT NULL")
+    single = lists.select("_ids", "_rows", F.posexplode_outer("_ids").alias("_pos", "label_id"))
+    single = single.join(named, "label_id", "left")
+
+    def in_order(suffix: str) -> Column:
+        name = F.col(f"_name_{suffix}")
+        pairs = F.collect_list(F.when(F.coalesce(name, F.lit("")) != "", F.struct("_pos", name.alias("name"))))
+        return F.transform(F.array_sort(pairs), lambda p: p["name"]).alias(f"_names_{suffix}")
+
+    found = single.groupBy("_ids", "_rows").agg(*[in_order(s) for s in suffixes])
+    rows = df if row_id else df.withColumn("_number", F.monotonically_increasing_id())
+    return spread_lookup(rows.withColumn("_ids", F.col(ids)), found, "_ids", row_id or "_number", "_rows", hot_rows)
+
+
 def attach_labels(
     df: DataFrame,
     catalogue: DataFrame,
@@ -119,32 +177,27 @@ def attach_labels(
     langs: Sequence[str] = (),
     row_id: str | None = None,
     hot_rows: int = HOT_ROWS,
+    carried_bytes: int = CARRIED_BYTES,
 ) -> DataFrame:
     """Label ids -> ``problem_russ``, ``problem_russ_candidates`` and the same two columns per language.
 
     Order and repetitions of the ids are kept, unknown ids dropped.  A translation that is empty or missing
     leaves no gap, so the first label in a language need not be the translation of the first Russian label.
 
-    Every distinct list of ids is resolved once, by a join with the label list, and looked up per row; a list that
-    very many rows share is spread.  ``row_id`` names a column that tells rows apart; without it rows are
-    numbered as they come.  ``translations`` has (label, lang, translation).
+    The names of a list of up to ``carried_bytes``, which is measured first, go to the rows as one value of the plan, and
+    no row is shuffled.  Of a longer list every distinct list of ids is resolved once, by a join with the label list,
+    and looked up per row; a list that very many rows share is spread.  ``row_id`` names a column that tells rows
+    apart there; without it rows are numbered as they come.  ``translations`` has (label, lang, translation).
     """
     langs = check_langs(langs)
     if langs and translations is None:
         raise ValueError("languages need a translations table")
     suffixes = ["russ", *langs]
-    lists = df.groupBy(F.col(ids).alias("_ids")).agg(F.count(F.lit(1)).alias("_rows")).filter("_ids IS NOT NULL")
-    single = lists.select("_ids", "_rows", F.posexplode_outer("_ids").alias("_pos", "label_id"))
-    single = single.join(named_labels(catalogue, translations, langs), "label_id", "left")
-
-    def in_order(suffix: str) -> Column:
-        name = F.col(f"_name_{suffix}")
-        pairs = F.collect_list(F.when(F.coalesce(name, F.lit("")) != "", F.struct("_pos", name.alias("name"))))
-        return F.transform(F.array_sort(pairs), lambda p: p["name"]).alias(f"_names_{suffix}")
-
-    found = single.groupBy("_ids", "_rows").agg(*[in_order(s) for s in suffixes])
-    rows = df if row_id else df.withColumn("_number", F.monotonically_increasing_id())
-    joined = spread_lookup(rows.withColumn("_ids", F.col(ids)), found, "_ids", row_id or "_number", "_rows", hot_rows)
+    named = named_labels(catalogue, translations, langs)
+    if _names_bytes(catalogue, translations, langs) <= carried_bytes:
+        joined = _carried_labels(df, ids, named, suffixes)
+    else:
+        joined = _joined_labels(df, ids, named, suffixes, row_id, hot_rows)
     empty = F.array().cast("array<string>")
     columns = [c for s in suffixes for c in _label_columns(F.coalesce(F.col(f"_names_{s}"), empty), s)]
     return joined.select(*columns_of(df), *columns)

@@ -378,7 +378,7 @@ def labels_multilang(spark, d):
       first_en AS problem_en, sw AS problem_sw_candidates, first_sw AS problem_sw FROM wide"""
 )
 def labels_multilang_joined(spark, d):
-    """The same with rows told apart by their number and every repeated list spread."""
+    """The same as for a list too long to be carried to the rows, with every repeated list of ids spread."""
     return L.attach_labels(
         _label_ids(spark, d),
         D.catalogue(spark),
@@ -386,6 +386,7 @@ def labels_multilang_joined(spark, d):
         langs=("en", "sw"),
         row_id="row_id",
         hot_rows=2,
+        carried_bytes=0,
     ).drop("label_ids")
 
 

@@ -108,30 +108,53 @@ WANT = [
 ]
 
 
-@pytest.mark.parametrize("more", [{}, {"row_id": "row_id"}, {"hot_rows": 1}])
+@pytest.mark.parametrize("more", [{}, {"carried_bytes": 0, "row_id": "row_id"}, {"carried_bytes": 0, "hot_rows": 1}])
 def test_labels_of_ids(spark, more):
     got = labelled(spark, **more).orderBy("row_id").collect()
     names = ("problem_russ_candidates", "problem_russ", "problem_en_candidates", "problem_en")
     assert [tuple(r[n] for n in names) for r in got] == WANT
 
 
-def test_three_languages_gaps_nulls_and_many_labels(spark):
-    """One way for every list: ids with gaps, above 10,000 labels, without a row number."""
+def test_names_are_carried_without_a_shuffle_of_rows_up_to_a_size(spark):
+    df = spark.createDataFrame([([1, 2],)], "label_ids array<int>")
+
+    def joins(**more):
+        named = attach_labels(df, catalogue_table(spark, CATALOGUE), **more)
+        return named._jdf.queryExecution().sparkPlan().toString().count("Join")
+
+    assert joins() == 0
+    assert joins(carried_bytes=0) > 0
+
+
+@pytest.mark.parametrize("more", [{}, {"carried_bytes": 0}])
+def test_labels_of_an_empty_list(spark, more):
+    df = spark.createDataFrame([([1, None],), (None,), ([],)], "label_ids array<int>")
+    empty = spark.createDataFrame([], "label_id int, label string")
+    got = attach_labels(df, empty, **more)
+    assert rows(got, "problem_russ", "problem_russ_candidates") == [("", "")] * 3
+    nameless = spark.createDataFrame([(1, None), (None, "A"), (2, "")], "label_id int, label string")
+    assert rows(attach_labels(df, nameless, **more), "problem_russ_candidates") == [("",)] * 3
+
+
+@pytest.mark.parametrize("carried_bytes", [0, 4 << 20])
+def test_three_languages_gaps_nulls_and_many_labels(spark, carried_bytes):
+    """Ids with gaps, above 10,000 labels, without a row number; carried to the rows and joined."""
     catalogue = spark.range(1, 12_001).select((F.col("id") * 7).cast("int").alias("label_id"), F.concat(F.lit("L"), "id").alias("label"))
     words = spark.createDataFrame(
         [("L1", lang, f"{lang}1") for lang in ("a", "b", "c")] + [("L1", "a", "z")], "label string, lang string, translation string"
     )
     df = spark.createDataFrame([([84_000, 7],), (None,), ([1, 14],), ([7],), ([7],)], "label_ids array<int>")
-    got = attach_labels(df, catalogue, translations=words, langs=["a", "b", "c"], hot_rows=2)
+    got = attach_labels(df, catalogue, translations=words, langs=["a", "b", "c"], hot_rows=2, carried_bytes=carried_bytes)
     names = ("problem_russ_candidates", "problem_a", "problem_b_candidates", "problem_c")
     assert rows(got, *names) == [("", "", "", ""), ("L1", "a1", "b1", "c1"), ("L1", "a1", "b1", "c1"), ("L12000|L1", "a1", "b1", "c1"), ("L2", "", "", "")]
 
 
-def test_repeated_ids_end_the_job(spark):
+@pytest.mark.parametrize("more", [{}, {"carried_bytes": 0}])
+def test_repeated_ids_end_the_job(spark, more):
     twice = spark.createDataFrame([(1, "A"), (1, "B")], "label_id int, label string")
     df = spark.createDataFrame([([1],)], "label_ids array<int>")
     with pytest.raises(Exception, match="repeated label id 1"):
-        attach_labels(df, twice).collect()
+        attach_labels(df, twice, **more).collect()
 
 
 def test_prompt_answer_and_label_agree_on_ids_with_gaps(spark):
