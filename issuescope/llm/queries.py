@@ -200,8 +200,11 @@ WITH parts AS (
   SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(decision, length(rule)) AS decision
   FROM parts JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
   GROUP BY page_id, host, path
+), pages_of AS (
+  SELECT regexp_replace(regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*\z', ''), '\.+\z', '') AS host, path FROM parts
 ), named AS (
-  SELECT host, string_split(host, '.') AS l FROM parts WHERE host <> '' GROUP BY host
+  SELECT host, CASE WHEN host[1] = '[' OR regexp_full_match(host, '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+') THEN [host]
+    ELSE string_split(host, '.') END AS l FROM pages_of WHERE host <> '' GROUP BY host
 ), tails AS (
   SELECT host, len(l) AS n, l[-1] AS one, array_to_string(l[-2:], '.') AS two, array_to_string(l[-3:], '.') AS three
   FROM named
@@ -215,7 +218,7 @@ WITH parts AS (
 ), marks AS (
   SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good FROM labels GROUP BY doc_id
 ), seen AS (
-  SELECT levels.host, domain, suffix, count(*) AS n, sum(good) AS k FROM parts
+  SELECT levels.host, domain, suffix, count(*) AS n, sum(good) AS k FROM pages_of AS parts
   JOIN marks ON marks.doc_id = TRY_CAST(regexp_extract(path, '([0-9]{1,18})[^0-9]*$', 1) AS BIGINT)
   JOIN levels ON levels.host = parts.host GROUP BY levels.host, domain, suffix
 ), top AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS m FROM seen
@@ -232,15 +235,19 @@ WITH parts AS (
 ), w3 AS (SELECT CASE WHEN d > 0 AND spread - g * c > 0 AND c > 0 THEN greatest(2, least(200, c / ((spread - g * c) / d) - 1)) ELSE 200 END AS w FROM s3
 ), p3 AS (SELECT host, w * m + k AS a, w * (1 - m) + n - k AS b FROM g3, w3
 ), judged AS (
-  SELECT levels.host, coalesce(p3.a, p2.a, p1.a) AS a, coalesce(p3.b, p2.b, p1.b) AS b FROM levels
+  SELECT levels.host, coalesce(p3.a, p2.a, p1.a) AS a, coalesce(p3.b, p2.b, p1.b) AS b,
+    CASE WHEN p3.a IS NOT NULL THEN 'host' WHEN p2.a IS NOT NULL THEN 'domain' WHEN p1.a IS NOT NULL THEN 'suffix' END AS level
+  FROM levels
   LEFT JOIN p3 ON p3.host = levels.host LEFT JOIN p2 ON p2.domain = levels.domain LEFT JOIN p1 ON p1.suffix = levels.suffix
-), bad AS (
-  SELECT host FROM judged WHERE a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) < 0.5
+), bounds AS (
+  SELECT host, level, a, b, a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM judged
 )
 SELECT parts.page_id, parts.host, parts.path, rule,
-  coalesce(decision, CASE WHEN bad.host IS NOT NULL THEN 'block' END, 'allow') AS verdict
+  coalesce(decision, CASE WHEN bound < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+  level, round(a, 6) AS a, round(b, 6) AS b, round(bound, 6) AS bound
 FROM parts LEFT JOIN ruled ON ruled.page_id = parts.page_id AND ruled.host = parts.host AND ruled.path = parts.path
-LEFT JOIN bad ON bad.host = parts.host
+LEFT JOIN bounds ON bounds.host =
+  regexp_replace(regexp_replace(regexp_replace(parts.host, '(?s)^.*@', ''), ':[0-9]*\z', ''), '\.+\z', '')
 """
 
 _OP10_SQL = """

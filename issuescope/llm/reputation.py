@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import dealt_lookup
 from ..session import stage_table
 
 RULES = (
@@ -52,23 +53,35 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
     return text, verdict
 
 
-def host_levels(host: Column) -> tuple[Column, Column]:
-    """(registered domain, public suffix) of a host name; a host of one label is its own."""
-    labels = F.split(host, r"\.")
+def host_name(host: Column) -> Column:
+    """The host without user, port and trailing points, under which its pages are counted."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", ""), r"\.+\z", "")
+
+
+def host_levels(name: Column, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, public suffix) of a host name; an address or a name of one label is its own.
+
+    The longest of ``long_suffixes`` that ends the name is its suffix, else its last label.
+    """
+    labels = F.split(name, r"\.")
     size = F.size(labels)
-    tail = lambda n: F.when(size > n, F.array_join(F.slice(labels, size - n + 1, F.lit(n)), ".")).otherwise(host)
-    long = tail(2).isin(*LONG_SUFFIXES)
-    return F.when(long, tail(3)).otherwise(tail(2)), F.when(long, tail(2)).otherwise(tail(1))
+    tail = lambda n: F.when(size > n, F.array_join(F.slice(labels, size - n + 1, F.lit(n)), ".")).otherwise(name)
+    domain, suffix = tail(2), tail(1)
+    for n in sorted({x.count(".") + 1 for x in long_suffixes}):
+        long = tail(n).isin(*[x for x in long_suffixes if x.count(".") + 1 == n])
+        domain, suffix = F.when(long, tail(n + 1)).otherwise(domain), F.when(long, tail(n)).otherwise(suffix)
+    address = name.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+\z") | name.startswith("[")
+    return F.when(address, name).otherwise(domain), F.when(address, name).otherwise(suffix)
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(host, good) for pages whose document is labelled: good if of quality and not toxic.
+    """(host, good) for pages whose document is labelled: good if of quality and not toxic; hosts by ``host_name``.
 
     The last number in a page's path names its document.
     """
     path = url_path("url")
     doc = F.regexp_extract(path, r"([0-9]{1,18})[^0-9]*$", 1)
-    known = pages.select(url_host("url").alias("host"), F.when(doc != "", doc.cast("long")).alias("doc_id"))
+    known = pages.select(host_name(url_host("url")).alias("host"), F.when(doc != "", doc.cast("long")).alias("doc_id"))
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
     marks = marks.agg(F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("good"))
     return known.filter("host <> '' AND doc_id IS NOT NULL").join(marks, "doc_id").select("host", "good")
@@ -89,15 +102,15 @@ def _strength(n: Column, k: Column, mean: Column) -> Column:
     return F.greatest(F.lit(STRENGTHS[0]), F.least(F.lit(STRENGTHS[1]), F.coalesce(strength, F.lit(STRENGTHS[1]))))
 
 
-def host_reputations(outcomes: DataFrame) -> DataFrame:
+def host_reputations(outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
     """The levels of every labelled host with its posterior: level, name, a, b.
 
     The prior of a suffix is the share of good pages of all; that of a domain its suffix's posterior mean; that of a
     host its domain's.  How many pages a prior is worth is estimated per level from how much groups differ.
     """
-    domain, suffix = host_levels(F.col("host"))
+    domain, suffix = host_levels(F.col("host"), long_suffixes)
     hosts = outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("k"))
-    hosts = hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "k")
+    hosts = stage_table(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "k"), "outcomes")
     parts = []
     # One row: the good share of all.
     above = hosts.groupBy().agg(F.sum("k").alias("k"), F.sum("n").alias("n")).select(
@@ -121,33 +134,45 @@ def host_reputations(outcomes: DataFrame) -> DataFrame:
 
 
 def judge_pages(
-    pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES, least_good: float = LEAST_GOOD
+    pages: DataFrame,
+    labels: DataFrame,
+    rules: Sequence[tuple[str, str]] = RULES,
+    least_good: float = LEAST_GOOD,
+    long_suffixes: Sequence[str] = LONG_SUFFIXES,
 ) -> DataFrame:
-    """One row per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict.
+    """One row per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, level, a, b, bound.
 
     The longest fitting rule decides.  Other pages are blocked if the upper posterior bound of their host's good
     share, mean plus ``BOUND`` deviations of its beta distribution, is below ``least_good``; a host without labelled
-    pages is judged by its domain, then by its suffix, and allowed if that is unknown too.  Null urls and urls
-    without ``://`` have empty host and path and are allowed.  Empty tables give empty results, no labels no block.
-
-    Verdicts are found per host and joined; hosts are few next to pages, and a host with a third of the pages is
-    spread by adaptive execution.
+    pages is judged by its domain, then by its suffix, and allowed if that is unknown too.  ``level`` names which of
+    these judged, ``a`` and ``b`` are its posterior and ``bound`` the bound, to six places; null if none is known.  They
+    are returned for pages with a rule as well.  Hosts are counted without user, port and trailing points, and
+    addresses have no domain.  Null urls and urls without ``://`` have empty host and path and are allowed.  Empty
+    tables give empty results, no labels no block.
+
+    Posteriors are found per host and looked up by pages dealt to lanes, so that a host with a third of the pages is
+    not joined in one task.
     """
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"))
-    known = host_reputations(page_outcomes(pages, labels))
-    hosts = pages.select(url_host("url").alias("host")).distinct().filter("host <> ''")
-    domain, suffix = host_levels(F.col("host"))
+    known = host_reputations(page_outcomes(pages, labels), long_suffixes)
+    hosts = pages.select(host_name(url_host("url")).alias("host")).distinct().filter("host <> ''")
+    domain, suffix = host_levels(F.col("host"), long_suffixes)
     hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     for level in ("host", "domain", "suffix"):
-        side = known.filter(F.col("level") == level).select(F.col("name").alias(level), F.struct("a", "b").alias(f"_{level}"))
+        side = known.filter(F.col("level") == level)
+        side = side.select(F.col("name").alias(level), F.struct("level", "a", "b").alias(f"_{level}"))
         hosts = hosts.join(side, level, "left")
     best = F.coalesce("_host", "_domain", "_suffix")
     a, b = best.getField("a"), best.getField("b")
     upper = a / (a + b) + BOUND * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    bad = stage_table(hosts.filter(upper < least_good).select("host", F.lit("block").alias("_judged")), "blocked")
+    shown = [best.getField("level").alias("level"), *[F.round(c, 6).alias(n) for c, n in ((a, "a"), (b, "b"), (upper, "bound"))]]
+    judged = hosts.select("host", F.struct(*shown, (upper < least_good).alias("bad")).alias("judged")).filter(best.isNotNull())
     rows = pages.select("page_id", url_host("url").alias("host"), url_path("url").alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "_ruled": verdict}).join(bad, "host", "left")
+    rows = rows.withColumns({"rule": rule, "_ruled": verdict})
+    rows = dealt_lookup(rows, stage_table(judged, "judged"), host_name(F.col("host")), "_judged")
+    judged_so = F.when(F.col("_judged.bad"), "block").otherwise("allow")
     return rows.select(
-        "page_id", "host", "path", "rule", F.coalesce("_ruled", "_judged", F.lit("allow")).alias("verdict")
-    )
+        "page_id", "host", "path", "rule", F.coalesce("_ruled", judged_so).alias("verdict"),
+        "_judged.level", "_judged.a", "_judged.b", "_judged.bound",
+    )

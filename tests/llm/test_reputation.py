@@ -2,7 +2,9 @@
 
 import pytest
 
-from issuescope.llm.reputation import host_reputations, judge_pages
+from pyspark.sql import functions as F
+
+from issuescope.llm.reputation import host_levels, host_name, host_reputations, judge_pages
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -14,7 +16,7 @@ def pages(spark, urls):
 
 def judged(spark, urls, labels=()):
     got = judge_pages(pages(spark, urls), spark.createDataFrame(list(labels), LABELS))
-    return [tuple(r)[1:] for r in sorted(got.collect(), key=lambda r: r.page_id)]
+    return [tuple(r)[1:5] for r in sorted(got.collect(), key=lambda r: r.page_id)]
 
 
 def test_parts_and_rules(spark):
@@ -66,3 +68,34 @@ def test_few_outcomes_shrink_to_the_level_above(spark):
 def test_empty_tables(spark, labels):
     assert judged(spark, [], labels) == []
     assert judged(spark, ["http://a.org/1"], labels)[0][3] == "allow"
+
+
+def test_names_ports_addresses_and_suffixes(spark):
+    hosts = [
+        "a.b.com:8080", "u:p@x.co.uk.", "10.0.0.1", "10.0.0.1:80", "[::1]:80", "[::ffff:1.2.3.4]", "localhost", "co.uk", "1.2.3",
+        "a.k.kobe.jp",
+    ]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select(host_name(F.col("host")).alias("h"))
+
+    def levels(**more):
+        return [tuple(r) for r in df.select("h", *host_levels(F.col("h"), **more)).collect()]
+
+    assert levels() == [
+        ("a.b.com", "b.com", "com"), ("x.co.uk", "x.co.uk", "co.uk"), ("10.0.0.1",) * 3, ("10.0.0.1",) * 3, ("[::1]",) * 3,
+        ("[::ffff:1.2.3.4]",) * 3, ("localhost",) * 3, ("co.uk", "co.uk", "co.uk"), ("1.2.3", "2.3", "3"),
+        ("a.k.kobe.jp", "kobe.jp", "jp"),
+    ]
+    assert levels(long_suffixes=["kobe.jp", "k.kobe.jp"])[-1] == ("a.k.kobe.jp", "a.k.kobe.jp", "k.kobe.jp")
+    assert levels(long_suffixes=[])[1] == ("x.co.uk", "co.uk", "uk")
+
+
+def test_ports_share_a_reputation_and_its_figures_are_returned(spark):
+    urls = [f"http://bad.spam.org:{80 + i % 3}/{i}" for i in range(60)] + [f"http://ok.fine.org/{100 + i}" for i in range(60)]
+    urls += ["https://bad.spam.org./x", "http://q.spam.org/x", "http://new.other.org", "http://10.0.0.1/y", "http://:80/x"]
+    labels = [(i, 0, 1) for i in range(60)] + [(100 + i, 1, 0) for i in range(60)]
+    got = judge_pages(pages(spark, urls), spark.createDataFrame(labels, LABELS)).collect()
+    by_id = {r.page_id: r for r in got}
+    assert [by_id[i].verdict for i in (0, 1, 2, 120, 121, 122, 123, 124)] == ["block"] * 5 + ["allow"] * 3
+    assert [by_id[i].level for i in (0, 120, 121, 122, 123, 124)] == ["host", "host", "domain", "suffix", None, None]
+    assert by_id[0].a == by_id[120].a and by_id[0].bound < 0.5 < by_id[60].bound
+    assert by_id[123].bound is None and by_id[0].host == "bad.spam.org:80"
