@@ -18,7 +18,8 @@ from .tokens import tokenizer_ids
 SHARD_PIECES = 8_192
 ISLANDS = 2
 POPULATION = 4
-GENERATIONS = 6
+#: Generations, of as many children as the population has, after which an island without a better best rests.
+PATIENCE = 10
 
 
 def _cut(name: str, end_id: int, capacity: int):
@@ -83,7 +84,7 @@ def crossover(
     """Whole well-filled bins of ``two`` go into ``one``.
 
     Bins of ``one`` that share a document with them are dissolved, the worst filled third of the others too, and the
-    documents that have no place then are best-fitted, longest first.
+    documents that have no place then are best-fitted, roughly longest first; how roughly is drawn for every child.
     """
     fills_one, fills_two = np.bincount(one, lengths), np.bincount(two, lengths)
     full = np.flatnonzero(fills_two >= np.quantile(fills_two, 0.5))
@@ -103,30 +104,49 @@ def crossover(
     bins[stays] = new_one[one[stays]]
     fills = np.bincount(bins[bins >= 0], lengths[bins >= 0], int(injected.sum() + kept.sum())).astype(int).tolist()
     lost = np.flatnonzero(bins < 0)
-    best_fit(lengths, lost[np.argsort(-lengths[lost], kind="stable")], bins, fills, capacity)
+    blur = lengths[lost] * rng.uniform(rng.uniform(0.5, 1.0), 1.0, len(lost))
+    best_fit(lengths, lost[np.argsort(-blur, kind="stable")], bins, fills, capacity)
     return bins
 
 
+def least_bins(lengths: np.ndarray, capacity: int) -> int:
+    """No packing has fewer bins: for every a, items above capacity - a are alone, those above half are apart, and what
+    of the items from a to half does not fit beside these needs bins of its own."""
+    counts = np.bincount(lengths, minlength=capacity + 1)
+    number = np.r_[np.cumsum(counts[::-1])[::-1], 0]  # items of at least so many tokens
+    tokens = np.r_[np.cumsum((counts * np.arange(capacity + 1))[::-1])[::-1], 0]
+    half = capacity // 2 + 1
+    a = np.arange(half)
+    middle, middle_tokens = number[half] - number[capacity - a + 1], tokens[half] - tokens[capacity - a + 1]
+    beside = tokens[a] - tokens[half] - (middle * capacity - middle_tokens)
+    return int((number[half] + np.maximum(0, -(-beside // capacity))).max())
+
+
 def evolve(
     lengths: np.ndarray, population: list[np.ndarray], capacity: int, rng: np.random.Generator
 ) -> list[np.ndarray]:
-    """The population after ``GENERATIONS``, best first; stops as soon as no packing can be better."""
-    least = -(-int(lengths.sum()) // capacity)
+    """The population once ``PATIENCE`` generations brought no fewer bins, best first.
+
+    Every generation has ``POPULATION`` children; the best of all stay.  It stops as soon as no packing can be better.
+    """
+    least = least_bins(lengths, capacity)
     scored = sorted(((cost(lengths, p, capacity), i, p) for i, p in enumerate(population)), key=lambda x: x[:2])
-    serial = len(scored)
-    for _ in range(GENERATIONS):
-        if scored[0][0][0] <= least:
-            break
-        one, two = rng.permutation(len(scored))[:2]
-        child = crossover(lengths, scored[min(one, two)][2], scored[max(one, two)][2], capacity, rng)
-        serial += 1
-        scored = sorted([*scored[:POPULATION], (cost(lengths, child, capacity), serial, child)], key=lambda x: x[:2])
-    return [p for _, _, p in scored[:POPULATION]]
+    serial, waited = len(scored), 0
+    while waited < PATIENCE and scored[0][0][0] > least and len(scored) > 1:
+        best, children = scored[0][0][0], []
+        for _ in range(POPULATION):
+            one, two = rng.permutation(len(scored))[:2]
+            child = crossover(lengths, scored[min(one, two)][2], scored[max(one, two)][2], capacity, rng)
+            serial += 1
+            children.append((cost(lengths, child, capacity), serial, child))
+        scored = sorted([*scored, *children], key=lambda x: x[:2])[:POPULATION]
+        waited = 0 if scored[0][0][0] < best else waited + 1
+    return [p for _, _, p in scored]
 
 
 def first_population(lengths: np.ndarray, capacity: int, rng: np.random.Generator) -> list[np.ndarray]:
     """Best fit of the longest first, and of orders near to that."""
-    least = -(-int(lengths.sum()) // capacity)
+    least = least_bins(lengths, capacity)
     people = []
     for k in range(POPULATION):
         blur = lengths * rng.uniform(0.85, 1.0, len(lengths)) if k else lengths
@@ -144,7 +164,7 @@ def _lengths(histogram: bytes, capacity: int) -> np.ndarray:
     return np.repeat(np.arange(capacity - 1, -1, -1), counts[::-1])
 
 
-_PLAN = "shard long, island int, histogram binary, bins binary, n_bins long, fullness double"
+_PLAN = "shard long, island int, place int, histogram binary, bins binary, n_bins long, fullness double, least long"
 
 
 def _island_rows(shard, island, histogram, lengths, people, capacity) -> pa.Table:
@@ -153,10 +173,12 @@ def _island_rows(shard, island, histogram, lengths, people, capacity) -> pa.Tabl
         {
             "shard": pa.array([shard] * len(people), pa.int64()),
             "island": pa.array([island] * len(people), pa.int32()),
+            "place": pa.array(range(len(people)), pa.int32()),
             "histogram": pa.array([histogram] * len(people), pa.binary()),
             "bins": pa.array([p.astype("<i4").tobytes() for p in people], pa.binary()),
             "n_bins": pa.array([c[0] for c in costs], pa.int64()),
             "fullness": pa.array([c[1] for c in costs], pa.float64()),
+            "least": pa.array([least_bins(lengths, capacity)] * len(people), pa.int64()),
         }
     )
 
@@ -174,7 +196,7 @@ def _found(capacity: int):
     return found
 
 
-def _again(capacity: int):
+def _again(capacity: int, epoch: int):
     """Another epoch, starting from what stayed on an island and the elite that arrived."""
 
     def again(table: pa.Table) -> pa.Table:
@@ -183,8 +205,8 @@ def _again(capacity: int):
         lengths = _lengths(histogram, capacity)
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("n_bins", "fullness", "bins")), strict=True))
         people = [np.frombuffer(r[2], "<i4").astype(int) for r in rows]
-        rng = np.random.default_rng([shard, island, 1])
-        return _island_rows(shard, island, histogram, lengths, evolve(lengths, people, capacity, rng)[:1], capacity)
+        rng = np.random.default_rng([shard, island, epoch])
+        return _island_rows(shard, island, histogram, lengths, evolve(lengths, people, capacity, rng)[:2], capacity)
 
     return again
 
@@ -220,6 +242,29 @@ def _place(capacity: int):
     return place
 
 
+def evolve_shards(counts: DataFrame, capacity: int) -> DataFrame:
+    """(shard, bins, n_bins, least): the best packing found of every shard's lengths.
+
+    ``counts`` has (shard, length, pieces).  ``bins`` holds the bin of every piece, longest first, as 32-bit integers.
+    After every epoch each island's best moves to the next one; epochs go on until one brings no shard fewer bins or all
+    shards have as few as can be.  One row, the sum over all shards, comes to the driver per epoch.
+    """
+    islands = counts.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
+    plans = stage_table(islands.groupBy("shard", "island").applyInArrow(_found(capacity), _PLAN), "islands")
+    total, epoch = None, 0
+    while True:
+        shards = plans.groupBy("shard").agg(F.min("n_bins").alias("n"), F.min("least").alias("least"))
+        state = shards.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > F.col("least")).alias("open")).head()
+        if not state.open or (total is not None and state.n >= total):
+            break
+        total, epoch = state.n, epoch + 1
+        elite = plans.filter("place = 0").withColumn("island", ((F.col("island") + 1) % ISLANDS).cast("int"))
+        moved = plans.unionByName(elite).groupBy("shard", "island")
+        plans = stage_table(moved.applyInArrow(_again(capacity, epoch), _PLAN), "islands")
+    best = F.min_by(F.struct("bins", "n_bins", "least"), F.struct("n_bins", "fullness", "island", "place"))
+    return plans.groupBy("shard").agg(best.alias("best")).select("shard", "best.*")
+
+
 def pack_documents(
     docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, capacity: int = 2048
 ) -> DataFrame:
@@ -228,9 +273,9 @@ def pack_documents(
     A document is the ids of its whole text (null: none) and ``end_id``.  Longer ones are cut into pieces of
     ``capacity`` ids, the first of which may be shorter.  Full pieces are sequences of their own.  The others are
     dealt evenly to shards of about ``SHARD_PIECES``; islands evolve packings of a shard's lengths, their elite
-    moves to the next island for another epoch, and the best packing is filled with the shard's documents.  Only lengths
+    moves to the next island between epochs (``evolve_shards``), and the best packing is filled with the shard's documents.  Only lengths
     and counts are shuffled, never ids.  Rows that repeat a document are packed as often as they occur; rows without
-    an id are packed too.  The same files always give the same sequences.
+    an id are packed too.  An empty table gives no rows.  The same files always give the same sequences.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = map_batches(
@@ -247,11 +292,7 @@ def pack_documents(
     shards = max(1, -(-short.count() // SHARD_PIECES))
     dealt = short.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "lane"), F.lit(shards)))
     counts = dealt.groupBy("shard", "length").agg(F.count(F.lit(1)).alias("pieces"))
-    islands = counts.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
-    plans = stage_table(islands.groupBy("shard", "island").applyInArrow(_found(capacity), _PLAN), "islands")
-    moved = plans.unionByName(plans.withColumn("island", ((F.col("island") + 1) % ISLANDS).cast("int")))
-    later = moved.groupBy("shard", "island").applyInArrow(_again(capacity), _PLAN)
-    best = later.groupBy("shard").agg(F.min_by("bins", F.struct("n_bins", "fullness", "island")).alias("bins"))
+    best = evolve_shards(counts, capacity).select("shard", "bins")
     placed = dealt.groupBy("shard").cogroup(best.groupBy("shard")).applyInArrow(
         _place(capacity),
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",

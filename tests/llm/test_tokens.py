@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from issuescope.llm import packing, tokens
-from issuescope.llm.packing import best_fit, crossover, pack_documents
+from issuescope.llm.packing import best_fit, crossover, evolve_shards, least_bins, pack_documents
 from issuescope.llm.tokens import join_planes, pack_chunk, read_token_files, shuffle_planes, tokenizer_ids, unpack_chunk, write_token_files
 
 NAMES = ("word_bpe_49k.json", "byte_bpe_50k.json")
@@ -124,6 +124,48 @@ def test_crossover_keeps_every_item_once_and_fits():
     assert set(child.tolist()) == set(range(child.max() + 1))
 
 
+def fewest_bins(lengths, capacity):
+    """By trying all, largest first into every different room."""
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= lengths[i]}:
+            rest = list(rooms)
+            rest.remove(room)
+            place(i + 1, [*rest, room - lengths[i]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+@given(st.lists(st.integers(1, 20), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_no_packing_has_fewer_than_the_least_bins(lengths):
+    lengths = sorted(lengths, reverse=True)
+    least = least_bins(np.array(lengths, int), 20)
+    assert -(-sum(lengths) // 20) <= least <= fewest_bins(lengths, 20)
+
+
+def test_islands_find_fewer_bins_than_best_fit(spark):
+    """Lengths on which longest first leaves room in every bin, beside a shard that needs no search."""
+    hard = np.sort(np.random.default_rng(3).integers(400, 801, 1500))[::-1]
+    rows = [(0, int(n), int(k)) for n, k in zip(*np.unique(hard, return_counts=True), strict=True)] + [(1, 1024, 40)]
+    got = {r.shard: r for r in evolve_shards(spark.createDataFrame(rows, "shard long, length long, pieces long"), 2048).collect()}
+    bins, fills = np.full(len(hard), -1), []
+    best_fit(hard, np.arange(len(hard)), bins, fills, 2048)
+    found = np.frombuffer(got[0].bins, "<i4")
+    assert np.bincount(found, hard).max() <= 2048 and len(set(found.tolist())) == got[0].n_bins
+    assert got[0].least <= got[0].n_bins < 0.99 * len(fills)
+    assert got[1].n_bins == got[1].least == 20
+
+
 def test_query_digest_types(spark, tmp_path):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     write_token_files(df, str(tmp_path / "d"), NAMES[0], 2)
