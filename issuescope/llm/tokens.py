@@ -83,8 +83,14 @@ def tokenizer_ids(name: str) -> Callable[[str], bytes]:
     split, letters, merges = regex.compile(_SPLITS[kind]).findall, byte_letters(), tokenizer.model.tokenize
     normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
 
+    blank = letters[32]
+
     def merged(part: str) -> bytes:
-        return array("I", [t.id for t in merges(part.encode().decode("latin-1").translate(letters))]).tobytes()
+        if part.isascii() and part.isprintable():
+            written = part.replace(" ", blank)
+        else:
+            written = part.encode().decode("latin-1").translate(letters)
+        return array("I", [t.id for t in merges(written)]).tobytes()
 
     # Most pieces not seen before are known words with another mark beside them.
     parts = _Pieces(merged)
@@ -95,7 +101,7 @@ def tokenizer_ids(name: str) -> Callable[[str], bytes]:
         bare = piece[1:] if kind == "kept" and piece[:1] == " " else piece
         if len(piece) <= _LONG_PIECE and bare.isalpha() and bare.isascii():
             return parts[piece]
-        if len(piece) > _LONG_PIECE or "<|" in piece or not _COMMON.fullmatch(piece):
+        if len(piece) > _LONG_PIECE or "<|" in piece or not (piece.isascii() or _COMMON.fullmatch(piece)):
             ids = tokenizer.encode(piece, add_special_tokens=False).ids
             return array("I", ids).tobytes()
         piece = piece if kind == "kept" or piece.isascii() else normal(piece)
@@ -125,10 +131,15 @@ _NO_BLANK = "\0"
 _ODD_SPACE = regex.compile("[\\s\0\x1c-\x1f\x85--[ \n]]", regex.V1)
 
 
+def _has_odd_space(text: str) -> bool:
+    """Of all white space only the blank prints, so that most texts need no search."""
+    return not text.replace("\n", "").isprintable() and _ODD_SPACE.search(text) is not None
+
+
 def _is_plain(text: str) -> bool:
     """Whether no white space but single blanks and single line feeds stands between other characters."""
     ends = text[0] in " \n" or text[-1] in " \n"
-    return not (ends or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD_SPACE.search(text))
+    return not (ends or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _has_odd_space(text))
 
 
 def _lines(text: str) -> Iterator[tuple[str, bool]]:
