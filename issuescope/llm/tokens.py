@@ -18,7 +18,11 @@ from .common import lanes, map_batches
 
 #: Pieces of each kind that are remembered; when as many are new, the older half is forgotten.
 PIECE_CACHE = 450_000
+#: The same for words of plain texts where a word stands for itself behind a blank.
+WORD_CACHE = 300_000
 _LONG_PIECE = 64
+#: Longer words with marks beside them seldom come again and are put together from their parts each time.
+_SHORT_WORD = 6
 #: Letters for which the patterns below and those of the library agree in any version of Unicode.
 _COMMON = regex.compile(r"[\x00-\x7f\u00c0-\u017f]*")
 #: The split patterns of both vocabularies.
@@ -62,6 +66,22 @@ class _Pieces(dict):
         return ids
 
 
+class _Words(_Pieces):
+    """The same for words, whose encoder also says whether they are worth remembering."""
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids, again = self.encode(word)
+            if not again:
+                return ids
+        if len(self) >= WORD_CACHE:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 @lru_cache(maxsize=4)
 def tokenizer_ids(name: str) -> Callable[[str], bytes]:
     """text -> ids by the tokenizers library as little-endian 32-bit integers, without special tokens added.
@@ -112,8 +132,24 @@ def tokenizer_ids(name: str) -> Callable[[str], bytes]:
         words[""] = b""
         return lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
 
-    # A word stands for itself behind a blank; a mark in front says that none is there.
-    words = _Pieces(lambda piece: encode(piece[1:]) if piece[0] == _NO_BLANK else encode(" " + piece))
+    # A word stands for itself behind a blank; a mark in front says that none is there.  What a word is split into are such
+    # words too, so that every piece of plain texts is held once.
+    def word_ids(word: str) -> tuple[bytes, bool]:
+        if len(word) < _LONG_PIECE and (word.isascii() or _COMMON.fullmatch(word)):
+            if word.isalpha():
+                return merged(" " + word), True
+            if word[:-1].isalpha():
+                return words[word[:-1]] + words[_NO_BLANK + word[-1]], len(word) <= _SHORT_WORD
+            piece = word[1:] if word[0] == _NO_BLANK else " " + word
+            if "<|" not in piece:
+                found = split(piece)
+                if len(found) == 1:
+                    return merged(piece), True
+                ids = [words[part[1:] if part[0] == " " else _NO_BLANK + part] for part in found]
+                return b"".join(ids), len(word) <= _SHORT_WORD
+        return encode(word[1:] if word[0] == _NO_BLANK else " " + word), len(word) <= _LONG_PIECE
+
+    words = _Words(word_ids)
     words["\n"] = encode("\n")
 
     def kept(text: str) -> bytes:

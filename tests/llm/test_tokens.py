@@ -1,5 +1,6 @@
 """Token ids, the bit-plane files, and packing."""
 
+import gc
 import random
 import zlib
 from collections import defaultdict
@@ -34,6 +35,34 @@ def test_pieces_give_the_ids_of_the_whole(name):
         assert np.frombuffer(of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, ascii(text[:80])
 
 
+def odd_words(rng, n):
+    """Texts of words that come once, bare and with marks, in plain lines and in others."""
+    texts = []
+    for i in range(n):
+        word = "".join(rng.choices("abcdeéüß", k=10)) + "qxz"[i % 3]
+        forms = [word, word + ",", word.title() + ".", f"({word})", word + ",&&&", word + "'s", word + "7", "x" + word * 9]
+        texts.append(" ".join(forms) + f"\n{word}\n{word}; 12 <|endoftext|> {word}<" + rng.choice(["", "", " ", "\0", "  \n \0 " + word]))
+    return texts
+
+
+def held_pieces():
+    return sum(len(p) + len(p.older) for p in gc.get_objects() if isinstance(p, tokens._Pieces))
+
+
+def test_words_and_their_parts_are_held_once():
+    rng = random.Random(3)
+    whole = library(NAMES[1])
+    tokens.tokenizer_ids.cache_clear()
+    of = tokenizer_ids(NAMES[1])
+    gc.collect()
+    before = held_pieces()
+    words = ["".join(rng.choices("abcdefgh", k=12)) for _ in range(500)]
+    for word in words:
+        text = f"a {word} {word}, {word}. {word}! {word}? {word},&&&"
+        assert np.frombuffer(of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert held_pieces() - before <= len(words) + 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=70), st.sampled_from(["byte", "bit"]))
 def test_planes_round_trip(ids, planes):
