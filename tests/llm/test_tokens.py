@@ -63,6 +63,18 @@ def test_words_and_their_parts_are_held_once():
     assert held_pieces() - before <= len(words) + 20
 
 
+def test_words_are_held_up_to_a_number(monkeypatch):
+    monkeypatch.setattr(tokens, "WORD_CACHE", 50)
+    whole = library(NAMES[1])
+    tokens.tokenizer_ids.cache_clear()
+    of = tokenizer_ids(NAMES[1])
+    words = next(c.cell_contents for c in of.__closure__ if isinstance(c.cell_contents, tokens._Words))
+    for text in odd_words(random.Random(4), 300):
+        assert np.frombuffer(of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, ascii(text)
+        assert len(words) <= 50 and len(words.older) <= 50
+    tokens.tokenizer_ids.cache_clear()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=70), st.sampled_from(["byte", "bit"]))
 def test_planes_round_trip(ids, planes):
