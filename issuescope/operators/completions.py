@@ -378,8 +378,8 @@ def answer_table(
     ``ledger`` is a folder of answers by request, whatever their ids.  Calls are made bucket by bucket of the requests'
     digests, and every bucket's answers are committed before the next one begins, so that a job that dies and is
     started again asks only what the ledger lacks.  There are as many steps as leave each task about
-    ``calls_per_commit`` calls a step, up to ``LEDGER_BUCKETS``.  Equal requests are asked once.  Calls that failed
-    are not kept.
+    ``calls_per_commit`` calls a step, up to ``LEDGER_BUCKETS``; what is lacking is written once by step, so that each
+    step reads its own share.  Equal requests are asked once.  Calls that failed are not kept.
     """
     if ledger:
         return _ledger_answers(
@@ -433,11 +433,21 @@ def _ledger_answers(
     missing = asked.join(read_ledger(spark, ledger), ["bucket", "call_key"], "left_anti").select("call_key").distinct()
     steps = min(LEDGER_BUCKETS, -(-missing.count() // (tasks * calls_per_commit)))
     failed = None
+    if steps:
+        # Every lacking request once, written by step, so that a step reads its own requests and shuffles none.
+        sent = dict.fromkeys(("stage", "model", "messages", "temperature", "max_tokens", "call_key", "bucket"))
+        todo = keyed.join(read_ledger(spark, ledger), ["bucket", "call_key"], "left_anti").select(*sent)
+        todo = todo.dropDuplicates(["bucket", "call_key"]).withColumn("step", F.col("bucket") % steps)
+        folder = f"{work_dir(spark)}/issuescope/{name}-todo-{uuid.uuid4().hex}"
+        todo.write.partitionBy("step").parquet(folder)
+        todo = spark.read.schema(todo.schema).parquet(folder)
     for step in range(steps):
-        part = keyed.filter(F.col("bucket") % steps == step)
-        for _ in range(rounds):
-            known = read_ledger(spark, ledger).filter(F.col("bucket") % steps == step)
-            lacking = part.join(known, ["bucket", "call_key"], "left_anti").dropDuplicates(["call_key"])
+        part = todo.filter(F.col("step") == step)
+        for attempt in range(rounds):
+            lacking = part
+            if attempt:
+                known = read_ledger(spark, ledger).filter(F.col("bucket") % steps == step)
+                lacking = part.join(known, ["bucket", "call_key"], "left_anti")
             lacking = lacking.withColumn("request_id", F.col("call_key")).select(
                 "request_id", "stage", "model", "messages", "temperature", "max_tokens", "call_key", "bucket"
             )

@@ -431,6 +431,25 @@ def test_ledger_keeps_no_failures(spark, tmp_path):
     assert rows(answer_table(requests, complete(False), ledger=ledger), "content", "error") == [("yes", None)] * 2
 
 
+def test_steps_of_a_ledger_read_their_own_requests_only(spark, tmp_path):
+    n = 60
+    requests = plain_requests(spark, [f"text {i}" for i in range(n)])
+    passes = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def looked_at(value):
+        passes.add(1)
+        return value
+
+    requests = requests.withColumn("max_tokens", looked_at.asNondeterministic()("max_tokens").cast("int"))
+    complete = lambda model, messages, temperature, max_tokens: (messages[1]["content"], None)
+    settings = {"parallelism": 2, "ledger": str(tmp_path / "ledger"), "calls_per_commit": 2}
+    answers = answer_table(requests, complete, **settings)
+    assert answers.filter("error IS NULL").select("content").distinct().count() == n
+    # Once for the digests and once for the requests, not once for each of the 15 steps.
+    assert passes.value <= 3 * n
+
+
 def test_call_tasks_are_even_on_skewed_texts(spark):
     rng = __import__("random").Random(4)
     texts = ["x" * int(20 + rng.paretovariate(1.1) * 50) for _ in range(3000)]
