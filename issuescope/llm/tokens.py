@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,12 @@ from pyspark.sql import functions as F
 
 from .common import lanes, map_batches
 
-#: Pieces of each kind that are remembered; when as many are new, the older half is forgotten.
-PIECE_CACHE = 450_000
-#: The same for words of plain texts where a word stands for itself behind a blank.
-WORD_CACHE = 300_000
+#: Words whose ids a task remembers in Arrow arrays, of 40 bytes or so each; those not met for longest go first.
+KNOWN_WORDS = 450_000
+#: Bytes of texts that are encoded together.
+GROUP_BYTES = 6 << 20
+#: Parts of words that are remembered besides; when as many are new, the older half is forgotten.
+WORD_CACHE = 100_000
 _LONG_PIECE = 64
 #: Longer words with marks beside them seldom come again and are put together from their parts each time.
 _SHORT_WORD = 6
@@ -47,27 +50,15 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class _Pieces(dict):
-    """piece -> ids as little-endian 32-bit integers, for the pieces used last."""
-
-    def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.encode, self.older = encode, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        if len(piece) <= _LONG_PIECE:
-            if len(self) >= PIECE_CACHE:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
+class _Words(dict):
+    """word -> ids as little-endian 32-bit integers, for the words used last.
 
+    The encoder also says whether a word is worth remembering.
+    """
 
-class _Words(_Pieces):
-    """The same for words, whose encoder also says whether they are worth remembering."""
+    def __init__(self, encode: Callable[[str], tuple[bytes, bool]], most: int):
+        super().__init__()
+        self.encode, self.most, self.older = encode, most, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
@@ -75,22 +66,34 @@ class _Words(_Pieces):
             ids, again = self.encode(word)
             if not again:
                 return ids
-        if len(self) >= WORD_CACHE:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
 
+class _Spelled(dict):
+    """character -> its bytes in the letters of byte-level vocabularies; others than those given are spelled as they come."""
+
+    def __missing__(self, char: str) -> str:
+        letters = byte_letters()
+        return "".join(letters[b] for b in char.encode())
+
+
+#: What a word is split into is held in the same table.
+_Pieces = _Words
+
+
 @lru_cache(maxsize=4)
 def tokenizer_ids(name: str) -> Callable[[str], bytes]:
     """text -> ids by the tokenizers library as little-endian 32-bit integers, without special tokens added.
 
     ``name`` is a file of the public_tokenizers package or a path.  Text is encoded piece by piece and pieces are
-    remembered, as most of them are words that come again.  It is cut only where the ids of the parts are those of
-    the whole: pre-tokenizers that drop white space never look across it, and byte-level ones join one blank to
-    the word behind it, while a single line feed between other characters stands alone.  Pieces of ordinary letters go
-    straight to the library's merges, all others through the whole of its pipeline.
+    remembered, as most of them are words that come again (``encoded_texts`` does so for many texts at once).  It is cut
+    only where the ids of the parts are those of the whole: pre-tokenizers that drop white space never look across it, and
+    byte-level ones join one blank to the word behind it, while a single line feed between other characters stands alone.
+    Pieces of ordinary letters go straight to the library's merges, all others through the whole of its pipeline.
     """
     import json
 
@@ -103,43 +106,63 @@ def tokenizer_ids(name: str) -> Callable[[str], bytes]:
     split, letters, merges = regex.compile(_SPLITS[kind]).findall, byte_letters(), tokenizer.model.tokenize
     normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
 
-    blank = letters[32]
+    # Of common letters, lower case in Python is what the normalizer makes of a text, unless a version of either differs.
+    common = [chr(c) for c in (*range(128), *range(0xC0, 0x180))]
+    lower = str.lower if all(normal(c) == c.lower() for c in common if not c.isspace()) else normal
+    spelled = _Spelled({c: "".join(letters[b] for b in c.encode()) for c in common}).__getitem__
 
     def merged(part: str) -> bytes:
-        if part.isascii() and part.isprintable():
-            written = part.replace(" ", blank)
-        else:
-            written = part.encode().decode("latin-1").translate(letters)
-        return array("I", [t.id for t in merges(written)]).tobytes()
-
-    # Most pieces not seen before are known words with another mark beside them.
-    parts = _Pieces(merged)
+        return array("I", [t.id for t in merges("".join(map(spelled, part)))]).tobytes()
 
     def encode(piece: str) -> bytes:
-        if kind == "dropped" and piece.isascii():
-            piece = piece.lower()
-        bare = piece[1:] if kind == "kept" and piece[:1] == " " else piece
-        if len(piece) <= _LONG_PIECE and bare.isalpha() and bare.isascii():
-            return parts[piece]
-        if len(piece) > _LONG_PIECE or "<|" in piece or not (piece.isascii() or _COMMON.fullmatch(piece)):
-            ids = tokenizer.encode(piece, add_special_tokens=False).ids
-            return array("I", ids).tobytes()
-        piece = piece if kind == "kept" or piece.isascii() else normal(piece)
-        return b"".join(map(parts.__getitem__, split(piece)))
+        if len(piece) <= _LONG_PIECE and "<|" not in piece and (piece.isascii() or _COMMON.fullmatch(piece)):
+            return b"".join(map(merged, split(lower(piece) if kind == "dropped" else piece)))
+        return array("I", tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
+    # What a word is split into are words too, so that every part is held once.
     if kind == "dropped":
-        words = _Pieces(encode)
-        words[""] = b""
-        return lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
 
-    # A word stands for itself behind a blank; a mark in front says that none is there.  What a word is split into are such
-    # words too, so that every piece of plain texts is held once.
+        def word_ids(word: str) -> tuple[bytes, bool]:
+            if len(word) <= _LONG_PIECE and (word.isascii() or _COMMON.fullmatch(word)):
+                low = lower(word)
+                if low.isalpha():
+                    if low != word:
+                        return words[low], True
+                    # Printing ASCII stands for itself.
+                    if low.isascii():
+                        return array("I", [t.id for t in merges(low)]).tobytes(), True
+                    return merged(low), True
+                if low[:-1].isalpha() and low[-1].isprintable():
+                    return words[low[:-1]] + words[low[-1]], len(low) <= _SHORT_WORD
+                if "<|" not in low:
+                    found = split(low)
+                    if len(found) == 1:
+                        return merged(found[0]), True
+                    return b"".join([words[part] for part in found]), len(low) <= _SHORT_WORD
+            return encode(word), len(word) <= _LONG_PIECE
+
+        words = _Words(word_ids, WORD_CACHE)
+
+        def dropped(text: str) -> bytes:
+            return b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
+
+        dropped.word_ids = word_ids
+        dropped.parts = lambda text: [text.replace("\n", " ")]
+        return dropped
+
+    # A word stands for itself behind a blank; a mark in front says that none is there.
+    blank = letters[32]
+
     def word_ids(word: str) -> tuple[bytes, bool]:
         if len(word) < _LONG_PIECE and (word.isascii() or _COMMON.fullmatch(word)):
             if word.isalpha():
+                if word.isascii():
+                    return array("I", [t.id for t in merges(blank + word)]).tobytes(), True
                 return merged(" " + word), True
             if word[:-1].isalpha():
                 return words[word[:-1]] + words[_NO_BLANK + word[-1]], len(word) <= _SHORT_WORD
+            if word == "\n":
+                return encode(word), True
             piece = word[1:] if word[0] == _NO_BLANK else " " + word
             if "<|" not in piece:
                 found = split(piece)
@@ -149,20 +172,93 @@ def tokenizer_ids(name: str) -> Callable[[str], bytes]:
                 return b"".join(ids), len(word) <= _SHORT_WORD
         return encode(word[1:] if word[0] == _NO_BLANK else " " + word), len(word) <= _LONG_PIECE
 
-    words = _Words(word_ids)
-    words["\n"] = encode("\n")
+    words = _Words(word_ids, WORD_CACHE)
 
-    def kept(text: str) -> bytes:
+    def marked(text: str) -> str:
+        return (_NO_BLANK + text).replace("\n", f" \n {_NO_BLANK}")
+
+    def parts(text: str) -> list[str | bytes]:
         if not text:
-            return b""
+            return []
         if _is_plain(text):
-            pieces = (_NO_BLANK + text).replace("\n", f" \n {_NO_BLANK}").split(" ")
-            return b"".join(map(words.__getitem__, pieces))
-        return b"".join([encode(part) if odd else kept(part) for part, odd in _lines(text)])
+            return [marked(text)]
+        return [encode(part) if odd else marked(part) for part, odd in _lines(text)]
+
+    def kept(text: str) -> bytes:
+        of = words.__getitem__
+        return b"".join([p if isinstance(p, bytes) else b"".join(map(of, p.split(" "))) for p in parts(text)])
 
+    kept.word_ids, kept.parts = word_ids, parts
     return kept
 
 
+class _Known:
+    """Ids of many texts at once.
+
+    Arrow splits the texts, finds the distinct words of all and puts their ids in the places of the words; only words
+    that are not known from before are encoded one by one.
+    """
+
+    def __init__(self, of: Callable[[str], bytes]):
+        self.word_ids, self.parts = of.word_ids, of.parts
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.met, self.turn = np.zeros(0, np.int64), 0
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text, as ``tokenizer_ids`` gives them."""
+        parts = [self.parts(text) for text in texts]
+        lines = [part for some in parts for part in some if isinstance(part, str)]
+        words = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        found = words.values.dictionary_encode()
+        ids = self._distinct(found.dictionary).take(found.indices)
+        _, places, data = ids.buffers()
+        ends = np.frombuffer(places, "<i8", len(ids) + 1, 8 * ids.offset)[words.offsets.to_numpy()].tolist()
+        raw = memoryview(data) if data is not None else b""
+        of_line = iter([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)])
+        return [b"".join([part if isinstance(part, bytes) else next(of_line) for part in some]) for some in parts]
+
+    def _distinct(self, words: pa.Array) -> pa.Array:
+        known = len(self.words)
+        at = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().copy()
+        lacking = np.flatnonzero(at < 0)
+        at[lacking] = known + np.arange(len(lacking))
+        new = words.take(pa.array(lacking))
+        encoded = pa.array([self.word_ids(word)[0] for word in new.to_pylist()], pa.large_binary())
+        ids = pa.concat_arrays([self.ids, encoded])
+        self.turn += 1
+        met = np.r_[self.met, np.zeros(len(lacking), np.int64)]
+        met[at] = self.turn
+        keep = np.flatnonzero(np.r_[np.ones(known, bool), pc.utf8_length(new).to_numpy() <= _LONG_PIECE])
+        if len(keep) > KNOWN_WORDS:
+            keep = np.sort(keep[np.argsort(-met[keep], kind="stable")[: KNOWN_WORDS * 3 // 4]])
+        stays = pa.array(keep)
+        self.words, self.ids = pa.concat_arrays([self.words, new]).take(stays), ids.take(stays)
+        self.met = met[keep]
+        return ids.take(pa.array(at))
+
+
+@lru_cache(maxsize=4)
+def _known(name: str) -> _Known:
+    return _Known(tokenizer_ids(name))
+
+
+def encoded_texts(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[pa.Table, list[bytes]]]:
+    """Rows and the ids of their column ``text`` (null: none), about ``GROUP_BYTES`` of texts at a time."""
+    known, held, texts, size = _known(name), [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch.drop_columns("text"))
+        texts += [text or "" for text in batch.column("text").to_pylist()]
+        size += batch.column("text").nbytes
+        if size >= GROUP_BYTES:
+            yield pa.Table.from_batches(held), known(texts)
+            held, texts, size = [], [], 0
+            pa.default_memory_pool().release_unused()
+    if held:
+        yield pa.Table.from_batches(held), known(texts)
+
+
 _NO_BLANK = "\0"
 _ODD_SPACE = regex.compile("[\\s\0\x1c-\x1f\x85--[ \n]]", regex.V1)
 
@@ -251,7 +347,6 @@ _CHUNK_SCHEMA = (
 
 def _encode_part(name: str, end_id: int, planes: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokenizer_ids(name)
         docs: list[int] = []
         held: list[np.ndarray] = []
         size = chunk = 0
@@ -273,11 +368,10 @@ def _encode_part(name: str, end_id: int, planes: str):
             )
 
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            if batch.num_rows:
-                part = batch.column("part")[0].as_py()
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.frombuffer(ids_of(text.as_py() or "") + end, "<u4")
+        for rows, encoded in encoded_texts(batches, name):
+            part = rows.column("part")[0].as_py()
+            for doc, of_text in zip(rows.column("doc_id").to_pylist(), encoded, strict=True):
+                ids = np.frombuffer(of_text + end, "<u4")
                 docs.append(NO_ID if doc is None else doc)
                 held.append(ids)
                 size += len(ids)

@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,6 +76,47 @@ def test_words_are_held_up_to_a_number(monkeypatch):
     tokens.tokenizer_ids.cache_clear()
 
 
+def odd_texts():
+    rng = random.Random(5)
+    marks = [" ", "\n", "\t", "\0", "ß", "İ", "ŉx", "ſ", "'S", "<|endoftext|>", "<|ENDOFTEXT|>", "中", "é", "\r\n", "  ", "\n\n", "A1", "\x85", "Σ", "ΑΣ"]
+    texts = ["".join(rng.choices(marks, k=rng.randint(0, 12))) for _ in range(1500)]
+    return texts + odd_words(rng, 60) + ["", "", "\n", " ", "z" * 300 + " b", "word " * 3000, "Word, word. WORD; straße, STRASSE!?"] * 2
+
+
+@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("known, group", [(700_000, 12 << 20), (50, 2000)])
+def test_texts_together_give_the_ids_of_each(name, known, group, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", known)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", group)
+    tokens._known.cache_clear()
+    whole, texts = library(name), [*odd_texts(), None]
+    table = pa.table({"at": range(len(texts)), "text": pa.array(texts, pa.string())})
+    seen = 0
+    for rows, encoded in tokens.encoded_texts(iter(table.to_batches(100)), name):
+        for at, ids in zip(rows.column("at").to_pylist(), encoded, strict=True):
+            assert at == seen
+            want = whole.encode(texts[at] or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want, ascii((texts[at] or "")[:80])
+            seen += 1
+        assert len(tokens._known(name).words) <= known
+    assert seen == len(texts)
+    tokens._known.cache_clear()
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_every_word_of_many_texts_is_encoded_once(name, monkeypatch):
+    """Whatever marks stand beside it: those with long letters were put together anew wherever they came."""
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 5000)
+    known, encoded = tokens._Known(tokenizer_ids(name)), []
+    word_ids = known.word_ids
+    known.word_ids = lambda word: encoded.append(word) or word_ids(word)
+    monkeypatch.setattr(tokens, "_known", lambda _: known)
+    words = ["abcdefgh"[i % 8] * (7 + i % 3) + "ijklmnop"[i // 8 % 8] + "," for i in range(192)]
+    texts = ["start " + " ".join(words) for _ in range(50)]
+    list(tokens.encoded_texts(iter(pa.table({"text": texts}).to_batches(10)), name))
+    assert sorted(encoded) == sorted({*words, encoded[0]}) and len(encoded) == len(set(words)) + 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=70), st.sampled_from(["byte", "bit"]))
 def test_planes_round_trip(ids, planes):
