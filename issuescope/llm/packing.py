@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from .common import map_batches
-from .tokens import tokenizer_ids
+from .tokens import encoded_texts
 
 #: Pieces of a shard.  Every shard is packed by itself, which costs at most a part of one sequence each.
 SHARD_PIECES = 8_192
@@ -24,13 +24,12 @@ PATIENCE = 10
 
 def _cut(name: str, end_id: int, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokenizer_ids(name)
         end = np.array([end_id], "<u4").tobytes()
         lane = 0
-        for batch in batches:
+        for rows, encoded in encoded_texts(batches, name):
             out: tuple[list, ...] = ([], [], [], [], [], [])
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = ids_of(text.as_py() or "") + end
+            for doc, of_text in zip(rows.column("doc_id").to_pylist(), encoded, strict=True):
+                ids = of_text + end
                 n = len(ids) // 4
                 first = (n - 1) % capacity + 1  # the first piece takes what does not fill a sequence
                 starts = [0, *range(first, n, capacity)]
