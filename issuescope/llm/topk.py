@@ -12,13 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import column_numpy, lanes, map_batches
+from .common import column_numpy, map_batches
 
 #: Rows and components of one index block, and rows of the least block that a table is cut into for the sake of more
 #: tasks.
 BLOCK_ROWS, BLOCK_VALUES, LEAST_ROWS = 131_072, 1 << 23, 8_192
+#: Blocks for every core where the rows are enough, and lanes in which what blocks found is merged first.
+TASKS, LANES = 4, 16
 #: Tables of more full blocks than this find scores to pass in a share of their rows before the others are searched.
-ROUNDS_FROM, FIRST_SHARE = 8, 8
+ROUNDS_FROM, FIRST_SHARE = 8, 16
 #: Rows of a block are scored by so many, falling by their length; the first strips of a block are shorter.
 STRIP = 1024
 #: Queries that go through a block together.
@@ -250,9 +252,23 @@ class ImpactIndex:
     def _best(self, parts: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
         """Of (query, place, score) the ``k`` best of every query in order, of equal ones those of smaller ids."""
         query, place, score = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((self.ids[place], -score, query))
+        if not len(query):
+            return query, place, score
+        high = int(score.max())
+        wide = high - int(score.min()) + 1
+        if wide * (int(query.max()) + 1) < 2**62:
+            key = query * wide + (high - score)
+            order = np.argsort(key)  # faster than lexsort; what is equal is put in order afterwards
+            key = key[order]
+            same = key[1:] == key[:-1]
+            ties = np.flatnonzero(np.append(same, False) | np.append(False, same))
+            order[ties] = order[ties][np.lexsort((self.ids[place[order[ties]]], key[ties]))]
+        else:
+            order = np.lexsort((self.ids[place], -score, query))
         query, place, score = query[order], place[order], score[order]
-        good = np.arange(len(query)) - np.searchsorted(query, query) < k
+        starts = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+        rank = np.arange(len(query)) - np.repeat(starts, np.diff(np.append(starts, len(query))))
+        good = rank < k
         return query[good], place[good], score[good]
 
     def _cheapest(self, single: np.ndarray, rest: np.ndarray, limit: np.ndarray) -> int:
@@ -312,14 +328,14 @@ class _Block:
     def best(
         self, names: np.ndarray, queries: np.ndarray, bars: np.ndarray, k: int
     ) -> tuple[list[np.ndarray], list[tuple[int, int, int]]]:
-        """The ``k`` best rows of every query: (name, id, score) in columns, and what is no long as rows."""
+        """The ``k`` best rows of every query: (query, id, score) in columns, and what is no long as rows."""
         columns = [np.empty(0, np.int64)] * 3
         fits = np.zeros(len(names), bool)
         if self.index is not None:
             fits = np.abs(queries[:, self.index.dims]) @ (self.most + 1.0) < _SUM
             if fits.any():
                 query, place, score = self.index.tops(queries[fits], k, names[fits], bars[fits])
-                columns = [names[fits][query], self.index.ids[place], score]
+                columns = [np.flatnonzero(fits)[query], self.index.ids[place], score]
         out: list[tuple[int, int, int]] = []
         for i in range(len(names)) if len(self.wide) else np.flatnonzero(~fits).tolist():
             name = int(names[i])
@@ -328,33 +344,46 @@ class _Block:
             if self.index is not None and not fits[i]:
                 scores = exact_scores(self.index.rows, queries[i][self.index.dims])
                 found += [(-s, row) for s, row in zip(scores, self.index.ids.tolist(), strict=True)]
-            out += [(name, row, -lost) for lost, row in nsmallest(k, (hit for hit in found if hit[1] != name))]
+            out += [(i, row, -lost) for lost, row in nsmallest(k, (hit for hit in found if hit[1] != name))]
         return columns, out
 
 
-_HITS = "query_id long, vec_id long, score long, far binary"
+#: The scores of ``hits`` are inverted, so that better ones come first; ``far`` orders those a long may not hold.
+_HITS = "query_id long, lane int, hits array<struct<lost: long, far: binary, vec_id: long>>"
 _LONG = (1 << 63) - 1
 
 
 def _answers(blocks: dict[int, _Block], asked: pa.Table, k: int) -> Iterator[pa.RecordBatch]:
-    """The block's best rows of these queries.  ``far`` orders the scores that a long may not hold."""
+    """The block's best rows of these queries, as ``hits`` of each."""
     ids, sizes = column_numpy(asked, "vec_id"), column_numpy(asked, "size")
     bars, raws = column_numpy(asked, "bar"), asked.column("whole").to_pylist()
+    lane = int(asked.column("block")[0].as_py()) % LANES
     for size in np.unique(sizes).tolist():
         if size not in blocks:  # rows of another length have no product
             continue
         mine = np.flatnonzero(sizes == size)
         queries = _unpack([raws[i] for i in mine.tolist()], size).astype(np.float64)
-        columns, rows = blocks[size].best(ids[mine], queries, bars[mine], k)
-        far = [None] * len(columns[0])
+        (query, other, score), rows = blocks[size].best(ids[mine], queries, bars[mine], k)
+        far = pa.nulls(len(query), pa.binary())
         if rows:
-            name, other, score = zip(*rows, strict=True)
-            near = [max(-_LONG - 1, min(_LONG, s)) for s in score]
-            columns = [np.append(c, np.array(x, np.int64)) for c, x in zip(columns, (name, other, near), strict=True)]
-            far += [sort_key(s) if abs(s) >= _LONG else None for s in score]
-        for at in range(0, len(far), 65_536):
-            arrays = [*(pa.array(c[at : at + 65_536]) for c in columns), pa.array(far[at : at + 65_536], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score", "far"])
+            more = list(zip(*rows, strict=True))
+            keys = [sort_key(s) if abs(s) >= _LONG else None for s in more[2]]
+            far = pa.concat_arrays([far, pa.array(keys, pa.binary())])
+            more[2] = [max(-_LONG - 1, min(_LONG, s)) for s in more[2]]
+            both = zip((query, other, score), more, strict=True)
+            query, other, score = (np.append(c, np.array(x, np.int64)) for c, x in both)
+            order = np.argsort(query, kind="stable")
+            query, other, score, far = query[order], other[order], score[order], far.take(pa.array(order))
+        counts = np.bincount(query, minlength=len(mine))
+        hit = counts > 0
+        ends = np.append(0, np.cumsum(counts[hit])).astype(np.int32)
+        hits = pa.StructArray.from_arrays([pa.array(~score), far, pa.array(other)], ["lost", "far", "vec_id"])
+        found = ids[mine][hit]
+        arrays = [pa.array(found), pa.array(np.full(len(found), lane, np.int32)), pa.ListArray.from_arrays(ends, hits)]
+        whole = pa.RecordBatch.from_arrays(arrays, ["query_id", "lane", "hits"])
+        step = max(1, 65_536 // k)
+        for at in range(0, len(found), step):
+            yield whole.slice(at, step)
 
 
 def _search(k: int):
@@ -415,17 +444,10 @@ def _near(rows: DataFrame, asked: DataFrame, blocks: int, block: Column, k: int)
 
 
 def _merged(near: DataFrame, k: int) -> DataFrame:
-    """(query_id, place, vec_id, score, far): the ``k`` best of every query, without a sort of a whole group."""
-    best = F.expr(f"slice(array_sort(collect_list(struct(~score as lost, far, vec_id))), 1, {int(k)})")
-    lane = F.pmod(F.xxhash64("vec_id"), F.lit(16))
-    for keys in (["query_id", "_lane"], ["query_id"]):
-        near = (
-            near.withColumn("_lane", lane)
-            .groupBy(*keys)
-            .agg(best.alias("best"))
-            .select("query_id", F.posexplode("best").alias("place", "hit"))
-            .select("query_id", "place", "hit.vec_id", F.expr("~hit.lost").alias("score"), "hit.far")
-        )
+    """(query_id, hits): the ``k`` best of every query, without a sort of a whole group."""
+    best = F.expr(f"slice(array_sort(flatten(collect_list(hits))), 1, {int(k)})")
+    for keys in (["query_id", "lane"], ["query_id"]):
+        near = near.groupBy(*keys).agg(best.alias("hits"))
     return near
 
 
@@ -451,7 +473,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int
 
     rows, asked = whole(vectors, "index"), whole(queries, "queries")
     count, values = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).head()
-    tasks = lanes(vectors.sparkSession)
+    tasks = TASKS * vectors.sparkSession.sparkContext.defaultParallelism
 
     def full(share: float = 1) -> int:
         return max(1, ceil(share * count / BLOCK_ROWS), ceil(share * values / BLOCK_VALUES))
@@ -472,9 +494,11 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int
         head = _merged(_near(rows.filter(first), unknown, n, F.pmod(other, F.lit(n)).cast("int"), k), k)
         head = stage_table(head, "first-round")
         # A score shown as the least long may be lower still.
-        bars = head.filter((F.col("place") == k - 1) & (F.col("score") > _NONE)).select(
-            F.col("query_id").alias("vec_id"), F.col("score").alias("bar")
-        )
+        last = F.expr(f"~element_at(hits, {int(k)}).lost")
+        bars = head.filter(F.size("hits") == k).select(F.col("query_id").alias("vec_id"), last.alias("bar"))
+        bars = bars.filter(F.col("bar") > _NONE)
         rest = _near(rows.filter(~first), asked.join(bars, "vec_id", "left"), m, F.pmod(other, F.lit(m)).cast("int"), k)
-        near = head.select("query_id", "vec_id", "score", "far").unionByName(rest)
-    return _merged(near, k).select("query_id", (F.col("place") + 1).cast("int").alias("rank"), "vec_id", "score")
+        near = head.select("query_id", F.lit(0).alias("lane"), "hits").unionByName(rest)
+    hits = _merged(near, k).select("query_id", F.posexplode("hits").alias("place", "hit"))
+    rank = (F.col("place") + 1).cast("int").alias("rank")
+    return hits.select("query_id", rank, F.col("hit.vec_id").alias("vec_id"), F.expr("~hit.lost").alias("score"))
